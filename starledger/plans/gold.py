@@ -158,25 +158,29 @@ def build_fact_inventory(
     return surrogate_key(join_inventory(inventory, product, location, date), order, "inventory_key")
 
 
+# Every gold table: how it is built and the tables it is built from, in build order.
+STAR: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
+    "order_date_mapping": (lambda header: build_date_mapping(order_date_mapping(header)), ("order_header",)),
+    "dim_date": (build_dim_date, ("order_date_mapping", "inventory")),
+    "dim_customer": (build_dim_customer, ("customer",)),
+    "dim_product": (build_dim_product, ("catalog_variation", "catalog_item")),
+    "dim_location": (build_dim_location, ("location",)),
+    "fact_order": (
+        build_fact_order,
+        ("order_header", "order_date_mapping", "dim_customer", "dim_location", "dim_date"),
+    ),
+    "fact_sales": (build_fact_sales, ("order_line", "fact_order", "dim_product")),
+    "fact_payment": (build_fact_payment, ("payment", "fact_order")),
+    "fact_inventory": (build_fact_inventory, ("inventory", "dim_product", "dim_location", "dim_date")),
+}
+
+
 def build_star(silver: dict[str, DataFrame], save: Callable[[str, DataFrame], DataFrame]) -> dict[str, DataFrame]:
     """All gold tables from the silver ones. ``save`` stores a table and returns it as read back.
 
     Each table is stored before others are built on it, so none is computed twice.
     """
-    gold = {}
-
-    def put(name: str, df: DataFrame) -> None:
-        gold[name] = save(name, df)
-
-    put("order_date_mapping", build_date_mapping(order_date_mapping(silver["order_header"])))
-    put("dim_date", build_dim_date(gold["order_date_mapping"], silver["inventory"]))
-    put("dim_customer", build_dim_customer(silver["customer"]))
-    put("dim_product", build_dim_product(silver["catalog_variation"], silver["catalog_item"]))
-    put("dim_location", build_dim_location(silver["location"]))
-    dims = [gold[n] for n in ("order_date_mapping", "dim_customer", "dim_location", "dim_date")]
-    put("fact_order", build_fact_order(silver["order_header"], *dims))
-    put("fact_sales", build_fact_sales(silver["order_line"], gold["fact_order"], gold["dim_product"]))
-    put("fact_payment", build_fact_payment(silver["payment"], gold["fact_order"]))
-    stock_dims = [gold[n] for n in ("dim_product", "dim_location", "dim_date")]
-    put("fact_inventory", build_fact_inventory(silver["inventory"], *stock_dims))
-    return gold
+    tables = dict(silver)
+    for name, (build, sources) in STAR.items():
+        tables[name] = save(name, build(*[tables[s] for s in sources]))
+    return {name: tables[name] for name in STAR}

@@ -6,6 +6,7 @@ every fact is aggregated on its own, and the results are stacked and folded on t
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -87,14 +88,14 @@ def in_context(
     return df
 
 
-def limited_by_stock(tables: Tables, stock: Column) -> tuple[dict[str, DataFrame], dict[str, Column]]:
+def limited_by_stock(tables: Tables, stock: Column) -> tuple[Tables, Filters]:
     """Let a condition on stock rows filter products too, and so sales: the relationship that works both ways.
 
     Returns the tables and the filters to evaluate with.
     """
     kept = tables["fact_inventory"].filter(stock).select("product_key").distinct()
     products = tables["dim_product"].join(kept, "product_key", "left_semi")
-    limited = {**tables, "dim_product": products}
+    limited = ChainMap({"dim_product": products}, tables)
     return limited, {"fact_inventory": stock, "dim_product": F.lit(True)}
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 
 def write_bronze(
@@ -28,10 +28,10 @@ def write_bronze(
     return df.sparkSession.createDataFrame([row], schema)
 
 
-def read_bronze(df_schema: T.StructType, spark, path: str) -> DataFrame:
+def read_bronze(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All snapshots of a folder. Each repeats the whole entity; see ``latest_per_key`` for the newest."""
     metadata = T.StructType.fromDDL("source string, location_id string, ingested_at string")
-    return spark.read.schema(T.StructType(df_schema.fields + metadata.fields)).json(path)
+    return spark.read.schema(T.StructType(schema.fields + metadata.fields)).json(path)
 
 
 def write_fixed(df: DataFrame, path: str) -> None:

@@ -8,14 +8,14 @@ missing and empty arrays, unknown and missing ids, unreadable timestamps, unequa
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from starledger.plans import silver
-from starledger.plans.gold import build_star
+from starledger.plans.gold import STAR
 from starledger.session import scratch_path
 from starledger.sources.schemas import envelope
 from starledger.sources.tables import write_table
@@ -548,25 +548,41 @@ SILVER: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "location": lambda s, d: silver.latest_location(silver.flatten_location(raw_locations(s, d))),
 }
 
-_stored: dict[tuple[str, str], dict[str, DataFrame]] = {}
+class Layers(Mapping):
+    """Silver and gold tables of a data folder, each stored in the shared folder when first asked for.
 
-
-def layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Silver and gold tables of a data folder, stored in the shared folder once per application.
-
-    Reports read stored tables, as they do on a real star.
+    Reports read stored tables, as they do on a real star. A table is built once per application.
     """
-    spark = prepare(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stored:
-        folder = scratch_path(spark, "layers")
 
-        def save(name: str, df: DataFrame) -> DataFrame:
-            path = f"{folder}/{name}"
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = prepare(spark), sf_dir
+        self._folder = scratch_path(spark, "layers")
+        self._stored: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._stored:
+            if name in SILVER:
+                df = SILVER[name](self._spark, self._sf_dir)
+            else:
+                build, sources = STAR[name]
+                df = build(*[self[s] for s in sources])
+            path = f"{self._folder}/{name}"
             write_table(df, path)
-            return spark.read.schema(df.schema).parquet(path)
+            self._stored[name] = self._spark.read.schema(df.schema).parquet(path)
+        return self._stored[name]
+
+    def __iter__(self):
+        return iter([*SILVER, *STAR])
+
+    def __len__(self) -> int:
+        return len(SILVER) + len(STAR)
 
-        stored = {name: save(f"silver/{name}", build(spark, sf_dir)) for name, build in SILVER.items()}
-        gold = build_star(stored, lambda name, df: save(f"gold/{name}", df))
-        _stored[key] = {**stored, **gold}
-    return _stored[key]
+
+_layers: dict[tuple[str, str], Layers] = {}
+
+
+def layers(spark: SparkSession, sf_dir: str) -> Layers:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _layers:
+        _layers[key] = Layers(spark, sf_dir)
+    return _layers[key]
