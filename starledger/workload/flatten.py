@@ -305,13 +305,13 @@ def rename_map(c: Context) -> DataFrame:
 
 
 def mapping_file(c: Context) -> DataFrame:
-    """A mapping file with blanks around its ids; some variations are not in it, some twice."""
-    part = c.table("part").filter(~every("p_partkey", 6))
-    rows = part.select(
+    """A mapping file with blanks around its ids; it knows some variations by another id and lists some twice."""
+    known = F.when(every("p_partkey", 6), padded_column("U", "p_partkey")).otherwise(padded_column("V", "p_partkey"))
+    rows = c.table("part").select(
         F.concat(F.lit("  M"), F.col("p_partkey").cast("string"), F.lit(" ")).alias("BusinessMenuID"),
         F.concat(F.lit(" "), F.col("p_type")).alias("BusinessCategoryID"),
         F.concat(padded_column("N", "p_partkey"), F.lit(" ")).alias("ItemID"),
-        F.concat(F.lit(" "), padded_column("V", "p_partkey")).alias("VariationID"),
+        F.concat(F.lit(" "), known).alias("VariationID"),
     )
     rows = rows.unionAll(rows.filter(F.col("BusinessCategoryID") == " SMALL"))
     path = c.scratch("mapping-csv")
@@ -321,10 +321,9 @@ def mapping_file(c: Context) -> DataFrame:
 
 
 _MAPPING = f"""mapping AS (SELECT 'M' || p_partkey AS business_menu_id, p_type AS business_category_id,
-  {padded('N', 'p_partkey')} AS mapping_item_id, {padded('V', 'p_partkey')} AS mapping_variation_id
-  FROM part WHERE p_partkey % 6 <> 0
-  UNION ALL SELECT 'M' || p_partkey, p_type, {padded('N', 'p_partkey')}, {padded('V', 'p_partkey')}
-  FROM part WHERE p_partkey % 6 <> 0 AND p_type = 'SMALL')"""
+  {padded('N', 'p_partkey')} AS mapping_item_id,
+  CASE WHEN p_partkey % 6 = 0 THEN {padded('U', 'p_partkey')} ELSE {padded('V', 'p_partkey')} END AS mapping_variation_id
+  FROM part, (VALUES (1), (2)) AS copies(n) WHERE n = 1 OR p_type = 'SMALL')"""
 _JOINED = f"""{_MAPPING}, joined AS (SELECT * FROM o_nested n LEFT JOIN mapping m
   ON n.item_id = m.mapping_item_id AND n.variation_id = m.mapping_variation_id)"""
 
