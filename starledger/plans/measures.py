@@ -137,23 +137,32 @@ def previous_period(daily: DataFrame, calendar: DataFrame, unit: str) -> DataFra
         .join(known, "date", "left")
         .join(earlier, "earlier_date", "left")
         .filter(F.coalesce("total_sales", "previous_sales").isNotNull())
-        .select("date", "total_sales", "previous_sales", growth(F.col("total_sales"), F.col("previous_sales")).alias("growth"))
+        .select(
+            "date",
+            "total_sales",
+            "previous_sales",
+            growth(F.col("total_sales"), F.col("previous_sales")).alias("growth"),
+        )
     )
 
 
-def previous_month(daily: DataFrame) -> DataFrame:
-    """Per month: total sales, those of the whole month before, and the growth."""
-    month = F.year("date") * 12 + F.month("date")
-    monthly = daily.filter(F.col("date").isNotNull()).groupBy(month.alias("month_index")).agg(
-        F.sum(F.col("total_sales").cast("decimal(38,2)")).cast("double").alias("total_sales")
-    )
-    shifted = monthly.select((F.col("month_index") + 1).alias("month_index"), F.col("total_sales").alias("previous_sales"))
-    year = F.floor((F.col("month_index") - 1) / 12).cast("int")
-    return monthly.join(shifted, "month_index", "full").select(
-        (year * 100 + F.col("month_index") - year * 12).alias("year_month_number"),
-        "total_sales",
-        "previous_sales",
-        growth(F.col("total_sales"), F.col("previous_sales")).alias("growth"),
+def previous_month(daily: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Per calendar month: total sales, those of the whole month before, and the growth."""
+    month = (F.year("date") * 12 + F.month("date")).alias("month_index")
+    money = F.sum(F.col("total_sales").cast("decimal(38,2)")).cast("double")
+    monthly = daily.filter(F.col("date").isNotNull()).groupBy(month).agg(money.alias("total_sales"))
+    earlier = monthly.select(F.col("month_index") + 1, F.col("total_sales")).toDF("month_index", "previous_sales")
+    months = calendar.groupBy(month).agg(F.min(F.year("date") * 100 + F.month("date")).alias("year_month_number"))
+    return (
+        months.join(monthly, "month_index", "left")
+        .join(earlier, "month_index", "left")
+        .filter(F.coalesce("total_sales", "previous_sales").isNotNull())
+        .select(
+            "year_month_number",
+            "total_sales",
+            "previous_sales",
+            growth(F.col("total_sales"), F.col("previous_sales")).alias("growth"),
+        )
     )
 
 

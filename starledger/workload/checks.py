@@ -460,7 +460,8 @@ _FACT_LAYERS = {name: layer for name, (_, layer) in {**_DIM_KEYS, **_FACT_KEYS}.
 
 
 def _default_summary_sql(table: str) -> str:
-    sums = [f"{_sum(x)} AS sum_{x}" for x in report.DEFAULT_SUMS.get(table, "").split()]
+    whole = table == "fact_inventory"
+    sums = [f"{_sum(x).replace('DECIMAL(28,3)', 'BIGINT') if whole else _sum(x)} AS sum_{x}" for x in report.DEFAULT_SUMS.get(table, "").split()]
     counts = [f"count({x}) AS count_{x}" for x in report.DEFAULT_COUNTS.get(table, "").split()]
     return f"SELECT {', '.join(sums + counts)} FROM {_FACT_LAYERS[table]}"
 
