@@ -72,7 +72,7 @@ def safe_col(schema: T.StructType, path: str, alias: str, to: str | None = None)
         return null_of(to or "string").alias(alias)
     column = F.col(".".join(quoted(part) for part in path.split(".")))
     if to is not None and found.simpleString() != to:
-        column = lenient_cast(column, to)
+        column = lenient_cast(column, to) if isinstance(found, T.StringType) else column.try_cast(to)
     return column.alias(alias)
 
 

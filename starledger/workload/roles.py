@@ -24,10 +24,16 @@ CURRENCY = "USD"
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 
+# Dates of timestamps depend on the zone; results are stated in UTC. The virtual machine compiles methods up to
+# 8,000 bytes of code only, and building a wide nested record makes a longer one: below this limit Spark
+# generates smaller methods for such steps instead, which run several times faster.
+SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Dates of timestamps depend on the zone; results are stated in UTC."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for name, value in SETTINGS.items():
+        if spark.conf.get(name) != value:
+            spark.conf.set(name, value)
     return spark
 
 
@@ -35,6 +41,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores where the files behind a frame give fewer tasks than that.
+
+    Building nested records costs far more than reading their rows. A large table has more splits than the
+    cluster has cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 # -- helpers for nested records --------------------------------------------------------------------
 
 
@@ -146,15 +162,35 @@ def line_variation() -> Column:
 # -- raw records -----------------------------------------------------------------------------------
 
 
+def order_values(orders: DataFrame) -> DataFrame:
+    """Values that several fields of an order or payment use, computed once per row."""
+    amount = F.col("amount")
+    return spread(orders).withColumn("amount", cents("o_totalprice")).withColumns(
+        {
+            "tax": share(amount, 8),
+            "discount": share(amount, 5),
+            "tenth": share(amount, 10),
+            "fee": share(amount, 2),
+            "day_0": iso("o_orderdate"),
+            "day_1": iso("o_orderdate", 1),
+            "padded_key": F.lpad(F.col("o_orderkey").cast("string"), 10, "0"),
+            "customer": customer_id("o_custkey"),
+        }
+    )
+
+
+def keyed(prefix: str) -> Column:
+    return F.concat(F.lit(prefix), F.col("padded_key"))
+
+
 def order_struct() -> dict:
-    amount = cents("o_totalprice")
-    tax, discount = share(amount, 8), share(amount, 5)
+    amount, tax, discount = F.col("amount"), F.col("tax"), F.col("discount")
     urgent = F.col("o_orderpriority") == "1-URGENT"
     is_open = F.col("o_orderstatus") == "O"
     payment = (
         F.when(every("o_orderkey", 17), F.lit(None).cast("string"))
-        .when(every("o_orderkey", 19), padded("PX", "o_orderkey"))
-        .otherwise(padded("P", "o_orderkey"))
+        .when(every("o_orderkey", 19), keyed("PX"))
+        .otherwise(keyed("P"))
     )
     is_card = F.col("o_orderstatus") == "F"
     paid = (
@@ -165,10 +201,10 @@ def order_struct() -> dict:
 
     def tender(number: int, of: Column, to: Column) -> dict:
         return dict(
-            id=F.concat(padded("T", "o_orderkey"), F.lit(f"-{number}")),
+            id=F.concat(keyed("T"), F.lit(f"-{number}")),
             payment_id=to,
             transaction_id=padded("X", "o_custkey"),
-            created_at=iso("o_orderdate"),
+            created_at=F.col("day_0"),
             type=F.when(is_card, "CARD").otherwise("CASH"),
             amount_money=money(of),
             other_details=dict(source=F.col("o_orderpriority"), status=F.col("o_orderstatus")),
@@ -190,7 +226,7 @@ def order_struct() -> dict:
         )
 
     first = tender(1, paid, payment)
-    second = tender(2, share(amount, 10), padded("P", F.col("o_orderkey") + 1))
+    second = tender(2, F.col("tenth"), padded("P", F.col("o_orderkey") + 1))
     tenders = when(
         (every("o_orderkey", 13), None),
         (every("o_orderkey", 11), []),
@@ -198,25 +234,25 @@ def order_struct() -> dict:
         otherwise=[first],
     )
     return dict(
-        id=padded("S", "o_orderkey"),
+        id=keyed("S"),
         reference_id=business_id(),
         location_id=location_id("o_custkey"),
-        customer_id=customer_id("o_custkey"),
+        customer_id=F.col("customer"),
         state=F.when(is_card, "COMPLETED").when(is_open, "OPEN").otherwise("CANCELED"),
         version=F.col("o_orderkey") % 7,
-        created_at=iso("o_orderdate"),
-        updated_at=iso("o_orderdate", 1),
+        created_at=F.col("day_0"),
+        updated_at=F.col("day_1"),
         closed_at=F.when(is_open, "not a time").otherwise(iso("o_orderdate", 2)),
         total_money=money(amount),
         total_tax_money=money(tax),
         total_discount_money=money(discount),
-        total_tip_money=when((urgent, money(share(amount, 10)))),
+        total_tip_money=when((urgent, money(F.col("tenth")))),
         total_service_charge_money=money(F.lit(0)),
         net_amounts=dict(
             total_money=money(amount - discount),
             tax_money=money(tax),
             discount_money=money(discount),
-            tip_money=when((urgent, money(share(amount, 10)))),
+            tip_money=when((urgent, money(F.col("tenth")))),
             service_charge_money=money(F.lit(0)),
         ),
         net_amount_due_money=money(F.when(is_open, amount).otherwise(F.lit(0))),
@@ -227,16 +263,27 @@ def order_struct() -> dict:
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with their tenders. Some have an empty array of tenders, some none at all."""
-    return enveloped(table(spark, sf_dir, "orders"), "orders", order_struct())
+    return enveloped(order_values(table(spark, sf_dir, "orders")), "orders", order_struct())
+
+
+def line_values(lines: DataFrame) -> DataFrame:
+    """Values that several fields of a line use, computed once per row."""
+    percent = share(F.col("gross"), 1)
+    return spread(lines).withColumn("gross", cents("l_extendedprice")).withColumns(
+        {
+            "discount": percent * F.round(F.col("l_discount") * 100).cast("bigint"),
+            "tax": percent * F.round(F.col("l_tax") * 100).cast("bigint"),
+            "line_id": line_id(),
+            "variation": line_variation(),
+        }
+    )
 
 
 def line_struct() -> dict:
-    gross = cents("l_extendedprice")
-    discount = share(gross, 1) * F.round(F.col("l_discount") * 100).cast("bigint")
-    tax = share(gross, 1) * F.round(F.col("l_tax") * 100).cast("bigint")
+    gross, discount, tax = F.col("gross"), F.col("discount"), F.col("tax")
     return dict(
-        uid=line_id(),
-        catalog_object_id=line_variation(),
+        uid=F.col("line_id"),
+        catalog_object_id=F.col("variation"),
         catalog_version=F.col("l_partkey") % 5,
         name=F.concat(F.lit("Line "), F.col("l_returnflag")),
         variation_name=F.concat(F.lit("Status "), F.col("l_linestatus")),
@@ -260,8 +307,8 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     line = line_struct()
     free = dict(
-        uid=F.concat(line_id(), F.lit("-free")),
-        catalog_object_id=line_variation(),
+        uid=F.concat("line_id", F.lit("-free")),
+        catalog_object_id=F.col("variation"),
         quantity=F.lit("1"),
         item_type=F.lit("CUSTOM_AMOUNT"),
         total_money=money(F.lit(0)),
@@ -278,11 +325,11 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         location_id=location_id("l_suppkey"),
         line_items=lines,
     )
-    return enveloped(table(spark, sf_dir, "lineitem"), "orders", order)
+    return enveloped(line_values(table(spark, sf_dir, "lineitem")), "orders", order)
 
 
 def payment_struct() -> dict:
-    amount = cents("o_totalprice")
+    amount = F.col("amount")
     is_card = F.col("o_orderstatus") == "F"
     is_cash = F.col("o_orderstatus") == "O"
     status = (
@@ -290,18 +337,18 @@ def payment_struct() -> dict:
         .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "FAILED")
         .otherwise("COMPLETED")
     )
-    fee = dict(effective_at=iso("o_orderdate", 3), type=F.lit("INITIAL"), amount_money=money(share(amount, 2)))
+    fee = dict(effective_at=iso("o_orderdate", 3), type=F.lit("INITIAL"), amount_money=money(F.col("fee")))
     refund = dict(effective_at=iso("o_orderdate", 9), type=F.lit("ADJUSTMENT"), amount_money=money(F.lit(-30)))
     return dict(
-        id=padded("P", "o_orderkey"),
-        order_id=F.when(every("o_orderkey", 31), padded("Z", "o_orderkey")).otherwise(padded("S", "o_orderkey")),
-        customer_id=customer_id("o_custkey"),
+        id=keyed("P"),
+        order_id=F.when(every("o_orderkey", 31), keyed("Z")).otherwise(keyed("S")),
+        customer_id=F.col("customer"),
         location_id=location_id("o_custkey"),
         status=status,
         source_type=F.when(is_card, "CARD").when(is_cash, "CASH").otherwise("EXTERNAL"),
-        created_at=iso("o_orderdate"),
-        updated_at=iso("o_orderdate", 1),
-        receipt_number=F.substring(padded("", "o_orderkey"), 7, 4),
+        created_at=F.col("day_0"),
+        updated_at=F.col("day_1"),
+        receipt_number=F.substring("padded_key", 7, 4),
         version_token=padded("tok", "o_custkey", 6),
         delay_action=F.lit("CANCEL"),
         delay_duration=F.lit("PT168H"),
@@ -329,7 +376,7 @@ def payment_struct() -> dict:
                 auth_result_code=padded("", F.col("o_orderkey") % 1000000, 6),
                 statement_description=F.lit("RESTAURANT"),
                 card_payment_timeline=dict(
-                    authorized_at=iso("o_orderdate"), captured_at=iso("o_orderdate", 1)
+                    authorized_at=F.col("day_0"), captured_at=F.col("day_1")
                 ),
             ),
         )),
@@ -343,7 +390,7 @@ def payment_struct() -> dict:
 
 
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enveloped(table(spark, sf_dir, "orders"), "payments", payment_struct())
+    return enveloped(order_values(table(spark, sf_dir, "orders")), "payments", payment_struct())
 
 
 def customer_struct() -> dict:
@@ -480,7 +527,7 @@ def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         calculated_at=F.when(every("l_orderkey", 67), "unknown").otherwise(iso("l_shipdate")),
     )
-    return enveloped(table(spark, sf_dir, "lineitem"), "counts", count)
+    return enveloped(spread(table(spark, sf_dir, "lineitem")), "counts", count)
 
 
 def raw_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
