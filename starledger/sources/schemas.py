@@ -5,6 +5,8 @@ Reading with a given schema saves the inference pass over the files and keeps op
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import types as T
 
 # The fields of the raw records.
@@ -113,3 +115,28 @@ def envelope(entity: str) -> T.StructType:
         "ingested_at string, source string, location_id string, record_count bigint,"
         f"{extra} {entity} array<{RECORDS[entity]}>"
     )
+
+
+def narrowed(entity: str, paths: Iterable[str]) -> T.StructType:
+    """Envelope schema with only the given record fields (dotted paths, or whole arrays and structs).
+
+    Spark does not prune several fields of an exploded record by itself; reading under this schema does.
+    """
+    wanted = [path.split(".") for path in paths]
+
+    def keep(struct: T.StructType, tails: list[list[str]]) -> T.StructType:
+        fields = []
+        for f in struct.fields:
+            below = [t[1:] for t in tails if t[0] == f.name]
+            if below and isinstance(f.dataType, T.StructType) and all(below):
+                fields.append(T.StructField(f.name, keep(f.dataType, below)))
+            elif below:
+                fields.append(f)
+        return T.StructType(fields)
+
+    return T.StructType(
+        [
+            T.StructField(f.name, T.ArrayType(keep(f.dataType.elementType, wanted))) if f.name == entity else f
+            for f in envelope(entity).fields
+        ]
+    )

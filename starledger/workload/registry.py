@@ -23,15 +23,16 @@ class Context:
         return roles.table(self.spark, self.sf_dir, name)
 
     def raw(self, name: str) -> DataFrame:
-        return getattr(roles, f"raw_{name}")(self.spark, self.sf_dir)
+        """Raw records in envelopes, stored once as they would arrive."""
+        return self.star[f"raw_{name}"]
 
     def silver(self, name: str) -> DataFrame:
         """A silver table, computed from the raw records as part of the query."""
-        return roles.SILVER[name](self.spark, self.sf_dir)
+        return self.star.compute(name)
 
     @property
     def star(self) -> roles.Layers:
-        """Stored silver and gold tables."""
+        """Stored tables of all layers."""
         return roles.layers(self.spark, self.sf_dir)
 
     def scratch(self, label: str) -> str:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from starledger.plans import silver
 from starledger.plans.gold import STAR
 from starledger.session import scratch_path
-from starledger.sources.schemas import envelope
+from starledger.sources.schemas import envelope, narrowed
 from starledger.sources.tables import write_table
 
 CURRENCY = "USD"
@@ -96,7 +96,7 @@ def when(*cases: tuple[Column, Any], otherwise: Any = None) -> Choice:
 def typed(value: Any, to: T.DataType) -> Column:
     """Nested dicts, lists and columns as one column of a raw type; fields left out are NULL."""
     if value is None:
-        return F.lit(None).cast(to)
+        return F.lit(None).cast(to.simpleString())
     if isinstance(value, Choice):
         column = typed(value.otherwise, to)
         for condition, case in reversed(value.cases):
@@ -108,8 +108,9 @@ def typed(value: Any, to: T.DataType) -> Column:
             raise ValueError(f"not fields of the record: {sorted(unknown)}")
         return F.struct(*[typed(value.get(f.name), f.dataType).alias(f.name) for f in to.fields])
     if isinstance(value, list):
-        return F.array(*[typed(v, to.elementType) for v in value]).cast(to)
-    return value.cast(to)
+        array = F.array(*[typed(v, to.elementType) for v in value])
+        return array if value else array.cast(to.simpleString())
+    return value.cast(to.simpleString())
 
 
 def enveloped(df: DataFrame, entity: str, record: dict, ingested_at: Column | None = None) -> DataFrame:
@@ -582,23 +583,44 @@ def raw_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- layers ----------------------------------------------------------------------------------------
 
 
-SILVER: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "order_header": lambda s, d: silver.flatten_order_header(raw_orders(s, d)),
-    "order_line": lambda s, d: silver.flatten_order_line(raw_order_lines(s, d)),
-    "order_tender": lambda s, d: silver.flatten_order_tender(raw_orders(s, d)),
-    "payment": lambda s, d: silver.flatten_payment(raw_payments(s, d)),
-    "customer": lambda s, d: silver.flatten_customer(raw_customers(s, d)),
-    "catalog_item": lambda s, d: silver.flatten_catalog_item(raw_catalog(s, d)),
-    "catalog_variation": lambda s, d: silver.flatten_catalog_variation(raw_catalog(s, d)),
-    "inventory": lambda s, d: silver.flatten_inventory(raw_inventory(s, d)),
-    "employee": lambda s, d: silver.flatten_employee(raw_employees(s, d)),
-    "location": lambda s, d: silver.latest_location(silver.flatten_location(raw_locations(s, d))),
+Build = tuple[Callable[..., DataFrame], tuple[str, ...]]
+
+RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "raw_orders": raw_orders,
+    "raw_order_lines": raw_order_lines,
+    "raw_payments": raw_payments,
+    "raw_customers": raw_customers,
+    "raw_catalog": raw_catalog,
+    "raw_nested_items": raw_nested_items,
+    "raw_inventory": raw_inventory,
+    "raw_employees": raw_employees,
+    "raw_locations": raw_locations,
+}
+# The record fields a silver table needs of its raw table; others take whole records.
+NEEDED = {
+    "order_header": ("orders", [path for _, path, _ in silver.ORDER_HEADER]),
+    "order_line": ("orders", ["id", "reference_id", "location_id", "line_items"]),
+    "order_tender": ("orders", ["id", "reference_id", "location_id", "tenders"]),
+    "payment": ("payments", [path for _, path, _ in silver.PAYMENT]),
+}
+SILVER: dict[str, Build] = {
+    "order_header": (silver.flatten_order_header, ("raw_orders",)),
+    "order_line": (silver.flatten_order_line, ("raw_order_lines",)),
+    "order_tender": (silver.flatten_order_tender, ("raw_orders",)),
+    "payment": (silver.flatten_payment, ("raw_payments",)),
+    "customer": (silver.flatten_customer, ("raw_customers",)),
+    "catalog_item": (silver.flatten_catalog_item, ("raw_catalog",)),
+    "catalog_variation": (silver.flatten_catalog_variation, ("raw_catalog",)),
+    "inventory": (silver.flatten_inventory, ("raw_inventory",)),
+    "employee": (silver.flatten_employee, ("raw_employees",)),
+    "location": (lambda raw: silver.latest_location(silver.flatten_location(raw)), ("raw_locations",)),
 }
 
+
 class Layers(Mapping):
-    """Silver and gold tables of a data folder, each stored in the shared folder when first asked for.
+    """Raw, silver and gold tables of a data folder, each stored in the shared folder when first asked for.
 
-    Reports read stored tables, as they do on a real star. A table is built once per application.
+    A layer reads the stored one below it, as it does in a lakehouse. A table is built once per application.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -606,23 +628,34 @@ class Layers(Mapping):
         self._folder = scratch_path(spark, "layers")
         self._stored: dict[str, DataFrame] = {}
 
+    def compute(self, name: str) -> DataFrame:
+        """A table from the stored ones it is built from, itself not stored."""
+        if name in RAW:
+            return RAW[name](self._spark, self._sf_dir)
+        if name in NEEDED:
+            build, (source,) = SILVER[name]
+            return build(self._read(source, narrowed(*NEEDED[name])))
+        build, sources = SILVER[name] if name in SILVER else STAR[name]
+        return build(*[self[s] for s in sources])
+
+    def _read(self, name: str, schema: T.StructType) -> DataFrame:
+        """A stored table, stored first where it is not, under a schema of fewer fields."""
+        self[name]
+        return self._spark.read.schema(schema).parquet(f"{self._folder}/{name}")
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._stored:
-            if name in SILVER:
-                df = SILVER[name](self._spark, self._sf_dir)
-            else:
-                build, sources = STAR[name]
-                df = build(*[self[s] for s in sources])
+            df = self.compute(name)
             path = f"{self._folder}/{name}"
             write_table(df, path)
             self._stored[name] = self._spark.read.schema(df.schema).parquet(path)
         return self._stored[name]
 
     def __iter__(self):
-        return iter([*SILVER, *STAR])
+        return iter([*RAW, *SILVER, *STAR])
 
     def __len__(self) -> int:
-        return len(SILVER) + len(STAR)
+        return len(RAW) + len(SILVER) + len(STAR)
 
 
 _layers: dict[tuple[str, str], Layers] = {}
