@@ -7,6 +7,7 @@ before anything is compared, so a key that holds a large part of the rows is one
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -92,6 +93,44 @@ def validate_relationship(
     )
 
 
+def validate_relationships(
+    tables: Mapping[str, DataFrame], pairs: Sequence[tuple[str, str, str, str]]
+) -> DataFrame:
+    """:func:`validate_relationship` for many pairs ``(fact, dimension, fact key, dimension key)`` at once.
+
+    Every table is scanned once, whatever the number of its relationships: a row is spread into one small row
+    per key, and those are counted per relationship and key before the one shuffle.
+    """
+
+    def spread(name: str, at: int, left: int, right: int) -> DataFrame:
+        keys = [
+            F.struct(
+                F.lit(pair[0]).alias("fact_name"),
+                F.lit(pair[1]).alias("dim_name"),
+                F.lit(pair[2]).alias("fact_key"),
+                F.col(pair[2 + at]).cast("string").alias("key"),
+            )
+            for pair in pairs
+            if pair[at] == name
+        ]
+        rows = tables[name].select(F.explode(F.array(*keys)).alias("k")).select("k.*")
+        return rows.withColumns({"l": F.lit(left), "r": F.lit(right)})
+
+    facts = [spread(name, 0, 1, 0) for name in dict.fromkeys(p[0] for p in pairs)]
+    dims = [spread(name, 1, 0, 1) for name in dict.fromkeys(p[1] for p in pairs)]
+    tallied = (
+        reduce(DataFrame.unionAll, facts + dims)
+        .groupBy("fact_name", "dim_name", "fact_key", "key")
+        .agg(F.sum("l").alias("n_left"), F.sum("r").alias("n_right"))
+    )
+    null = F.col("key").isNull()
+    return tallied.groupBy("fact_name", "dim_name", "fact_key").agg(
+        _total(F.col("n_left")).alias("fact_rows"),
+        _total(F.col("n_left"), null).alias("null_foreign_keys"),
+        _total(F.col("n_left"), null | (F.col("n_right") == 0)).alias("orphan_records"),
+    )
+
+
 def orphan_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """One row: distinct keys of either side that the other lacks. NULL is one such key where it occurs."""
     null = F.col("key").isNull()

@@ -380,8 +380,20 @@ _PAIRS = [
     ),
 )
 def validate_relationship(c: Context) -> DataFrame:
-    checks = [quality.validate_relationship(c.star[f], c.star[d], f, d, k, k) for f, d, k in _PAIRS]
-    return reduce(DataFrame.unionAll, checks)
+    return quality.validate_relationships(c.star, [(fact, dim, key, key) for fact, dim, key in _PAIRS])
+
+
+_ONE_PAIR = f"""SELECT 'fact_sales' AS fact_name, 'dim_product' AS dim_name, 'variation_id' AS fact_key,
+  count(*) AS fact_rows, count(*) FILTER (variation_id IS NULL) AS null_foreign_keys,
+  count(*) FILTER (NOT EXISTS (SELECT 1 FROM d_product d WHERE d.variation_id = f.variation_id)) AS orphan_records
+  FROM f_sales f"""
+
+
+@query("validate_relationship_one", _ONE_PAIR)
+def validate_relationship_one(c: Context) -> DataFrame:
+    """One relationship, by the id that the star joins products on."""
+    on = "variation_id"
+    return quality.validate_relationship(c.star["fact_sales"], c.star["dim_product"], "fact_sales", "dim_product", on, on)
 
 
 _RECONCILED = """SELECT count(*) AS matched_records, count(*) FILTER (x = y) AS amount_matches,
