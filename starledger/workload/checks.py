@@ -482,6 +482,30 @@ for _table in report.DEFAULT_SUMS:
     query(f"default_summaries_{_table}", _default_summary_sql(_table))(lambda c, t=_table: report.default_summary(c.star, t))
 
 
+def _summaries_sql(table: str) -> str:
+    rows = [("sum", _sum(x), x) for x in report.DEFAULT_SUMS.get(table, "").split()]
+    rows += [("count", f"count({x})", x) for x in report.DEFAULT_COUNTS.get(table, "").split()]
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{kind}_{column}' AS summary, CAST({sql} AS DECIMAL(38,3)) AS value "
+        f"FROM {_FACT_LAYERS[table]}"
+        for kind, sql, column in rows
+    )
+
+
+@query("default_summaries", " UNION ALL ".join(_summaries_sql(t) for t in report.DEFAULT_SUMS))
+def default_summaries(c: Context) -> DataFrame:
+    """The default summary of every column that has one, one row each."""
+    parts = []
+    for name in report.DEFAULT_SUMS:
+        one = report.default_summary(c.star, name)
+        pairs = [
+            F.struct(F.lit(x).alias("summary"), F.col(x).cast("decimal(38,3)").alias("value")) for x in one.columns
+        ]
+        listed = one.select(F.explode(F.array(*pairs)).alias("p"))
+        parts.append(listed.select(F.lit(name).alias("table_name"), "p.summary", "p.value"))
+    return reduce(DataFrame.unionAll, parts)
+
+
 @query(
     "hierarchy_rollup",
     f"""SELECT CAST(year(o_orderdate) AS INTEGER) AS year, 'Qtr ' || quarter(o_orderdate) AS quarter,

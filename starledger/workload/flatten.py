@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from starledger.functions import scalars
 from starledger.operators import reshape
 from starledger.plans import menu, silver
 from starledger.sources.readers import scan_csv
-from starledger.workload.oracle import AMOUNT, CUSTOMER_ID, padded
+from starledger.workload.oracle import AMOUNT, padded
 from starledger.workload.registry import Context, query
-from starledger.workload.roles import cents, customer_id, every, padded as padded_column
+from starledger.workload.roles import cents, every, padded as padded_column
 
 
 @query("explode_records", f"SELECT {padded('S', 'o_orderkey')} AS order_id, o_orderkey % 7 AS version FROM orders")

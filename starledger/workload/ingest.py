@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from starledger.operators.reshape import explode_records
-from starledger.plans.silver import CUSTOMER, flatten_customer, flatten_location
-from starledger.operators.reshape import project
+from starledger.operators.reshape import explode_records, project
+from starledger.plans.silver import CUSTOMER, flatten_location
 from starledger.sources import bronze, pages, readers, tables
 from starledger.sources.schemas import CUSTOMER as CUSTOMER_TYPE
 from starledger.sources.schemas import envelope, record_type
-from starledger.workload.oracle import AMOUNT, padded
+from starledger.workload.oracle import AMOUNT
 from starledger.workload.registry import Context, query
 from starledger.workload.roles import cents, every
-from pyspark.sql import types as T
 
 _CUSTOMER_COLUMNS = ", ".join(name for name, _, _ in CUSTOMER)
 

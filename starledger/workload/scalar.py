@@ -143,6 +143,19 @@ def array_size(c: Context) -> DataFrame:
     )
 
 
+@query(
+    "array_get",
+    """SELECT event_id, event_type AS first, CASE WHEN event_id % 3 = 0 THEN CAST(user_id AS VARCHAR) END AS second,
+    CAST(NULL AS VARCHAR) AS third FROM events""",
+)
+def array_get(c: Context) -> DataFrame:
+    """Elements by position; NULL past the end."""
+    short = F.array("event_type")
+    values = F.when(every("event_id", 3), F.array("event_type", F.col("user_id").cast("string"))).otherwise(short)
+    places = {name: F.get(values, F.lit(i)) for i, name in enumerate(("first", "second", "third"))}
+    return c.table("events").select("event_id", *[column.alias(name) for name, column in places.items()])
+
+
 @query(
     "ratio",
     """SELECT o_orderkey, CASE WHEN o_custkey % 5 <> 0 THEN o_totalprice / (o_custkey % 5) END AS share,
