@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
-from starledger.llm import quality
+from starledger.llm import quality, tokens
+from starledger.llm.common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,3 +27,15 @@ def query(run: Query) -> Query:
 @query
 def op1_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(table(spark, sf_dir, "documents")).drop("row_hash")
+
+
+@query
+def op7_bit_plane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{Scratch(spark, 'id_files').root}/ids"
+    tokens.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
+    return tokens.read_ids(spark, folder)
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
