@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
-from starledger.llm import neardup, quality, tokens
+from starledger.llm import decontaminate, neardup, quality, tokens
 from starledger.llm.common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,12 @@ def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85).drop("text_hash")
 
 
+@query
+def op6_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated_windows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
 @query
 def op7_bit_plane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{Scratch(spark, 'id_files').root}/ids"
