@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
-from starledger.llm import decontaminate, neardup, quality, tokens
+from starledger.llm import decontaminate, mixing, neardup, quality, sharding, tokens
 from starledger.llm.common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,16 @@ def op1_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(table(spark, sf_dir, "documents")).drop("row_hash")
 
 
+@query
+def op2_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.calibrated(table(spark, sf_dir, "documents")).drop("row_hash")
+
+
+@query
+def op4_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.interleave(table(spark, sf_dir, "documents")).drop("copy")
+
+
 @query
 def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85).drop("text_hash")
