@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
-from starledger.llm import decontaminate, mixing, neardup, quality, sharding, tokens
+from starledger.llm import decontaminate, html_consensus, mixing, neardup, quality, sharding, tokens
 from starledger.llm.common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def op2_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.calibrated(table(spark, sf_dir, "documents")).drop("row_hash")
 
 
+@query
+def op3_consensus_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_consensus.main_texts(table(spark, sf_dir, "pages"))
+
+
 @query
 def op4_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(table(spark, sf_dir, "documents")).drop("copy")
