@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from starledger.llm.common import Scratch
 
+# A quoted value may hold "<" within 2,000 characters only, so that unclosed quotes cost no more than that.
+_QUOTED = r"""(?:"(?:[^"<]*+|[^"]{0,2000})"|'(?:[^'<]*+|[^']{0,2000})')"""
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>[^>\"']*+(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*+)*+)>"
-    r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs2>[^>]*)>",
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^<>]*>"
+    rf"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>[^<>\"']*+(?:{_QUOTED}[^<>\"']*+)*+)>"
+    r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs2>[^<>]*)>",
     re.S,
 )
 _ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starledger.llm import decontaminate, html_consensus, mixing, neardup, quality, sharding, tokens
+from starledger.llm import decontaminate, html_consensus, language, log_templates, mixing, neardup, quality, sharding, tokens
 from starledger.llm.common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,18 @@ def op7_bit_plane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_ids(spark, folder)
 
 
+@query
+def op8_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+
+
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op10_log_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = log_templates.drop_templates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = F.coalesce("text", F.lit(""))
+    return cut.select("doc_id", "n_lines", "n_dropped", F.length(text).cast("long").alias("n_chars"), F.crc32(text.cast("binary")).alias("text_crc32"))
