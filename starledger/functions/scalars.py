@@ -12,6 +12,7 @@ _INTEGRAL = {"tinyint", "smallint", "int", "integer", "bigint", "long"}
 
 # What Spark reads as a number or a flag. An integer type takes the whole part.
 _WHOLE = r"^\s*([+-]?\d+)(?:\.\d*)?\s*$"
+_FRACTION = r"^\s*[+-]?\.\d+\s*$"
 _NUMBER = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
 _FLAG = r"(?i)^\s*(?:t|true|y|yes|1|f|false|n|no|0)\s*$"
 
@@ -19,14 +20,15 @@ _FLAG = r"(?i)^\s*(?:t|true|y|yes|1|f|false|n|no|0)\s*$"
 def lenient_cast(text: Column, to: str) -> Column:
     """Text to a type, or NULL where it cannot be read.
 
-    A decimal text such as ``"12.5"`` read as an integer type keeps its whole part. Numbers and flags are
+    A decimal text such as ``"12.5"`` or ``".5"`` read as an integer type keeps its whole part. Numbers and flags are
     matched by a pattern first: a failing ``try_cast`` of those costs an exception per row, which on dirty
     columns takes many times longer than the rest of the query.
     """
     if to == "timestamp":
         return parse_timestamp(text)
     if to in _INTEGRAL:
-        return F.nullif(F.regexp_extract(text, _WHOLE, 1), F.lit("")).try_cast(to)
+        whole = F.nullif(F.regexp_extract(text, _WHOLE, 1), F.lit("")).try_cast(to)
+        return F.when(F.rlike(text, F.lit(_FRACTION)), F.lit(0).cast(to)).otherwise(whole)
     if to == "boolean":
         return F.when(F.rlike(text, F.lit(_FLAG)), text).try_cast(to)
     if to in ("float", "double") or to.startswith("decimal"):

@@ -8,18 +8,21 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 def write_bronze(
     df: DataFrame, path: str, source: str, ingested_at: str, location_id: str | None = None
 ) -> DataFrame:
-    """Add a snapshot of records to a folder and return its manifest, one row.
+    """Put a snapshot of records into a folder and return its manifest, one row.
 
-    Records go out one per line with their metadata beside them, in a partition named after the snapshot, so
-    a snapshot of any size is written by many tasks and read back by many. ``record_count`` is observed
-    while writing, in the same pass.
+    Records go out one per line under ``record``, with their metadata beside it, so that no field of a record
+    meets a field of the snapshot; a frame of just a ``record`` column is taken as it is. The partition is
+    named after the snapshot: one of any size is written and read by many tasks, and a snapshot that is
+    delivered again replaces itself. ``record_count`` is observed while writing, in the same pass.
     """
     seen = Observation()
-    stamped = df.withColumns({"source": F.lit(source), "location_id": F.lit(location_id).cast("string")})
+    records = df if df.columns == ["record"] else df.select(F.struct("*").alias("record"))
+    stamped = records.withColumns({"source": F.lit(source), "location_id": F.lit(location_id).cast("string")})
     (
         stamped.observe(seen, F.count(F.lit(1)).alias("record_count"))
         .withColumn("ingested_at", F.lit(ingested_at))
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("ingested_at")
         .json(path)
     )

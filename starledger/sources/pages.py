@@ -2,32 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 
-def _chain(pages: DataFrame, records_field: str, record_type: str) -> DataFrame:
-    """Parse the page bodies up to the last page of the chain: the first one without a next cursor."""
-    body = F.from_json("body", f"cursor string, {records_field} array<{record_type}>").alias("page")
-    parsed = pages.select("page_no", body)
-    no_cursor = F.coalesce(F.col("page.cursor"), F.lit("")) == ""
-    last = parsed.filter(no_cursor).agg(F.min("page_no")).scalar()
-    return parsed.filter(F.col("page_no") <= F.coalesce(last, F.col("page_no")))
+def _chains(pages: DataFrame, chain: Sequence[str]) -> DataFrame:
+    """The pages up to the last one of their chain: the first one without a next cursor.
+
+    Chains are told apart by the columns ``chain``. Only the cursor is parsed to find the last pages; their
+    minimum per chain is combined before the shuffle and joined back.
+    """
+    keys = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")).alias(f"__k{i}") for i, c in enumerate(chain)] or [F.lit("").alias("__k0")]
+    names = [f"__k{i}" for i in range(len(keys))]
+    cursor = F.coalesce(F.from_json("body", "cursor string")["cursor"], F.lit(""))
+    last = pages.where(cursor == "").select(*keys, "page_no").groupBy(*names).agg(F.min("page_no").alias("__last"))
+    kept = pages.withColumns({n: k for n, k in zip(names, keys, strict=True)}).join(last, names, "left")
+    return kept.where(F.col("__last").isNull() | (F.col("page_no") <= F.col("__last"))).select(*chain, "page_no", "body")
 
 
-def merge_pages(pages: DataFrame, records_field: str, record_type: str) -> DataFrame:
-    """Records of cursor-linked pages, as ``(page_no, position, record)``.
+def merge_pages(pages: DataFrame, records_field: str, record_type: str, chain: Sequence[str] = ()) -> DataFrame:
+    """Records of cursor-linked pages, as ``(*chain, page_no, position, record)``.
 
-    ``pages`` holds ``page_no`` and ``body``, the JSON text of a page. Pages after the first one without a
-    cursor are not part of the chain. A page without its record array counts as empty.
+    ``pages`` holds ``page_no``, ``body`` (the JSON text of a page) and the columns ``chain`` that name a
+    source; without any, all pages are one chain. Pages of a chain after its first one without a cursor are
+    not part of it; a chain without such a page is taken whole. A page without its record array is empty.
     """
-    return _chain(pages, records_field, record_type).select(
-        "page_no", F.posexplode(f"page.{records_field}").alias("position", "record")
-    )
+    records = F.from_json("body", f"{records_field} array<{record_type}>")[records_field]
+    return _chains(pages, chain).select(*chain, "page_no", F.posexplode(records).alias("position", "record"))
 
 
-def page_report(pages: DataFrame, records_field: str, record_type: str) -> DataFrame:
-    """One row: pages in the chain and records in them."""
-    size = F.coalesce(F.size(f"page.{records_field}"), F.lit(0))
-    return _chain(pages, records_field, record_type).agg(
+def page_report(pages: DataFrame, records_field: str, record_type: str, chain: Sequence[str] = ()) -> DataFrame:
+    """Pages in each chain and records in them; one row for one chain."""
+    size = F.coalesce(F.size(F.from_json("body", f"{records_field} array<{record_type}>")[records_field]), F.lit(0))
+    return _chains(pages, chain).groupBy(*chain).agg(
         F.count("*").alias("pages"), F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("records")
     )

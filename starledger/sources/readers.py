@@ -5,18 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
-def scan_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def _with_bad(schema: T.StructType | str, bad: str | None) -> tuple[T.StructType, dict]:
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if bad is None:
+        return schema, {}
+    return T.StructType(schema.fields + [T.StructField(bad, T.StringType())]), {"columnNameOfCorruptRecord": bad}
+
+
+def scan_json(spark: SparkSession, path: str, schema: T.StructType | str, bad: str | None = None) -> DataFrame:
     """A folder of JSON files that hold one object, or one array of objects, over many lines.
 
     Such a file is read by one task. Keep files small; large snapshots belong in line-delimited files, see
-    :func:`scan_json_lines`.
+    :func:`scan_json_lines`. Text that cannot be read goes to the column ``bad`` where one is named.
     """
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    schema, options = _with_bad(schema, bad)
+    return spark.read.schema(schema).options(multiLine=True, **options).json(path)
+
 
+def scan_json_lines(spark: SparkSession, path: str, schema: T.StructType | str, bad: str | None = None) -> DataFrame:
+    """A folder of line-delimited JSON, which Spark splits over tasks; see :func:`scan_json` for ``bad``."""
+    schema, options = _with_bad(schema, bad)
+    return spark.read.schema(schema).options(**options).json(path)
 
-def scan_json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A folder of line-delimited JSON, which Spark splits over tasks."""
-    return spark.read.schema(schema).json(path)
+
+def bad_records(df: DataFrame, bad: str) -> DataFrame:
+    """One row: records read, and how many of them could not be read."""
+    # Spark refuses to read the column of bad text alone, so another one is read with it.
+    seen = df.select(F.struct("*").alias("r"))
+    return seen.agg(F.count("*").alias("records"), F.count(F.when(F.col("r")[bad].isNotNull(), F.col("r"))).alias("bad_records"))
 
 
 def scan_json_inferred(spark: SparkSession, path: str) -> DataFrame:
@@ -38,9 +54,25 @@ def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.table(name)
 
 
-def source_files(df: DataFrame) -> DataFrame:
-    """The files a frame reads and the rows in each. Files without a row are not listed."""
-    return df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count("*").alias("row_count"))
+def source_files(spark: SparkSession, path: str, df: DataFrame | None = None) -> DataFrame:
+    """All files of a folder, also those without rows, from their metadata: file_path, length, modified.
+
+    The names are listed by the driver, as Spark does before any scan. Hidden files are left out. With ``df``,
+    the frame that reads the folder, ``row_count`` holds the rows of each file.
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed, found = at.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(at, True), []
+    while listed.hasNext():
+        f = listed.next()
+        if f.getPath().getName()[0] not in "._":
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    files = spark.createDataFrame(found, "file_path string, length bigint, modified bigint")
+    files = files.withColumn("modified", F.timestamp_millis("modified"))
+    if df is None:
+        return files
+    rows = df.groupBy(F.col("_metadata.file_path").alias("__path")).agg(F.count("*").alias("row_count"))
+    same = F.regexp_replace("file_path", "^file:/+", "/") == F.regexp_replace("__path", "^file:/+", "/")
+    return files.join(rows, same, "left").select("file_path", "length", "modified", F.coalesce("row_count", F.lit(0)).alias("row_count"))
 
 
 def typed_rows(df: DataFrame, column: str, schema: T.StructType | str) -> DataFrame:

@@ -2,31 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starledger.sources.readers import scan_table
 
 
-def _save(df: DataFrame, name: str) -> None:
-    if "/" in name:
-        df.write.mode("overwrite").parquet(name)
-    else:
-        df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def _files(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path for it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _save(df: DataFrame, name: str, partition_by: Sequence[str]) -> None:
+    """A path is written beside the old table and takes its place when it is complete."""
+    if partition_by:
+        # One writer per value, and more where adaptive execution splits a hot one.
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write.mode("overwrite").partitionBy(*partition_by)
+    if "/" not in name:
+        writer.format("parquet").saveAsTable(name)
+        return
+    spark, beside = df.sparkSession, f"{name.rstrip('/')}-{uuid.uuid4().hex}"
+    writer.parquet(f"{beside}.new")
+    files, new = _files(spark, f"{beside}.new")
+    _, to = _files(spark, name)
+    _, old = _files(spark, f"{beside}.old")
+    if files.exists(to) and not files.rename(to, old):
+        raise OSError(f"{name} cannot be moved away")
+    if not files.rename(new, to):
+        raise OSError(f"{name} cannot be put in place; the old table is at {old}")
+    files.delete(old, True)
 
 
 def _exists(spark: SparkSession, name: str) -> bool:
     if "/" not in name:
         return spark.catalog.tableExists(name)
-    try:
-        return bool(spark.read.parquet(name).columns)
-    except AnalysisException:
-        return False
+    files, at = _files(spark, name)
+    return files.exists(at)
 
 
-def write_table(df: DataFrame, name: str, evolve_schema: bool = True, skip_empty: bool = False) -> bool:
+def write_table(
+    df: DataFrame, name: str, evolve_schema: bool = True, skip_empty: bool = False, partition_by: Sequence[str] = ()
+) -> bool:
     """Replace a table (a catalog name, or a path where ``name`` holds a slash). True when it was written.
 
+    A table at a path is written beside the old one, which stays whole until the new one is complete.
+    ``partition_by`` makes a folder per value of the columns, with few files each.
+
     With ``evolve_schema`` the new rows bring their own schema; without it they must have that of the table.
     ``skip_empty`` leaves the table as it is when there are no rows.
     """
@@ -37,7 +62,7 @@ def write_table(df: DataFrame, name: str, evolve_schema: bool = True, skip_empty
         new = [(f.name, f.dataType) for f in df.schema.fields]
         if old != new:
             raise ValueError(f"{name} has another schema: {old} is not {new}")
-    _save(df, name)
+    _save(df, name, partition_by)
     return True
 
 

@@ -221,7 +221,7 @@ def min_max_dates(c: Context) -> DataFrame:
 def value_counts(c: Context) -> DataFrame:
     """Records per type, payments per status, stock counts per location; NULL is a value."""
     parts = {
-        "objects": quality.value_counts(explode_records(c.raw("catalog"), "objects"), "record.type"),
+        "objects": quality.value_counts(explode_records(c.narrow("catalog", "objects", ["type"]), "objects"), "record.type"),
         "payment_status": quality.value_counts(c.silver("payment"), "payment_status"),
         "inventory_location": quality.value_counts(c.silver("inventory"), "location_id"),
     }

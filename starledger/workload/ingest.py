@@ -9,7 +9,7 @@ from starledger.plans.silver import CUSTOMER, flatten_location
 from starledger.sources import bronze, pages, readers, tables
 from starledger.sources.schemas import CUSTOMER as CUSTOMER_TYPE
 from starledger.sources.schemas import envelope, record_type
-from starledger.workload.oracle import AMOUNT
+from starledger.workload.oracle import AMOUNT, padded
 from starledger.workload.registry import Context, query
 from starledger.workload.roles import cents, every
 
@@ -25,7 +25,10 @@ def scan_json_multiline(c: Context) -> DataFrame:
     return flatten_location(readers.scan_json(c.spark, path, envelope("locations")))
 
 
-_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+)
 
 
 @query(
@@ -34,7 +37,10 @@ _TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineit
 )
 def list_source_files(c: Context) -> DataFrame:
     """The files behind the tables with their rows, per table."""
-    listed = [readers.source_files(c.table(t)).withColumn("source_name", F.lit(f"{t}.parquet")) for t in _TABLES]
+    listed = [
+        readers.source_files(c.spark, f"{c.sf_dir}/{t}.parquet", c.table(t)).withColumn("source_name", F.lit(f"{t}.parquet"))
+        for t in _TABLES
+    ]
     stacked = listed[0]
     for one in listed[1:]:
         stacked = stacked.unionAll(one)
@@ -84,18 +90,21 @@ _PAGE_RECORD = "struct<id:string,amount:bigint>"
 
 
 def _pages(c: Context) -> DataFrame:
-    """One page per order: no array on some, two records on others, no next cursor on a few."""
+    """One page per order in chains of 1,000: no array on some, two records on others, a few pages after the last."""
     orders = c.table("orders")
     one = F.struct(F.col("o_orderkey").cast("string").alias("id"), cents("o_totalprice").alias("amount"))
     two = F.struct(F.concat(F.col("o_orderkey").cast("string"), F.lit("b")).alias("id"), F.lit(7).alias("amount"))
     records = F.when(every("o_orderkey", 7), None).when(every("o_orderkey", 3), F.array(one, two)).otherwise(F.array(one))
-    cursor = F.when(~every("o_orderkey", 9973, 9000), F.concat(F.lit("after-"), F.col("o_orderkey").cast("string")))
+    cursor = F.when(~every("o_orderkey", 1000, 989), F.concat(F.lit("after-"), F.col("o_orderkey").cast("string")))
     body = F.to_json(F.struct(cursor.alias("cursor"), records.alias("records")))
-    return orders.select(F.col("o_orderkey").alias("page_no"), body.alias("body"))
+    chain = F.floor(F.col("o_orderkey") / 1000).alias("chain")
+    return orders.select(chain, F.col("o_orderkey").alias("page_no"), body.alias("body"))
 
 
-_CHAIN = f"""WITH chain AS (SELECT *, {AMOUNT} AS amount FROM orders WHERE o_orderkey <=
-  coalesce((SELECT min(o_orderkey) FROM orders WHERE o_orderkey % 9973 = 9000), o_orderkey))"""
+_CHAIN = f"""WITH ends AS (SELECT o_orderkey // 1000 AS c, min(o_orderkey) AS last FROM orders
+  WHERE o_orderkey % 1000 = 989 GROUP BY 1),
+  chain AS (SELECT o.*, {AMOUNT} AS amount, o_orderkey // 1000 AS c FROM orders o LEFT JOIN ends e
+  ON o_orderkey // 1000 = e.c WHERE e.last IS NULL OR o_orderkey <= e.last)"""
 
 
 @query(
@@ -106,17 +115,18 @@ _CHAIN = f"""WITH chain AS (SELECT *, {AMOUNT} AS amount FROM orders WHERE o_ord
     UNION ALL SELECT o_orderkey, 1, o_orderkey || 'b', 7 FROM chain WHERE o_orderkey % 7 <> 0 AND o_orderkey % 3 = 0""",
 )
 def merge_pages(c: Context) -> DataFrame:
-    return pages.merge_pages(_pages(c), "records", _PAGE_RECORD).select("page_no", "position", "record.*")
+    merged = pages.merge_pages(_pages(c), "records", _PAGE_RECORD, ["chain"])
+    return merged.select("page_no", "position", "record.*")
 
 
 @query(
     "merge_pages_report",
     f"""{_CHAIN}
-    SELECT count(*) AS pages, CAST(sum(CASE WHEN o_orderkey % 7 = 0 THEN 0 WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END)
-    AS BIGINT) AS records FROM chain""",
+    SELECT c AS chain, count(*) AS pages, CAST(sum(CASE WHEN o_orderkey % 7 = 0 THEN 0 WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END)
+    AS BIGINT) AS records FROM chain GROUP BY c""",
 )
 def merge_pages_report(c: Context) -> DataFrame:
-    return pages.page_report(_pages(c), "records", _PAGE_RECORD)
+    return pages.page_report(_pages(c), "records", _PAGE_RECORD, ["chain"])
 
 
 _SNAPSHOTS = ("20260820_000000", "20260821_000000")
@@ -134,7 +144,7 @@ def bronze_envelope_write(c: Context) -> DataFrame:
     """Two snapshots of all customers, written and read back."""
     path = c.scratch("bronze-customers")
     records = explode_records(c.raw("customers"), "customers")
-    for at in _SNAPSHOTS:
+    for at in (*_SNAPSHOTS, _SNAPSHOTS[-1]):  # the last one is delivered twice
         bronze.write_bronze(records, path, "customers service", at, "L0001")
     schema = T.StructType().add("record", record_type("customers"))
     return bronze.read_bronze(c.spark, path, schema).select(
@@ -157,6 +167,37 @@ def bronze_manifest(c: Context) -> DataFrame:
     return bronze.write_bronze(records, c.scratch("bronze-orders"), "orders service", _SNAPSHOTS[0])
 
 
+@query(
+    "bronze_flat_records",
+    f"""SELECT '20260820_000000' AS ingested_at, 'orders service' AS source, 'L0001' AS location_id,
+    {padded('S', 'o_orderkey')} AS order_id, o_orderpriority AS own_source,
+    {padded('L', '(o_custkey % 27)', 4)} AS own_location_id FROM orders""",
+)
+def bronze_flat_records(c: Context) -> DataFrame:
+    """Flat orders that have a source and a location of their own beside those of the snapshot."""
+    path = c.scratch("bronze-flat")
+    wanted = ["id", "location_id", "source.name"]
+    record = explode_records(c.narrow("orders", "orders", wanted), "orders")
+    flat = record.select("record.id", F.col("record.source.name").alias("source"), "record.location_id")
+    bronze.write_bronze(flat, path, "orders service", _SNAPSHOTS[0], "L0001")
+    own = F.col("record")
+    return bronze.read_bronze(c.spark, path, T.StructType().add("record", flat.schema)).select(
+        "ingested_at", "source", "location_id", own["id"].alias("order_id"), own["source"].alias("own_source"), own["location_id"].alias("own_location_id"),
+    )
+
+
+@query(
+    "scan_json_bad_records",
+    "SELECT count(*) AS records, CAST(count(CASE WHEN o_orderkey % 50 = 0 THEN 1 END) AS BIGINT) AS bad_records FROM orders",
+)
+def scan_json_bad_records(c: Context) -> DataFrame:
+    """Records counted with those that cannot be read."""
+    path = c.scratch("bad-records")
+    body = F.to_json(F.struct(F.col("o_orderkey").alias("id"), "o_orderstatus"))
+    c.table("orders").select(F.when(every("o_orderkey", 50), F.substring(body, 1, 7)).otherwise(body).alias("value")).write.text(path)
+    return readers.bad_records(readers.scan_json_lines(c.spark, path, "id bigint, o_orderstatus string", bad="bad"), "bad")
+
+
 @query("bronze_fixed_write", "SELECT customer_id, email_address FROM o_customer")
 def bronze_fixed_write(c: Context) -> DataFrame:
     """A snapshot replaced by the next one."""

@@ -86,13 +86,15 @@ LAYERS = {
   {GROSS} AS gross_sales_amount, {DISCOUNT} AS discount_amount, {TAX} AS tax_amount,
   CAST(0 AS BIGINT) AS service_charge_amount, CAST(NULL AS BIGINT) AS card_surcharge_amount,
   {GROSS} - {DISCOUNT} + {TAX} AS total_amount, {GROSS} AS variation_total_price_amount
-  FROM lineitem WHERE l_linenumber NOT IN (6, 7)
+  FROM lineitem
   UNION ALL
   SELECT {_LINE_PARENT}, {LINE_ID} || '-free', {LINE_VARIATION}, NULL, NULL, NULL, 'CUSTOM_AMOUNT',
   CAST(1 AS DECIMAL(18,3)), NULL, NULL, NULL, NULL, NULL, NULL, NULL, CAST(0 AS BIGINT), NULL
-  FROM lineitem WHERE l_linenumber NOT IN (6, 7) AND l_discount >= 0.09
+  FROM lineitem WHERE l_discount >= 0.09
   UNION ALL
-  SELECT {_LINE_PARENT}, {EMPTY_LINE} FROM lineitem WHERE l_linenumber IN (6, 7)""",
+  SELECT {_LINE_PARENT}, {EMPTY_LINE} FROM lineitem WHERE l_linenumber = 1 AND l_orderkey % 97 = 0
+  UNION ALL
+  SELECT {_LINE_PARENT}, {EMPTY_LINE} FROM lineitem WHERE l_linenumber = 1 AND l_orderkey % 89 = 0""",
     "o_tender_parent": f"""SELECT *, {AMOUNT} AS amt, {padded('S', 'o_orderkey')} AS order_id,
   {BUSINESS_ID} AS business_order_id, {padded('L', '(o_custkey % 27)', 4)} AS order_location_id,
   (o_orderkey % 13 <> 0 AND o_orderkey % 11 <> 0) AS has_tender

@@ -27,8 +27,12 @@ class Context:
         return self.star[f"raw_{name}"]
 
     def silver(self, name: str) -> DataFrame:
-        """A silver table, computed from the raw records as part of the query."""
-        return self.star.compute(name)
+        """A stored silver table: scans of it are pruned and filtered by Spark."""
+        return self.star[name]
+
+    def narrow(self, name: str, entity: str, paths: list[str]) -> DataFrame:
+        """Raw records under a schema of only the given paths."""
+        return self.star.narrow(f"raw_{name}", entity, paths)
 
     @property
     def star(self) -> roles.Layers:

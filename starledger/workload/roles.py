@@ -42,13 +42,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores where the files behind a frame give fewer tasks than that.
-
-    Building nested records costs far more than reading their rows. A large table has more splits than the
-    cluster has cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    """Deal rows out over the session's shuffle partitions: building nested records costs far more than reading."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 # -- helpers for nested records --------------------------------------------------------------------
@@ -303,8 +298,8 @@ def line_struct() -> dict:
 def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with their lines, one order version per line of the table.
 
-    A line with a high discount brings a second, free line. Versions with line number 6 have an empty array,
-    those with 7 none.
+    A line with a high discount brings a second, free line. Some orders have one more version with an empty
+    array, some one without an array.
     """
     line = line_struct()
     free = dict(
@@ -315,8 +310,8 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         total_money=money(F.lit(0)),
     )
     lines = when(
-        (F.col("l_linenumber") == 7, None),
-        (F.col("l_linenumber") == 6, []),
+        (F.col("version") == "missing", None),
+        (F.col("version") == "empty", []),
         (F.col("l_discount") >= 0.09, [line, free]),
         otherwise=[line],
     )
@@ -326,7 +321,10 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         location_id=location_id("l_suppkey"),
         line_items=lines,
     )
-    return enveloped(line_values(table(spark, sf_dir, "lineitem")), "orders", order)
+    first = F.col("l_linenumber") == 1
+    extra = [F.when(first & every("l_orderkey", 97), "empty"), F.when(first & every("l_orderkey", 89), "missing")]
+    versions = F.explode(F.filter(F.array(F.lit("full"), *extra), lambda v: v.isNotNull()))
+    return enveloped(line_values(table(spark, sf_dir, "lineitem")).withColumn("version", versions), "orders", order)
 
 
 def payment_struct() -> dict:
@@ -602,6 +600,9 @@ NEEDED = {
     "order_line": ("orders", ["id", "reference_id", "location_id", "line_items"]),
     "order_tender": ("orders", ["id", "reference_id", "location_id", "tenders"]),
     "payment": ("payments", [path for _, path, _ in silver.PAYMENT]),
+    "customer": ("customers", [path for _, path, _ in silver.CUSTOMER] + ["segment_ids", "version"]),
+    "catalog_item": ("objects", ["type"] + [path for _, path, _ in silver.CATALOG_ITEM]),
+    "catalog_variation": ("objects", ["type"] + [path for _, path, _ in silver.CATALOG_VARIATION]),
 }
 SILVER: dict[str, Build] = {
     "order_header": (silver.flatten_order_header, ("raw_orders",)),
@@ -638,8 +639,11 @@ class Layers(Mapping):
         build, sources = SILVER[name] if name in SILVER else STAR[name]
         return build(*[self[s] for s in sources])
 
+    def narrow(self, name: str, entity: str, paths: list[str]) -> DataFrame:
+        """A raw table, stored first where it is not, under a schema of the given record paths only."""
+        return self._read(name, narrowed(entity, paths))
+
     def _read(self, name: str, schema: T.StructType) -> DataFrame:
-        """A stored table, stored first where it is not, under a schema of fewer fields."""
         self[name]
         return self._spark.read.schema(schema).parquet(f"{self._folder}/{name}")
 

@@ -1,5 +1,5 @@
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from starledger.session import scratch_path
 from starledger.sources import bronze, pages, readers, tables
@@ -23,7 +23,8 @@ def test_bronze_snapshots_repeat_the_entity(spark):
     path = scratch_path(spark, "test-bronze")
     df = spark.createDataFrame([(("1",),), (("2",),)], "record struct<id:string>")
     first = bronze.write_bronze(df, path, "service", "20240101", "L")
-    bronze.write_bronze(df, path, "service", "20240102")
+    for _ in range(2):  # delivered again, it replaces itself
+        bronze.write_bronze(df, path, "service", "20240102")
     assert tuple(first.first()) == ("20240101", "service", "L", 2)
     back = bronze.read_bronze(spark, path, df.schema)
     assert back.count() == 4 and back.filter(F.col("location_id").isNull()).count() == 2
@@ -34,7 +35,42 @@ def test_multi_line_json_and_absent_fields(spark, tmp_path):
     (tmp_path / "b.json").write_text('{"customers": null}')
     df = readers.scan_json(spark, str(tmp_path), envelope("customers"))
     assert df.count() == 2
-    assert readers.source_files(df.select("*", "_metadata")).count() == 2
+    (tmp_path / "c.json").write_text("")
+    files = readers.source_files(spark, str(tmp_path), df.select("*", "_metadata"))
+    assert sorted(r.row_count for r in files.collect()) == [0, 1, 1]
+
+
+def test_chains_end_apart_and_one_without_an_end_is_whole(spark):
+    rows = [("a", 1, '{"records":[{"id":"1"}]}'), ("a", 2, '{"records":[{"id":"late"}]}'), ("b", 5, '{"cursor":"x","records":[{"id":"2"}]}'), (None, 7, '{"records":[{"id":"3"}]}')]
+    df = spark.createDataFrame(rows, "source string, page_no int, body string")
+    got = pages.merge_pages(df, "records", "struct<id:string>", ["source"])
+    assert {(r.source, r.record.id) for r in got.collect()} == {("a", "1"), ("b", "2"), (None, "3")}
+
+
+def test_flat_records_keep_fields_named_like_the_snapshots(spark):
+    path = scratch_path(spark, "test-flat")
+    df = spark.createDataFrame([("1", "web", "L9")], "id string, source string, location_id string")
+    bronze.write_bronze(df, path, "orders service", "20240101", "L1")
+    row = bronze.read_bronze(spark, path, T.StructType().add("record", df.schema)).first()
+    assert (row.source, row.location_id, row.record.source, row.record.location_id) == ("orders service", "L1", "web", "L9")
+
+
+def test_bad_records_are_counted(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id":"1"}\n{"id":\n')
+    df = readers.scan_json_lines(spark, str(tmp_path), "id string", bad="bad")
+    assert tuple(readers.bad_records(df, "bad").first()) == (2, 1)
+
+
+def test_partitioned_table_and_a_failing_write_that_keeps_the_old_one(spark):
+    path = scratch_path(spark, "test-parts")
+    df = spark.range(100).select("id", (F.col("id") % 3).cast("int").alias("day"))
+    tables.write_table(df, path, partition_by=["day"])
+    tables.write_table(df, path, partition_by=["day"])
+    assert readers.scan_table(spark, path).where("day = 1").count() == 33
+    failing = df.withColumn("id", F.expr("if(id = 50, raise_error('no'), id)"))
+    with pytest.raises(Exception):
+        tables.write_table(failing, path)
+    assert readers.scan_table(spark, path).count() == 100
 
 
 def test_strict_write_refuses_another_schema_and_empty_rows_change_nothing(spark):
