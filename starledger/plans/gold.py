@@ -15,6 +15,7 @@ from starledger.functions.scalars import full_name
 from starledger.operators.calendar import date_spine, dim_date, order_date_mapping
 from starledger.operators.keys import surrogate_key
 from starledger.operators.reshape import drop_all_null_columns
+from starledger.session import releasing
 
 # Columns of the dimensions and facts, in order, after their surrogate key.
 CUSTOMER_COLUMNS = (
@@ -87,8 +88,8 @@ def build_dim_product(variation: DataFrame, item: DataFrame) -> DataFrame:
 
 
 def build_dim_location(location: DataFrame) -> DataFrame:
-    """Locations as they are, without columns that hold no value."""
-    return surrogate_key(drop_all_null_columns(location, ["location_id"]), ["location_id"], "location_key")
+    """Locations as they are, without columns that hold no value; those that reports name stay."""
+    return surrogate_key(drop_all_null_columns(location, ["location_id", "location_name", "state"]), ["location_id"], "location_key")
 
 
 def join_order(
@@ -178,9 +179,11 @@ STAR: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
 def build_star(silver: dict[str, DataFrame], save: Callable[[str, DataFrame], DataFrame]) -> dict[str, DataFrame]:
     """All gold tables from the silver ones. ``save`` stores a table and returns it as read back.
 
-    Each table is stored before others are built on it, so none is computed twice.
+    Each table is stored before others are built on it, so none is computed twice. Intermediate copies are
+    deleted as soon as the table made of them is stored.
     """
     tables = dict(silver)
     for name, (build, sources) in STAR.items():
-        tables[name] = save(name, build(*[tables[s] for s in sources]))
+        with releasing(tables[sources[0]].sparkSession):
+            tables[name] = save(name, build(*[tables[s] for s in sources]))
     return {name: tables[name] for name in STAR}

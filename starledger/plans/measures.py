@@ -25,8 +25,8 @@ def _distinct(column: str):
 
 
 PARTS = {
-    "sales_amount": Part("fact_sales", _sum("total_amount")),
-    "sales_quantity": Part("fact_sales", _sum("quantity")),
+    "sales_amount": Part("fact_sales", _sum("total_amount"), merge="sum"),
+    "sales_quantity": Part("fact_sales", _sum("quantity"), merge="sum"),
     "sales_products": Part("fact_sales", _distinct("product_key")),
     "sales_days": Part("fact_sales", _distinct("date_key")),
     "orders": Part("fact_order", _distinct("order_id")),
@@ -39,20 +39,20 @@ PARTS = {
     ),
     "customers": Part("dim_customer", _distinct("customer_key")),
     "payments": Part("fact_payment", _distinct("payment_key")),
-    "payment_amount": Part("fact_payment", _sum("amount")),
+    "payment_amount": Part("fact_payment", _sum("amount"), merge="sum"),
     "payments_completed": Part(
         "fact_payment",
         lambda: distinct_with_null(F.col("payment_key"), F.col("payment_status") == COMPLETED),
         replaces="fact_payment.payment_status",
     ),
-    "stock": Part("fact_inventory", _sum("quantity")),
+    "stock": Part("fact_inventory", _sum("quantity"), merge="sum"),
     "stock_in": Part("fact_inventory", lambda: distinct_with_null(F.col("product_key"), F.col("quantity") > 0)),
     "stock_out": Part("fact_inventory", lambda: distinct_with_null(F.col("product_key"), F.col("quantity") <= 0)),
     "stock_mean": Part(
         "fact_inventory", lambda: F.avg("inner_value"), per="product_key", inner=lambda: F.sum("quantity")
     ),
-    "stock_max": Part("fact_inventory", lambda: F.max("quantity")),
-    "stock_min": Part("fact_inventory", lambda: F.min("quantity")),
+    "stock_max": Part("fact_inventory", lambda: F.max("quantity"), merge="max"),
+    "stock_min": Part("fact_inventory", lambda: F.min("quantity"), merge="min"),
 }
 
 
@@ -73,11 +73,11 @@ MEASURES = {
     "total_orders": Measure(("orders",), _same),
     "total_quantity_sold": Measure(("sales_quantity",), _same),
     "average_order_value": Measure(
-        ("sales_amount", "orders"), lambda a, n: ratio(major_units(a), n, F.lit(0.0))
+        ("sales_amount", "orders"), lambda a, n: ratio(major_units(a), n, F.lit(0.0)), never_blank=True
     ),
     "total_customers": Measure(("customers",), _same),
     "customers_with_orders": Measure(("buyers",), _same),
-    "repeat_customers": Measure(("returning",), _zero),
+    "repeat_customers": Measure(("returning",), _zero, never_blank=True),
     "sales_per_customer": Measure(("sales_amount", "buyers"), _sales_per),
     "total_payments": Measure(("payments",), _same),
     "total_payment_amount": Measure(("payment_amount",), _same),
@@ -86,7 +86,7 @@ MEASURES = {
     "payment_success_rate": Measure(("payments_completed", "payments"), ratio),
     "total_inventory_quantity": Measure(("stock",), _same),
     "products_in_stock": Measure(("stock_in",), _same),
-    "out_of_stock_products": Measure(("stock_out",), _zero),
+    "out_of_stock_products": Measure(("stock_out",), _zero, never_blank=True),
     "average_inventory_quantity": Measure(("stock_mean",), _same),
     "maximum_inventory_quantity": Measure(("stock_max",), _same),
     "minimum_inventory_quantity": Measure(("stock_min",), _same),
@@ -95,7 +95,7 @@ MEASURES = {
     "sales_per_product": Measure(("sales_amount", "sales_products"), _sales_per),
     # An average per day with sales, despite its name.
     "daily_sales": Measure(("sales_amount", "sales_days"), _sales_per),
-    "repeat_customer_rate": Measure(("returning", "buyers"), lambda r, n: F.coalesce(ratio(_zero(r), n), F.lit(0.0))),
+    "repeat_customer_rate": Measure(("returning", "buyers"), lambda r, n: F.coalesce(ratio(_zero(r), n), F.lit(0.0)), never_blank=True),
 }
 
 

@@ -39,7 +39,8 @@ class Part:
     """One aggregate over one table.
 
     With ``per`` the table is first aggregated by that column into ``inner``, and ``of`` aggregates those
-    rows. ``replaces`` names a column whose grouping the part's own condition replaces.
+    rows. ``replaces`` names a column whose grouping the part's own condition replaces. ``merge`` (sum, max or
+    min) says how results of parts of the rows are put together, where they can be.
     """
 
     table: str
@@ -47,14 +48,16 @@ class Part:
     per: str | None = None
     inner: Callable[[], Column] | None = None
     replaces: str | None = None
+    merge: str | None = None
 
 
 @dataclass(frozen=True)
 class Measure:
-    """A value computed from named parts."""
+    """A value computed from named parts. A ``never_blank`` one has a value for members without facts too."""
 
     parts: tuple[str, ...]
     value: Callable[..., Column]
+    never_blank: bool = False
 
 
 def related(table: str, other: str) -> bool:
@@ -72,10 +75,19 @@ def in_context(
     to the table do not apply.
     """
     groups, filters = groups or {}, filters or {}
+    return _joined(_own(tables, table, groups, filters), tables, table, groups, filters)
+
+
+def _own(tables: Tables, table: str, groups: Mapping[str, tuple[str, str]], filters: Filters) -> DataFrame:
+    """A table under its own filter, with the group columns it owns."""
     df = tables[table]
     if table in filters:
         df = df.filter(filters[table])
-    df = df.withColumns({name: F.col(column) for name, (owner, column) in groups.items() if owner == table})
+    return df.withColumns({name: F.col(column) for name, (owner, column) in groups.items() if owner == table})
+
+
+def _joined(df: DataFrame, tables: Tables, table: str, groups: Mapping[str, tuple[str, str]], filters: Filters) -> DataFrame:
+    """Rows with the keys of a table, joined to the dimensions that filters and groups name."""
     for dim in sorted({owner for owner, _ in groups.values()} | set(filters)):
         if (table, dim) not in RELATIONSHIPS:
             continue
@@ -99,7 +111,38 @@ def limited_by_stock(tables: Tables, stock: Column) -> tuple[Tables, Filters]:
     return limited, {"fact_inventory": stock, "dim_product": F.lit(True)}
 
 
-def _aggregate(df: DataFrame, groups: Sequence[str], parts: Mapping[str, Part]) -> list[DataFrame]:
+def _aggregate(
+    tables: Tables, table: str, groups: Mapping[str, tuple[str, str]], filters: Filters, parts: Mapping[str, Part]
+) -> list[DataFrame]:
+    """Results of the parts of a table per group.
+
+    Parts that merge are aggregated by the table's own keys first, in the tasks that read it; the few rows per
+    key are then joined to dimensions and merged. A two-step part over the one key that leads to its groups is
+    reduced likewise. So a hot or NULL key is one row per task in the join. Distinct counts need their rows.
+    """
+    dims = sorted(d for d in {owner for owner, _ in groups.values()} | set(filters) if (table, d) in RELATIONSHIPS)
+    keys = list(dict.fromkeys(RELATIONSHIPS[table, d][0] for d in dims))
+    own = [name for name, (owner, _) in groups.items() if owner == table]
+    frames, rest = [], dict(parts)
+    if dims:
+        merged = {name: p for name, p in parts.items() if p.merge}
+        if merged:
+            first = _own(tables, table, groups, filters).groupBy(*own, *keys).agg(*[p.of().alias(name) for name, p in merged.items()])
+            kinds = dict(first.dtypes)
+            again = [getattr(F, p.merge)(name).cast(kinds[name]).alias(name) for name, p in merged.items()]
+            frames.append(_joined(first, tables, table, groups, filters).groupBy(*groups).agg(*again))
+        for name, p in parts.items():
+            if p.per is not None and keys == [p.per]:
+                first = _own(tables, table, groups, filters).groupBy(*own, p.per).agg(p.inner().alias("inner_value"))
+                frames.append(_joined(first, tables, table, groups, filters).groupBy(*groups).agg(p.of().alias(name)))
+                rest.pop(name)
+        rest = {name: p for name, p in rest.items() if not p.merge}
+    if rest:
+        frames += _whole(in_context(tables, table, groups, filters), list(groups), rest)
+    return frames
+
+
+def _whole(df: DataFrame, groups: Sequence[str], parts: Mapping[str, Part]) -> list[DataFrame]:
     """One frame for the plain parts of a table, one for each two-step part."""
     plain = {name: p for name, p in parts.items() if p.per is None}
     frames = []
@@ -131,7 +174,10 @@ def evaluate(
     """Measures, alone or per group; ``group_by`` names columns as ``table.column``.
 
     ``filters`` gives a condition per table and reaches every related fact. A part whose table has no path to
-    the group columns shows its total under every group. Groups in which all measures are NULL are left out.
+    some of the group columns is evaluated over the others and repeated; without a path to any it shows its
+    total under every group. Never-blank measures bring the members of the groups' table that have no facts
+    (groups of one table only; combinations of several would need all pairs of members). Groups in which all
+    measures are NULL are left out.
     """
     all_parts, all_measures = library
     groups = {f"group_{i}": tuple(name.split(".", 1)) for i, name in enumerate(group_by)}
@@ -145,17 +191,23 @@ def evaluate(
     for table in dict.fromkeys(p.table for p in parts.values()):
         mine = {name: p for name, p in parts.items() if p.table == table and reached(p)}
         if mine:
-            frames += _aggregate(in_context(tables, table, groups, filters), names, mine)
+            frames += _aggregate(tables, table, groups, filters or {}, mine)
     repeated = {name: p for name, p in parts.items() if not reached(p)}
-    if repeated:
-        owners = {owner for owner, _ in groups.values()}
-        if len(owners) > 1:
-            raise ValueError(f"no path from {sorted(repeated)} to groups of several tables: {sorted(owners)}")
-        frames.append(in_context(tables, owners.pop(), groups, filters).select(*names).distinct())
+    owners = {owner for owner, _ in groups.values()}
+    if groups and (repeated and len(owners) == 1 or len(owners) == 1 and any(all_measures[m].never_blank for m in measures)):
+        frames.append(in_context(tables, next(iter(owners)), groups, filters).select(*names).distinct())
+    if not frames:
+        raise ValueError(f"no table of {sorted(repeated)} has a path to all groups: {sorted(owners)}")
     result = _fold(frames, names)
     for name, p in repeated.items():
-        total = _aggregate(in_context(tables, p.table, {}, filters), [], {name: p})[0]
-        result = result.withColumn(name, total.scalar())
+        near = {g: v for g, v in groups.items() if related(p.table, v[0]) and p.replaces != ".".join(v)}
+        part = _aggregate(tables, p.table, near, filters or {}, {name: p})[0]
+        if not near:
+            result = result.withColumn(name, part.scalar())
+            continue
+        side = part.select(*[F.col(g).alias(f"__{g}") for g in near], name)
+        same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in near])
+        result = result.join(side, same, "left").drop(*[f"__{g}" for g in near])
 
     values = [all_measures[m].value(*[F.col(p) for p in all_measures[m].parts]).alias(m) for m in measures]
     shown = result.select(*[F.col(g).alias(column) for g, (_, column) in groups.items()], *values)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,12 +49,29 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/starledger/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+_STAGED: list[str] = []
+
+
+@contextmanager
+def releasing(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what :func:`stage` wrote inside; for blocks that also store what they built of it."""
+    first = len(_STAGED)
+    try:
+        yield
+    finally:
+        for path in _STAGED[first:]:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        del _STAGED[first:]
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
     Readers scan only the columns they need, and a lost executor rereads files instead of recomputing
-    the plan behind ``df``.
+    the plan behind ``df``. Inside :func:`releasing` the files go once the block has stored its results.
     """
     path = scratch_path(df.sparkSession, label)
+    _STAGED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -77,6 +77,10 @@ _MEASURES = {
 }
 
 
+# Measures that end in "+ 0" or have 0 as their other value: every member of a dimension shows one.
+_NEVER_BLANK = {"average_order_value", "repeat_customers", "out_of_stock_products", "repeat_customer_rate"}
+
+
 def _parts_of(names: list[str]) -> list[str]:
     return [p for p in _PARTS if any(f"{{{p}}}" in _MEASURES[n] for n in names)]
 
@@ -122,6 +126,8 @@ def _grouped(names: list[str], dim: str, column: str, where: str = "") -> str:
             source = f"SELECT g, {inner[1]} AS v FROM ({source}) GROUP BY g, {inner[0]}"
         tables.append(f"p_{part} AS (SELECT g, {outer} AS v FROM ({source}) GROUP BY g)")
     groups = " UNION ".join(f"SELECT g FROM p_{p}" for p in parts)
+    if set(names) & _NEVER_BLANK:
+        groups += f" UNION SELECT {column} FROM {dim} {where}"
     joins = " ".join(f"LEFT JOIN p_{p} ON p_{p}.g IS NOT DISTINCT FROM groups.g" for p in parts)
     values = {p: f"p_{p}.v" for p in parts}
     shown = ", ".join(f"{_MEASURES[n].format(**values)} AS {n}" for n in names)
@@ -155,6 +161,45 @@ def measures_by_date(c: Context) -> DataFrame:
     return measures.measure(c.star, _WIDE, ["dim_date.date"])
 
 
+@query("repeat_customers_by_customer", _grouped(["repeat_customers"], "d_customer", "customer_name"))
+def repeat_customers_by_customer(c: Context) -> DataFrame:
+    """Customers without orders show 0; orders without a customer are one blank member."""
+    return measures.measure(c.star, "repeat_customers", ["dim_customer.customer_name"])
+
+
+@query("out_of_stock_by_item", _grouped(["out_of_stock_products"], "d_product", "item_name"))
+def out_of_stock_by_item(c: Context) -> DataFrame:
+    return measures.measure(c.star, "out_of_stock_products", ["dim_product.item_name"])
+
+
+@query(
+    "measures_by_date_and_item",
+    f"""WITH s AS (SELECT d.date, p.item_name, CAST(sum(f.total_amount) AS BIGINT) AS amount FROM f_sales f
+      LEFT JOIN d_date d ON f.date_key = d.date_key LEFT JOIN d_product p ON f.variation_id = p.variation_id GROUP BY ALL),
+    o AS (SELECT d.date, {_distinct('order_id')} AS orders FROM f_order f LEFT JOIN d_date d ON f.date_key = d.date_key
+      GROUP BY ALL)
+    SELECT s.date, s.item_name, CAST(amount AS DOUBLE) / 100 AS total_sales, orders AS total_orders FROM s
+    LEFT JOIN o ON s.date IS NOT DISTINCT FROM o.date WHERE amount IS NOT NULL OR orders IS NOT NULL""",
+)
+def measures_by_date_and_item(c: Context) -> DataFrame:
+    """Orders have no path to items: the number of a date is repeated under its items."""
+    return measures.measure(c.star, ["total_sales", "total_orders"], ["dim_date.date", "dim_product.item_name"])
+
+
+@query(
+    "average_order_value_by_item_and_location",
+    f"""WITH s AS (SELECT l.location_name, p.item_name, CAST(sum(f.total_amount) AS BIGINT) AS amount FROM f_sales f
+      LEFT JOIN d_location l ON f.location_key = l.location_key LEFT JOIN d_product p ON f.variation_id = p.variation_id
+      GROUP BY ALL),
+    o AS (SELECT l.location_name, {_distinct('order_id')} AS orders FROM f_order f
+      LEFT JOIN d_location l ON f.location_key = l.location_key GROUP BY ALL)
+    SELECT s.item_name, s.location_name, coalesce(CAST(amount AS DOUBLE) / 100 / nullif(orders, 0), 0) AS average_order_value
+    FROM s LEFT JOIN o ON s.location_name IS NOT DISTINCT FROM o.location_name""",
+)
+def average_order_value_by_item_and_location(c: Context) -> DataFrame:
+    return measures.measure(c.star, "average_order_value", ["dim_product.item_name", "dim_location.location_name"])
+
+
 @query(
     "completed_payments_by_status",
     """SELECT payment_status, count(*) AS total_payments,

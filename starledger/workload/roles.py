@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from starledger.plans import silver
 from starledger.plans.gold import STAR
-from starledger.session import scratch_path
+from starledger.session import releasing, scratch_path
 from starledger.sources.schemas import envelope, narrowed
 from starledger.sources.tables import write_table
 
@@ -649,9 +649,10 @@ class Layers(Mapping):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._stored:
-            df = self.compute(name)
             path = f"{self._folder}/{name}"
-            write_table(df, path)
+            with releasing(self._spark):
+                df = self.compute(name)
+                write_table(df, path)
             self._stored[name] = self._spark.read.schema(df.schema).parquet(path)
         return self._stored[name]
 

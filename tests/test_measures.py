@@ -50,6 +50,32 @@ def test_items_group_by_name_and_unknown_products_are_blank(star):
     assert got == {"Soup": (4.0, 3.0, 4), "Tea": (5.0, 1.0, 0), None: (None, 4.0, None)}
 
 
+def test_never_blank_measures_show_members_without_facts(star):
+    assert by(star, ["repeat_customers"], "dim_customer.customer_name") == {"A": (1,), "B": (0,), "C": (0,), None: (1,)}
+    assert by(star, ["out_of_stock_products"], "dim_product.item_name") == {"Soup": (1,), "Tea": (1,)}
+
+
+def test_a_fact_that_reaches_some_groups_is_repeated_under_the_others(star):
+    rows = measures.measure(star, ["total_sales", "total_orders"], ["dim_location.location_name", "dim_product.item_name"]).collect()
+    got = {(r[0], r[1]): (r[2], r[3]) for r in rows}
+    assert got == {("L1", "Soup"): (4.0, 2), ("L2", "Tea"): (5.0, 2), ("L2", None): (None, 2)}
+
+
+def test_mostly_null_keys_agree_and_sums_are_reduced_before_the_join(spark, star):
+    facts = spark.range(1000).selectExpr("cast(if(id % 10 = 0, 1 + id % 3, null) as int) customer_key", "1 date_key", "1 location_key", "'v1' variation_id", "1 product_key", "id as total_amount", "1.0d quantity", "cast(id as int) order_key", "cast(id as string) order_id")
+    tables = {**star, "fact_sales": facts, "fact_order": facts}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = measures.measure(tables, ["total_sales", "repeat_customers"], ["dim_customer.customer_name"])
+        got = {r[0]: (r[1], r[2]) for r in df.collect()}
+        plan = measures.measure(tables, "total_sales", ["dim_customer.customer_name"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = {n: (sum(i for i in range(0, 1000, 10) if i % 3 == k) / 100, 1) for k, n in enumerate("ABC")}
+    assert got == {**want, None: (sum(i for i in range(1000) if i % 10) / 100, 1)}
+    assert plan.index("Join") < plan.rindex("HashAggregate")
+
+
 def test_no_path_repeats_the_total(star):
     assert by(star, "total_sales", "fact_payment.payment_status") == {"COMPLETED": (9.0,), "FAILED": (9.0,)}
 
