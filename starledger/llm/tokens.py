@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starledger.llm.common import Scratch, row_hash
 
 #: Pieces remembered per worker; the memo starts anew beyond it, so memory is bounded.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 600_000
 
 
 def tokenizer_digest(path: str) -> str:
@@ -35,41 +35,119 @@ def _load(path: str):
 
 
 class _Memo(dict):
-    """What the tokenizer gives for a piece of text, asked once per piece."""
+    """What the tokenizer gives for a piece of text, asked once per piece.
 
-    def __init__(self, path: str, kind: str):
-        super().__init__()
-        t = _load(path)
-
-        def lengths(ps: list[bytes]) -> list[int]:
-            return [len(e) for e in t.encode_batch_fast([p.decode() for p in ps], add_special_tokens=False)]
-
-        def ids(ps: list[str]) -> list[bytes]:
-            return [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch_fast(ps, add_special_tokens=False)]
+    When it is full, it becomes the old half, of which only what is still asked for is taken over.
+    """
 
-        self.encode: Callable[[list], list] = {"lengths": lengths, "ids": ids}[kind]
+    def __init__(self, encode: Callable[[list], list]):
+        super().__init__()
+        self.encode, self.old = encode, {}
 
-    def learn(self, pieces: set) -> None:
-        if len(self) > MEMO_PIECES:
+    def missing(self, pieces: set) -> list:
+        """What of ``pieces`` is not known; all that is known stays so until the next call."""
+        if len(self) > MEMO_PIECES // 2:
+            self.old = dict(self)
             self.clear()
-        new = [p for p in pieces if p not in self]
+        new = []
+        for p in [p for p in pieces if p not in self]:
+            if p in self.old:
+                self[p] = self.old[p]
+            else:
+                new.append(p)
+        return new
+
+    def ask(self, new: list) -> None:
         for i in range(0, len(new), 20_000):
             part = new[i : i + 20_000]
             self.update(zip(part, self.encode(part), strict=True))
 
+    def learn(self, pieces: set) -> None:
+        self.ask(self.missing(pieces))
+
+
+class _Words(_Memo):
+    """Numbers of tokens of words, for a tokenizer that drops white space and never joins over it."""
+
+    def __init__(self, path: str):
+        t = _load(path)
+        super().__init__(lambda ps: [len(e) for e in t.encode_batch_fast([p.decode() for p in ps], add_special_tokens=False)])
+
+
+class _Ids:
+    """Ids of texts by a byte-level tokenizer, from the ids of pieces.
+
+    Such a tokenizer starts a new unit at a single space before a visible character, and on both sides of a
+    single newline between visible characters. The ids of a text cut there are the ids of its pieces. Texts
+    with other white space at a cut go through :func:`pieces`, which cuts less.
+    """
+
+    def __init__(self, path: str):
+        t = _load(path)
+
+        def ids(p: str) -> np.ndarray:
+            return np.array(t.encode_batch_fast([p], add_special_tokens=False)[0].ids, "<u4")
+
+        newline = ids("\n")
+
+        def each(ps: list[str], lead: str) -> list[bytes]:
+            """One call for many pieces, as lines of one text: the newline's id parts their ids again."""
+            out = [b""] * len(ps)
+            plain = [i for i, p in enumerate(ps) if "\n" not in p and "<|" not in p and not p[0].isspace() and not p[-1].isspace()]
+            if plain and len(newline) == 1:
+                together = ids("\n".join([lead + ps[i] for i in plain]) + "\n")
+                ends = np.flatnonzero(together == newline[0])
+                if len(ends) == len(plain):
+                    raw, start = together.tobytes(), 0
+                    for i, end in zip(plain, (4 * ends).tolist(), strict=True):
+                        out[i], start = raw[start:end], end + 4
+            for i, got in enumerate(out):
+                if not got:
+                    out[i] = ids(lead + ps[i]).tobytes()
+            return out
+
+        self.plain, self.spaced = _Memo(lambda ps: each(ps, "")), _Memo(lambda ps: each(ps, " "))
+        self.newline, self.comma, self.stop = newline.tobytes(), ids(",").tobytes(), ids(".").tobytes()
+
+    @staticmethod
+    def _regular(pieces: list[str]) -> set[str]:
+        return {p for p in pieces if p and not p[0].isspace() and not p[-1].isspace()}
+
+    def _learn(self, memo: _Memo, pieces: set[str]) -> None:
+        new = self._regular(memo.missing(pieces))
+        # A stop or comma after a letter or digit is a unit of its own.
+        ended = {p for p in new if len(p) > 1 and p[-1] in ".," and p[-2].isalnum()}
+        memo.ask(list((new - ended).union(p[:-1] for p in ended if p[:-1] not in memo)))
+        for p in ended:
+            memo[p] = memo[p[:-1]] + (self.comma if p[-1] == "," else self.stop)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        cut = [[line.split(" ") for line in x.split("\n")] for x in texts]
+        self._learn(self.plain, {line[0] for x in cut for line in x})
+        self._learn(self.spaced, set().union(*[line[1:] for x in cut for line in x]))
+        plain, spaced, out = self.plain.__getitem__, self.spaced.__getitem__, []
+        for text, lines in zip(texts, cut, strict=True):
+            try:
+                out.append(self.newline.join([plain(line[0]) + b"".join(map(spaced, line[1:])) for line in lines]))
+            except KeyError:  # empty, or with irregular white space
+                parts = pieces(text)
+                self.plain.learn(set(parts))
+                out.append(b"".join(map(plain, parts)))
+        return out
+
 
 #: A Python worker runs many tasks; what it has learned stays.
-_MEMOS: dict[tuple[str, str], _Memo] = {}
+_LEARNT: dict[tuple[type, str], _Words | _Ids] = {}
 
 
-def _memo(path: str, kind: str) -> _Memo:
-    if (path, kind) not in _MEMOS:
-        _MEMOS[path, kind] = _Memo(path, kind)
-    return _MEMOS[path, kind]
+def _learnt(kind: type, path: str):
+    if (kind, path) not in _LEARNT:
+        _LEARNT[kind, path] = kind(path)
+    return _LEARNT[kind, path]
 
 
-def _some(column: pa.Array, bytes_at_once: int = 8_000_000) -> Iterator[list[bytes]]:
-    """Whole texts of a batch as UTF-8, NULL as empty, a few megabytes at a time."""
+def _some(column: pa.Array, bytes_at_once: int = 1_000_000) -> Iterator[list[bytes]]:
+    """Whole texts of a batch as UTF-8, NULL as empty, about a megabyte at a time."""
     out, size = [], 0
     for x in column.cast(pa.binary()):
         out.append(x.as_py() or b"")
@@ -86,7 +164,7 @@ def _some(column: pa.Array, bytes_at_once: int = 8_000_000) -> Iterator[list[byt
 
 def _count_misses(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _memo(path, "lengths")
+        memo = _learnt(_Words, path)
         for batch in batches:
             counts: list[int] = []
             for texts in _some(batch.column("text")):
@@ -206,20 +284,12 @@ def pieces(text: str) -> list[str]:
     return out
 
 
-def _plain_pieces(text: str) -> list[str]:
-    """The same for the usual text without runs of white space, in one pass over it."""
-    parts = text.split(" ")
-    if "" in parts or any(map(str.isspace, [p[0] for p in parts])):
-        return pieces(text)
-    return [parts[0], *[" " + p for p in parts[1:]]]
-
-
 def _write_ids(path: str, block: int, chunk_ids: int, plane: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
-        memo = _memo(path, "ids")
+        ids_of = _learnt(_Ids, path)
         end = np.array([end_id], "<u4").tobytes()
         held: list[bytes] = []
         doc_ids: list[int | None] = []
@@ -242,10 +312,8 @@ def _write_ids(path: str, block: int, chunk_ids: int, plane: str, end_id: int):
             names = batch.column("doc_id").to_pylist()
             i = 0
             for texts in _some(batch.column("text")):
-                words = [_plain_pieces(x.decode()) if x else [] for x in texts]
-                memo.learn(set().union(*words))
-                for w in words:
-                    ids = b"".join(map(memo.__getitem__, w)) + end
+                for ids in ids_of.encode([x.decode() for x in texts]):
+                    ids += end
                     held.append(ids)
                     doc_ids.append(names[i])
                     lengths.append(len(ids) // 4)
