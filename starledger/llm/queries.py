@@ -77,3 +77,22 @@ def op10_log_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = log_templates.drop_templates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     text = F.coalesce("text", F.lit(""))
     return cut.select("doc_id", "n_lines", "n_dropped", F.length(text).cast("long").alias("n_chars"), F.crc32(text.cast("binary")).alias("text_crc32"))
+
+
+# CRC-32 over the bytes of a text, by the table of the reflected polynomial 0xEDB88320.
+ORACLES["op4_interleaved_shards"] = """WITH cells AS (SELECT i, list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i)),
+  crc AS (SELECT list(c ORDER BY i) AS t FROM cells),
+  raw AS (SELECT doc_id, source, strlen(coalesce(text, '')) + 8 AS size, hex(encode(coalesce(text, ''))) AS h FROM documents),
+  bytes AS (SELECT doc_id, source, size,
+    list_transform(range(size - 8), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)) AS b FROM raw),
+  docs AS (SELECT doc_id, source, size, md5('shards:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS mix,
+    xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32
+    FROM bytes, crc),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY mix, text_crc32, size) AS r,
+    count(*) OVER (PARTITION BY source) AS n, count(*) OVER () AS total FROM docs),
+  placed AS (SELECT *, row_number() OVER (ORDER BY CAST(2 * r - 1 AS DOUBLE) / CAST(2 * n AS DOUBLE), mix,
+    source NULLS FIRST, text_crc32, size) - 1 AS p FROM ranked)
+  SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law,
+  CAST(p * 24 // total AS INTEGER) AS shard, CAST(p - ((p * 24 // total) * total + 23) // 24 AS BIGINT) AS slot,
+  CAST(NULL AS INTEGER) AS grown_shard FROM placed"""
