@@ -44,6 +44,17 @@ def row_hash(*columns: str) -> Column:
     return F.xxhash64(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))])
 
 
+def bounded_sample(rows: DataFrame, total: int, n: int) -> DataFrame:
+    """The about ``n`` rows of smallest hash ``h`` of ``total``, at most ``n``.
+
+    A threshold on the hash leaves a little more than ``n`` rows in all tasks together before they are sorted,
+    so what meets in one task does not grow with the input.
+    """
+    place = F.shiftrightunsigned("h", 11)
+    share = min(1.0, (1.3 * n + 200) / max(total, 1))
+    return rows.where(place < int(share * 2**53) + 1).orderBy(place, "h").limit(n)
+
+
 def dense_rank(df: DataFrame, order_by: Sequence[str], name: str, scratch: Scratch, partitions: int | None = None) -> DataFrame:
     """Add 0..n-1 in the order of ``order_by`` (NULL first) without one task seeing all rows.
 
@@ -73,22 +84,22 @@ def components(edges: DataFrame, scratch: Scratch, rounds: int = 40) -> DataFram
     """Connected components of undirected ``edges(a, b)`` of any ordered type: rows (node, root), root the smallest.
 
     Alternating large-star and small-star steps. Each step takes a minimum per node, combined before the
-    shuffle, and joins it back to the edges, so a node with very many edges is split like any skewed join
-    key. Edges of every round are staged in the shared folder. Only two numbers per round reach the driver.
+    shuffle, stages it and joins it back to the edges, so a node with very many edges is split like any
+    skewed join key. Edges of every round are staged in the shared folder. Only two numbers per round reach the driver.
     """
     e = scratch.stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = _signature(e)
     for _ in range(rounds):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = scratch.stage(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        large = scratch.stage(large)
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        large, used = scratch.stage(large), low
+        low = scratch.stage(large.groupBy("a").agg(F.min("b").alias("m")))
         pairs = large.join(low, "a")
         small = pairs.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(low.select("a", F.col("m").alias("b"))).distinct()
         new = scratch.stage(small)
         now = _signature(new)
-        scratch.release(e, large)
+        scratch.release(e, large, used, low)
         e = new
         if now == seen:
             break
