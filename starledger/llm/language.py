@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starledger.llm.common import Scratch, row_hash
+from starledger.llm.common import Scratch, bounded_sample, row_hash
 from starledger.llm.html_consensus import main_text, parse
 
 BUCKETS = 8192
@@ -36,7 +36,8 @@ def fit_text_model(labelled: DataFrame, sample: int = 3000, most: int = 64) -> t
     ``most`` x 8192 counts reach the driver; the ``most`` most frequent languages of the sample are known.
     """
     rows = labelled.select(F.lower(F.col("lang").cast("string")).alias("lang"), F.col("text").cast("string").alias("text"), row_hash("doc_id", "text").alias("h"))
-    picked = rows.where("lang is not null and lang <> '' and text <> ''").orderBy("h").limit(sample)
+    rows = rows.where("lang is not null and lang <> '' and text <> ''")
+    picked = bounded_sample(rows, labelled.count(), sample)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from starledger.llm.common import Scratch, row_hash
+from starledger.llm.common import Scratch, bounded_sample, row_hash
 
 BUCKETS = 1024
 MARGINS = ("source", "lang", "topic")
@@ -42,7 +42,7 @@ def fit_topics(docs: DataFrame, topics: int = 8, sample: int = 2000, rounds: int
     in a fixed order, so the centres depend on the rows alone.
     """
     texts = docs.select(F.col("text").cast("string").alias("text"), row_hash("doc_id", "text").alias("h")).where("text <> ''")
-    rows = texts.orderBy("h").limit(sample).select("text").mapInArrow(_vectors, "v binary").collect()
+    rows = bounded_sample(texts, docs.count(), sample).select("text").mapInArrow(_vectors, "v binary").collect()
     x = np.stack([np.frombuffer(r.v, np.float32) for r in rows]) if rows else np.zeros((1, BUCKETS), np.float32)
     x = x[np.lexsort(x.T[:8])]
     c = x[np.linspace(0, len(x) - 1, topics).astype(int)]
@@ -73,38 +73,35 @@ def _damped(cells: DataFrame, margin: str, power: float) -> DataFrame:
     return own.withColumnRenamed(margin, "value")
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], scratch: Scratch, sweeps: int = 24, tolerance: float = 1e-3) -> tuple[DataFrame, float]:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], scratch: Scratch, sweeps: int = 24, tolerance: float = 1e-2) -> tuple[DataFrame, float]:
     """``cells(source, lang, topic, n_tokens)`` with ``ratio``, raked until all margins hold their targets.
 
     ``targets`` has rows (value, share) per margin; shares count relative to each other over the values that
     hold tokens, and a value not named gets none. Each sweep scales every margin in turn: a sum per value,
-    combined before the shuffle, joined back. Returns the cells and the largest relative error left; one
-    number per third sweep reaches the driver.
+    combined before the shuffle, joined back and staged, so plans stay small. Returns the cells and the
+    largest relative error left; one number per third sweep reaches the driver.
     """
     total = float(cells.agg(F.sum("n_tokens")).first()[0] or 0)
-    goals = {}
+    now = cells.withColumn("ratio", F.lit(1.0))
     for m in MARGINS:
         held = cells.groupBy(m).agg(F.sum("n_tokens").alias("t")).where("t > 0").select(F.col(m).alias("value"))
-        goal = held.join(targets[m], "value", "left").select("value", F.coalesce("share", F.lit(0.0)).alias("share"))
+        goal = held.join(targets[m], "value", "left").select(F.col("value").alias(m), F.coalesce("share", F.lit(0.0)).alias("share"))
         share = float(goal.agg(F.sum("share")).first()[0] or 0)
-        goals[m] = scratch.stage(goal.select(F.col("value").alias(m), (F.col("share") * (total / share if share else 0.0)).alias("goal")))
-    now = scratch.stage(cells.withColumn("ratio", F.lit(1.0)))
-    error = float("inf")
+        now = now.join(goal.select(m, (F.col("share") * (total / share if share else 0.0)).alias(f"{m}_goal")), m, "left")
+    now = scratch.stage(now)
+    weight, error = F.sum(F.col("ratio") * F.col("n_tokens")).alias("have"), float("inf")
     for sweep in range(sweeps):
-        df = now
         for m in MARGINS:
-            sums = df.groupBy(m).agg(F.sum(F.col("ratio") * F.col("n_tokens")).alias("have")).join(goals[m], m, "left")
-            factor = sums.select(m, F.when(F.col("have") > 0, F.coalesce("goal", F.lit(0.0)) / F.col("have")).otherwise(1.0).alias("f"))
-            df = df.join(factor, m).withColumn("ratio", F.col("ratio") * F.col("f")).drop("f")
-        used, now = now, scratch.stage(df.select(*cells.columns, "ratio"))
-        scratch.release(used)
-        if sweep % 3 != 2:  # looked at every third sweep
+            scaled = F.when(F.col("have") > 0, F.col("ratio") * F.coalesce(f"{m}_goal", F.lit(0.0)) / F.col("have")).otherwise(F.col("ratio"))
+            used, now = now, scratch.stage(now.join(now.groupBy(m).agg(weight), m).withColumn("ratio", scaled).drop("have"))
+            scratch.release(used)
+        if sweep % 3 != 2:  # looked at every third sweep; the last margin holds exactly
             continue
-        off = [now.groupBy(m).agg(F.sum(F.col("ratio") * F.col("n_tokens")).alias("have")).join(goals[m], m).select(F.abs(F.col("have") / F.col("goal") - 1).alias("e")) for m in MARGINS[:-1]]
+        off = [now.groupBy(m).agg(weight, F.max(f"{m}_goal").alias("goal")).where("goal > 0").select(F.abs(F.col("have") / F.col("goal") - 1).alias("e")) for m in MARGINS[:-1]]
         error = float(off[0].unionByName(off[1]).agg(F.max("e")).first()[0] or 0)
         if error <= tolerance:
             break
-    return now, error
+    return now.select(*cells.columns, "ratio"), error
 
 
 def _scale(raked: DataFrame, budget: float) -> float:
@@ -146,6 +143,7 @@ def calibrated(docs: DataFrame, targets: dict[str, DataFrame] | None = None, pow
     cells = scratch.stage(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("n_tokens")))
     targets = targets or {m: _damped(cells, m, power) for m in MARGINS}
     raked, _ = rake(cells, targets, scratch)
+    raked = scratch.stage(raked)
     scale = _scale(raked, budget)
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "row_hash"), 11) / F.lit(2.0**53)
     probability = F.least(F.lit(1.0), F.col("ratio") * scale)
