@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,22 +15,49 @@ from starledger.llm.common import Scratch, row_hash
 
 WILD = "<*>"
 #: Tokens with digits, addresses or paths are variable fields.
-_VARIABLE = r"[^ ]*[0-9@/\\][^ ]*"
+_VARIABLE = re.compile(rb"[0-9@/\\]")
 _DEEPER = (6, 12, 24)
+LINES = "doc_id long, text_hash long, line_no int, h1 long, h2 long, n int, leaf long, form string"
+
+
+def form(line: bytes) -> bytes:
+    """The tokens of a line with one space between them, variable ones generalised."""
+    tokens = line.split()
+    if _VARIABLE.search(line):
+        tokens = [WILD.encode() if _VARIABLE.search(t) else t for t in tokens]
+    return b" ".join(tokens)
+
+
+def _parsed(depth: int, shown: bool):
+    """A row per line with a token: two hashes of its form, its tokens, its leaf, and the form if it is asked for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 500):
+                part = batch.slice(first, 500)
+                at, number, forms, tokens = [], [], [], []
+                for row, text in enumerate(part.column("text").cast(pa.binary())):
+                    for i, line in enumerate(text.as_py().split(b"\n")):
+                        f = form(line)
+                        if f:
+                            at.append(row)
+                            number.append(i)
+                            forms.append(f)
+                hashes = b"".join(map(xxhash.xxh3_128_digest, forms))
+                pairs = np.frombuffer(hashes, "<i8").reshape(-1, 2)
+                tokens = [f.count(b" ") + 1 for f in forms]
+                leaves = [xxhash.xxh3_64_digest(b"%d " % n + b" ".join(f.split(b" ", depth)[:depth])) for n, f in zip(tokens, forms, strict=True)]
+                rows = pa.array(at, pa.int64())
+                columns = [part.column(c).take(rows) for c in ("doc_id", "text_hash")]
+                columns += [pa.array(number, pa.int32()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(tokens, pa.int32()), pa.array(np.frombuffer(b"".join(leaves), "<i8"))]
+                columns.append(pa.array(forms, pa.binary()).cast(pa.string()) if shown else pa.nulls(len(forms), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in LINES.split(", ")])
 
-
-def _masked(line: Column) -> Column:
-    """The line with one space between tokens and variable tokens generalised."""
-    plain = F.trim(F.regexp_replace(line, "[ \\t\\x0B\\f\\r]+", " "))
-    return F.when(plain.rlike(r"[0-9@/\\]"), F.regexp_replace(plain, _VARIABLE, WILD)).otherwise(plain)
+    return run
 
 
-def _lines(rows: DataFrame, depth: int) -> DataFrame:
-    """A row per line with a token: its form, two hashes of it, its number of tokens and its leaf."""
-    each = rows.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    formed = each.select("doc_id", "text_hash", "line_no", _masked(F.col("line")).alias("form")).where("form <> ''")
-    n = F.length("form") - F.length(F.translate("form", " ", "")) + 1
-    return formed.select("*", F.xxhash64("form").alias("h1"), F.xxhash64(F.lit(1), "form").alias("h2"), n.alias("n"), _leaf(n, depth).alias("leaf"))
+def _lines(rows: DataFrame, depth: int, shown: bool) -> DataFrame:
+    return rows.mapInArrow(_parsed(depth, shown), LINES)
 
 
 def _leaf(n: Column, depth: int) -> Column:
@@ -88,7 +116,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def drop_templates(docs: DataFrame, min_texts: int = 10, depth: int = 3, alike: float = 0.7, most_forms: int = 1000) -> DataFrame:
     """``docs`` without the lines of templates that recur in at least ``min_texts`` different texts.
 
-    Lines are cut at newlines; tokens at white space. The tree's leaves are lines of equal token count and
+    Lines are cut at newlines, tokens at ASCII white space. The tree's leaves are lines of equal token count and
     equal ``depth`` leading tokens, after tokens with digits, addresses or paths became wildcards. Forms of a
     leaf join templates by their share of equal tokens. A leaf of more than ``most_forms`` forms branches by
     more leading tokens, so no task holds an unbounded leaf. Exact copies of a text count once.
@@ -101,12 +129,12 @@ def drop_templates(docs: DataFrame, min_texts: int = 10, depth: int = 3, alike:
         raise ValueError("docs has a column n_lines or n_dropped already")
     scratch = Scratch(docs.sparkSession, "templates")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash("text").alias("text_hash"), F.col("text").cast("string").alias("text")).where("text <> ''")
-    keys = scratch.stage(_lines(rows, depth).select("doc_id", "text_hash", "line_no", "h1", "h2", "leaf"))
+    keys = scratch.stage(_lines(rows, depth, False).select("doc_id", "text_hash", "line_no", "h1", "h2", "leaf"))
     frequent = keys.select("leaf", "text_hash").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= min_texts)
     frequent = scratch.stage(frequent.select("leaf"))
     alive = scratch.stage(keys.join(frequent, "leaf", "left_semi"))
     texts = alive.select("leaf", "h1", "h2", "text_hash").distinct().groupBy("leaf", "h1", "h2").agg(F.count(F.lit(1)).alias("texts"))
-    shown = _lines(rows, depth).select("leaf", "h1", "h2", "n", "form").join(frequent, "leaf", "left_semi")
+    shown = _lines(rows, depth, True).select("leaf", "h1", "h2", "n", "form").join(frequent, "leaf", "left_semi")
     forms = shown.groupBy("h1", "h2").agg(F.min("form").alias("form"), F.min("n").alias("n")).join(texts, ["h1", "h2"])
     forms = scratch.stage(forms)
     key, open_ = F.col("leaf"), forms.withColumn("key", F.col("leaf"))
@@ -130,6 +158,7 @@ def drop_templates(docs: DataFrame, min_texts: int = 10, depth: int = 3, alike:
     named = scratch.stage(single.unionByName(joined))
     marked = scratch.stage(alive.join(named, ["h1", "h2"]).select("doc_id", "text_hash", "line_no", "t1", "t2"))
     often = marked.select("t1", "t2", "text_hash").distinct().groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= min_texts)
+    often = scratch.stage(often)  # a plain table on this side lets a hot template be split
     gone = marked.join(often, ["t1", "t2"], "left_semi").groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).agg(F.collect_set("line_no").alias("__drop"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (row_hash("text") == F.col("__hash"))
     wide = docs.withColumn("text", F.col("text").cast("string")).join(gone, same, "left").select(*docs.columns, "__drop")
