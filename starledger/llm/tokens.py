@@ -222,6 +222,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, cache: str | Non
     counted = misses.mapInArrow(_count_misses(path), "digest binary, n_tokens long")
     counted.select(F.lit(version).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(folder)
     known = spark.read.schema(CACHE).parquet(folder).where(F.col("tokenizer") == version).select("digest", "n_tokens").dropDuplicates(["digest"])
+    known = scratch.stage(known)  # a plain table on this side lets a hot text be split
     sizes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), _content_digest().alias("digest"))
     return sizes.join(known, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
