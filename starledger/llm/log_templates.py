@@ -6,17 +6,15 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from starledger.llm.common import Scratch, row_hash
 
 WILD = "<*>"
 #: Tokens with digits, addresses or paths are variable fields.
 _VARIABLE = re.compile(rb"[0-9@/\\]")
-_DEEPER = (6, 12, 24)
 LINES = "doc_id long, text_hash long, line_no int, h1 long, h2 long, n int, leaf long, form string"
 
 
@@ -60,41 +58,84 @@ def _lines(rows: DataFrame, depth: int, shown: bool) -> DataFrame:
     return rows.mapInArrow(_parsed(depth, shown), LINES)
 
 
-def _leaf(n: Column, depth: int) -> Column:
-    return F.xxhash64(n, F.substring_index("form", " ", depth))
-
-
-def drain(forms: list[str], alike: float) -> list[int]:
-    """Number of the template of each form, forms of equal length in the order given.
+class Leaf:
+    """The templates of one leaf, built from its forms one at a time in the order given.
 
     A form joins the template with most equal tokens, if at least a share ``alike`` is equal; what differs
-    becomes a wildcard. Otherwise it starts a template.
+    becomes a wildcard. Otherwise it starts a template. An index of templates by position and token finds
+    all that can reach the share, so that the forms need not meet and only templates are held.
     """
-    number: dict[str, int] = {WILD: -1}
-    rows = np.array([[number.setdefault(t, len(number)) for t in f.split(" ")] for f in forms])
-    made = np.empty_like(rows)
-    own, count = [], 0
-    for row in rows:
+
+    def __init__(self, n: int, alike: float):
+        self.n, self.count = n, 0
+        self.least = next((k for k in range(n + 1) if k >= alike * n), n + 1)
+        self.number: dict[str, int] = {WILD: -1}
+        self.made = np.empty((8, n), np.int64)
+        self.at: list[dict[int, list[int]]] = [{} for _ in range(n)]
+        # Templates of too few tokens to be joined by share never change: looked up by their fixed tokens.
+        self.loose: dict[tuple[int, ...], dict[tuple[int, ...], int]] = {}
+
+    def _near(self, row: list[int], fixed: list[int]) -> np.ndarray:
+        if self.least <= 0:
+            return np.arange(self.count)
+        if len(fixed) < self.least:
+            return np.empty(0, np.int64)
+        # At most len(fixed) - least of the fixed tokens may differ, so one more of them holds an equal one.
+        lists = sorted((self.at[i].get(row[i], []) for i in fixed), key=len)[: len(fixed) - self.least + 1]
+        return np.unique(np.array([t for part in lists for t in part], np.int64))
+
+    def add(self, form: str) -> int:
+        """The number of the form's template."""
+        row = [self.number.setdefault(t, len(self.number)) for t in form.split(" ")]
         # A wildcard is never equal, so that templates do not grow ever more general.
-        same = ((made[:count] == row) & (row >= 0)).sum(1) if count else np.zeros(0)
-        best = int(same.argmax()) if count else -1
-        if count and same[best] >= alike * len(row):
-            made[best] = np.where(made[best] == row, row, -1)
-        elif count and ((made[:count] == row) | (made[:count] < 0)).all(1).any():
-            best = int(((made[:count] == row) | (made[:count] < 0)).all(1).argmax())
-        else:
-            made[count], best, count = row, count, count + 1
-        own.append(best)
-    return own
-
-
-def _templates(alike: float):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["texts", "form"], ascending=[False, True])
-        own = drain(pdf["form"].to_list(), alike)
-        first = {t: i for i, t in reversed(list(enumerate(own)))}
-        names = [xxhash.xxh3_64_intdigest(pdf["form"].iloc[first[t]].encode()) - 2**63 for t in own]
-        return pd.DataFrame({"h1": pdf["h1"].to_numpy(), "h2": pdf["h2"].to_numpy(), "t1": pdf["key"].to_numpy(), "t2": np.array(names, np.int64)})
+        fixed = [i for i, t in enumerate(row) if t >= 0]
+        near = self._near(row, fixed)
+        if len(near):
+            values = np.array(row)
+            same = ((self.made[near] == values) & (values >= 0)).sum(1)
+            best = int(same.argmax())
+            if same[best] >= self.least:
+                own = int(near[best])
+                self.made[own] = np.where(self.made[own] == values, values, -1)
+                return own
+        found = [part.get(tuple(row[i] for i in places)) for places, part in self.loose.items()]
+        if any(t is not None for t in found):
+            return min(t for t in found if t is not None)
+        own, self.count = self.count, self.count + 1
+        if own == len(self.made):
+            self.made = np.concatenate([self.made, np.empty_like(self.made)])
+        self.made[own] = row
+        for i in fixed:
+            self.at[i].setdefault(row[i], []).append(own)
+        if len(fixed) < self.least:
+            self.loose.setdefault(tuple(fixed), {})[tuple(row[i] for i in fixed)] = own
+        return own
+
+
+def drain(forms: list[str], alike: float) -> list[int]:
+    """Number of the template of each form, forms of equal length in the order given."""
+    leaf = Leaf(forms[0].count(" ") + 1 if forms else 0, alike)
+    return [leaf.add(f) for f in forms]
+
+
+def _templates(alike: float, most_forms: int):
+    """The template of each form; rows come by leaf, in the order in which the leaf takes them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, leaf, names = None, None, []
+        for batch in batches:
+            for start in range(0, batch.num_rows, most_forms):
+                part = batch.slice(start, most_forms)
+                found = []
+                for k, form in zip(part.column("leaf").to_pylist(), part.column("form").to_pylist(), strict=True):
+                    if k != key:
+                        key, leaf, names = k, Leaf(form.count(" ") + 1, alike), []
+                    own = leaf.add(form)
+                    if own == len(names):
+                        names.append(xxhash.xxh3_64_intdigest(form.encode()) - 2**63)
+                    found.append(names[own])
+                columns = [part.column(c) for c in ("h1", "h2", "leaf")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.int64())], ["h1", "h2", "t1", "t2"])
 
     return run
 
@@ -118,8 +159,9 @@ def drop_templates(docs: DataFrame, min_texts: int = 10, depth: int = 3, alike:
 
     Lines are cut at newlines, tokens at ASCII white space. The tree's leaves are lines of equal token count and
     equal ``depth`` leading tokens, after tokens with digits, addresses or paths became wildcards. Forms of a
-    leaf join templates by their share of equal tokens. A leaf of more than ``most_forms`` forms branches by
-    more leading tokens, so no task holds an unbounded leaf. Exact copies of a text count once.
+    leaf join templates by their share of equal tokens, those of most texts first. A leaf of any size is one
+    leaf: its forms are streamed in slices of at most ``most_forms``, which never change the result. Exact
+    copies of a text count once.
 
     All columns stay; ``text`` is replaced and ``n_lines``, ``n_dropped`` are added (columns of these names
     must not exist). NULL texts stay NULL with 0 lines; empty texts and lines without tokens stay. Documents
@@ -137,25 +179,9 @@ def drop_templates(docs: DataFrame, min_texts: int = 10, depth: int = 3, alike:
     shown = _lines(rows, depth, True).select("leaf", "h1", "h2", "n", "form").join(frequent, "leaf", "left_semi")
     forms = shown.groupBy("h1", "h2").agg(F.min("form").alias("form"), F.min("n").alias("n")).join(texts, ["h1", "h2"])
     forms = scratch.stage(forms)
-    key, open_ = F.col("leaf"), forms.withColumn("key", F.col("leaf"))
-    ready = []
-    for deeper in (*_DEEPER, None):
-        sizes = open_.groupBy("key").agg(F.count(F.lit(1)).alias("forms"))
-        sized = open_.join(sizes, "key")
-        ready.append(sized.where(F.col("forms") <= most_forms))
-        over = sized.where(F.col("forms") > most_forms).drop("forms")
-        if over.isEmpty():
-            break
-        key = _leaf(F.col("n"), deeper) if deeper else F.xxhash64("h1", "h2")
-        open_ = scratch.stage(over.withColumn("key", key))
-    else:
-        ready.append(open_.withColumn("forms", F.lit(1)))
-    placed = ready[0]
-    for more in ready[1:]:
-        placed = placed.unionByName(more)
-    single = placed.where("forms = 1").select("h1", "h2", F.col("key").alias("t1"), F.lit(0).cast("long").alias("t2"))
-    joined = placed.where("forms > 1").groupBy("key").applyInPandas(_templates(alike), "h1 long, h2 long, t1 long, t2 long")
-    named = scratch.stage(single.unionByName(joined))
+    # A leaf's forms pass through one task in order; it holds the leaf's templates, never its forms.
+    ordered = forms.select("leaf", "texts", "h1", "h2", "form").repartition("leaf").sortWithinPartitions("leaf", F.col("texts").desc(), "form", "h1", "h2")
+    named = scratch.stage(ordered.mapInArrow(_templates(alike, most_forms), "h1 long, h2 long, t1 long, t2 long"))
     marked = scratch.stage(alive.join(named, ["h1", "h2"]).select("doc_id", "text_hash", "line_no", "t1", "t2"))
     often = marked.select("t1", "t2", "text_hash").distinct().groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= min_texts)
     often = scratch.stage(often)  # a plain table on this side lets a hot template be split

@@ -308,6 +308,40 @@ def test_overfull_leaves_branch_deeper_with_the_same_result(spark):
     assert sum(whole.values()) == 40 and sum(split.values()) > 0
 
 
+def test_a_leaf_of_any_size_gives_the_same_result_per_document(spark):
+    names = ["".join("abcdefghij"[int(c)] for c in f"{i:03}") for i in range(60)]
+    texts = [f"Written by our reporter {n} for the daily\n{n} alone has a line about {n} here" for n in names]
+    docs = frame(spark, texts)
+    whole, split = ({r.doc_id: (r.n_dropped, r.text) for r in log_templates.drop_templates(docs, **o).collect()} for o in ({}, {"most_forms": 7}))
+    assert whole == split == {i: (1, t.split("\n")[1]) for i, t in enumerate(texts)}
+
+
+def plain_drain(forms, alike):
+    rows, made, own = [f.split(" ") for f in forms], [], []
+    for row in rows:
+        same = [sum(a == b != log_templates.WILD for a, b in zip(m, row, strict=True)) for m in made]
+        best = max(range(len(made)), key=lambda i: (same[i], -i), default=-1)
+        covers = [i for i, m in enumerate(made) if all(a in (b, log_templates.WILD) for a, b in zip(m, row, strict=True))]
+        if made and same[best] >= alike * len(row):
+            made[best] = [a if a == b else log_templates.WILD for a, b in zip(made[best], row, strict=True)]
+        elif covers:
+            best = covers[0]
+        else:
+            best = len(made)
+            made.append(row)
+        own.append(best)
+    return own
+
+
+@pytest.mark.parametrize("alike", [0.0, 0.3, 0.5, 0.7, 1.0])
+def test_indexed_templates_agree_with_comparing_all(alike):
+    rng = np.random.default_rng(11)
+    for n in (1, 2, 5, 9):
+        for size in (2, 4):
+            forms = [" ".join(rng.choice(["<*>", *"abcdefg"[:size]], n)) for _ in range(150)]
+            assert log_templates.drain(forms, alike) == plain_drain(forms, alike)
+
+
 def test_drain_joins_by_equal_tokens():
     forms = ["open file a of user", "open file b of user", "open file <*> of user", "close door x in house", "open x y z user"]
     assert log_templates.drain(forms, 0.7) == [0, 0, 0, 1, 2]
