@@ -154,10 +154,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*columns, pa.array(lines, pa.int64()), pa.array(gone, pa.int64())], [*batch.schema.names[:-1], "n_lines", "n_dropped"])
 
 
-def drop_templates(docs: DataFrame, min_texts: int = 10, depth: int = 3, alike: float = 0.7, most_forms: int = 1000) -> DataFrame:
+def drop_templates(docs: DataFrame, min_texts: int = 10, depth: int = 3, alike: float = 0.7, most_forms: int = 1000, long_tokens: int = 50, long_texts: int = 2) -> DataFrame:
     """``docs`` without the lines of templates that recur in at least ``min_texts`` different texts.
 
-    Lines are cut at newlines, tokens at ASCII white space. The tree's leaves are lines of equal token count and
+    Templates of ``long_tokens`` tokens or more are passages rather than turns of phrase: they go from
+    ``long_texts`` different texts on. Lines are cut at newlines, tokens at ASCII white space. The tree's leaves are lines of equal token count and
     equal ``depth`` leading tokens, after tokens with digits, addresses or paths became wildcards. Forms of a
     leaf join templates by their share of equal tokens, those of most texts first. A leaf of any size is one
     leaf: its forms are streamed in slices of at most ``most_forms``, which never change the result. Exact
@@ -171,8 +172,9 @@ def drop_templates(docs: DataFrame, min_texts: int = 10, depth: int = 3, alike:
         raise ValueError("docs has a column n_lines or n_dropped already")
     scratch = Scratch(docs.sparkSession, "templates")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash("text").alias("text_hash"), F.col("text").cast("string").alias("text")).where("text <> ''")
-    keys = scratch.stage(_lines(rows, depth, False).select("doc_id", "text_hash", "line_no", "h1", "h2", "leaf"))
-    frequent = keys.select("leaf", "text_hash").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= min_texts)
+    keys = scratch.stage(_lines(rows, depth, False).select("doc_id", "text_hash", "line_no", "h1", "h2", "n", "leaf"))
+    enough = F.col("texts") >= F.when(F.col("n") >= long_tokens, F.least(F.lit(long_texts), F.lit(min_texts))).otherwise(F.lit(min_texts))
+    frequent = keys.select("leaf", "n", "text_hash").distinct().groupBy("leaf", "n").agg(F.count(F.lit(1)).alias("texts")).where(enough)
     frequent = scratch.stage(frequent.select("leaf"))
     alive = scratch.stage(keys.join(frequent, "leaf", "left_semi"))
     texts = alive.select("leaf", "h1", "h2", "text_hash").distinct().groupBy("leaf", "h1", "h2").agg(F.count(F.lit(1)).alias("texts"))
@@ -182,9 +184,9 @@ def drop_templates(docs: DataFrame, min_texts: int = 10, depth: int = 3, alike:
     # A leaf's forms pass through one task in order; it holds the leaf's templates, never its forms.
     ordered = forms.select("leaf", "texts", "h1", "h2", "form").repartition("leaf").sortWithinPartitions("leaf", F.col("texts").desc(), "form", "h1", "h2")
     named = scratch.stage(ordered.mapInArrow(_templates(alike, most_forms), "h1 long, h2 long, t1 long, t2 long"))
-    marked = scratch.stage(alive.join(named, ["h1", "h2"]).select("doc_id", "text_hash", "line_no", "t1", "t2"))
-    often = marked.select("t1", "t2", "text_hash").distinct().groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= min_texts)
-    often = scratch.stage(often)  # a plain table on this side lets a hot template be split
+    marked = scratch.stage(alive.join(named, ["h1", "h2"]).select("doc_id", "text_hash", "line_no", "n", "t1", "t2"))
+    often = marked.select("t1", "t2", "n", "text_hash").distinct().groupBy("t1", "t2", "n").agg(F.count(F.lit(1)).alias("texts")).where(enough)
+    often = scratch.stage(often.select("t1", "t2"))  # a plain table on this side lets a hot template be split
     gone = marked.join(often, ["t1", "t2"], "left_semi").groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).agg(F.collect_set("line_no").alias("__drop"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (row_hash("text") == F.col("__hash"))
     wide = docs.withColumn("text", F.col("text").cast("string")).join(gone, same, "left").select(*docs.columns, "__drop")

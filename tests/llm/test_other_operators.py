@@ -316,6 +316,14 @@ def test_a_leaf_of_any_size_gives_the_same_result_per_document(spark):
     assert whole == split == {i: (1, t.split("\n")[1]) for i, t in enumerate(texts)}
 
 
+def test_long_passages_go_from_two_different_texts_and_short_lines_from_more(spark):
+    words = ["".join("abcdefghij"[int(c)] for c in f"{i:03}") for i in range(200)]
+    passage, edited, short = " ".join(words[:60]), " ".join([*words[:30], "edit", *words[31:60]]), " ".join(words[:49])
+    texts = [f"one {passage} x\n{passage}\n{short}", f"{edited}\ntwo", f"{short}\nthree", *[" ".join(words[100:160])] * 3]
+    rows = {r.doc_id: (r.text, r.n_dropped) for r in log_templates.drop_templates(frame(spark, texts)).collect()}
+    assert rows == {0: (f"one {passage} x\n{short}", 1), 1: ("two", 1)} | {i: (texts[i], 0) for i in (2, 3, 4, 5)}
+
+
 def plain_drain(forms, alike):
     rows, made, own = [f.split(" ") for f in forms], [], []
     for row in rows:
