@@ -56,7 +56,8 @@ def contaminated_windows(docs: DataFrame, benchmark: DataFrame, words: int = 5,
     the radius is missed. Candidates are verified exactly: the sum of smaller weights over the sum of larger
     weights of shingles, weight being how often the shingle occurs, must reach ``percent``.
 
-    Only windows that can reach it get a fingerprint: their shingles that occur in the item must be enough.
+    Only windows that can reach it get a fingerprint: their shingles that occur in the item must be enough
+    for the shingles of both, the window being shorter at the end of a text.
     An item of fewer than ``words`` words is one shingle of its length; one without words matches nothing.
     The best window per document and item is returned, the first of ties. Items with equal words are found
     under each of their ids; a NULL item_id is an id too. Empty and NULL texts match nothing; documents that
@@ -86,16 +87,18 @@ def contaminated_windows(docs: DataFrame, benchmark: DataFrame, words: int = 5,
     weights = scratch.stage(item_rows.groupBy("item", "isize", "k", "shingle").agg(F.count(F.lit(1)).alias("iweight")))
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash("text").alias("text_hash"), "text")
-    texts = keyed.select("doc_id", "text_hash", _words(F.col("text")).alias("w"))
+    texts = keyed.select("doc_id", "text_hash", _words(F.col("text")).alias("w")).withColumn("n_words", F.size("w"))
     known = weights.select("k", "shingle").distinct()
-    hits = shingled(texts, ["doc_id", "text_hash"]).join(known, ["k", "shingle"], "left_semi").distinct()
+    hits = shingled(texts, ["doc_id", "text_hash", "n_words"]).join(known, ["k", "shingle"], "left_semi").distinct()
     hits = scratch.stage(hits)
 
     # Every window start from which the item's words reach this hit; enough distinct positions must fall into it.
-    need = F.ceil(percent / (100 + percent) * 2 * (F.col("isize") - F.col("k") + 1)).cast("long")
+    # A window that the end of the text cuts short has fewer shingles and needs fewer of them.
+    inner = F.least("isize", F.col("n_words") - F.col("start")) - F.col("k") + 1
+    enough = (100 + percent) * F.col("found") >= percent * (F.col("isize") - F.col("k") + 1 + inner)
     matched = hits.join(weights.select("item", "isize", "k", "shingle"), ["k", "shingle"])
-    starts = matched.select("doc_id", "text_hash", "item", "isize", "k", F.explode(F.sequence(F.greatest(F.lit(0), F.col("at") - (F.col("isize") - F.col("k"))), F.col("at"))).alias("start"))
-    windows = starts.groupBy("doc_id", "text_hash", "item", "isize", "k", "start").agg(F.count(F.lit(1)).alias("found")).where(F.col("found") >= need)
+    starts = matched.select("doc_id", "text_hash", "n_words", "item", "isize", "k", F.explode(F.sequence(F.greatest(F.lit(0), F.col("at") - (F.col("isize") - F.col("k"))), F.col("at"))).alias("start"))
+    windows = starts.groupBy("doc_id", "text_hash", "n_words", "item", "isize", "k", "start").agg(F.count(F.lit(1)).alias("found")).where(enough)
     sized = scratch.stage(windows.select("doc_id", "text_hash", "isize", "k", "start").distinct())
 
     flagged = sized.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()

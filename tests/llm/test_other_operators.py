@@ -208,6 +208,16 @@ def test_windows_agree_with_brute_force(spark):
     assert decontaminate.contaminated_windows(docs.limit(0), bench).count() == decontaminate.contaminated_windows(docs, bench.limit(0)).count() == 0
 
 
+def test_items_cut_off_at_the_end_of_a_text_are_found(spark):
+    item = " ".join(f"q{i}" for i in range(50))
+    cut = " ".join(item.split(" ")[:42])
+    texts = {1: cut, 2: f"before it {cut}", 3: " ".join(item.split(" ")[:40]), 4: f"{cut} and other words follow here now then so"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start) for r in decontaminate.contaminated_windows(docs, bench).collect()}
+    assert got == brute_windows(texts, {7: item}) and set(got) == {(1, 7), (2, 7)}
+
+
 def test_every_fingerprint_within_the_radius_shares_a_block():
     rng = np.random.default_rng(1)
     masks = set(decontaminate._MASKS)
