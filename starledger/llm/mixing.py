@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from starledger.llm.common import Scratch, bounded_sample, row_hash
+from starledger.llm.common import Scratch, row_hash
 
 BUCKETS = 1024
 MARGINS = ("source", "lang", "topic")
@@ -29,28 +30,99 @@ def word_vector(raw: bytes | None) -> tuple[int, np.ndarray]:
     return len(words), (counts / max(float(np.sqrt((counts**2).sum())), 1e-9)).astype(np.float32)
 
 
+#: Vectors are kept in steps of 1/_STEPS, so that their sums are exact and independent of order.
+_STEPS = 2**14
+_SLICE = 2000
+
+
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [word_vector(x.as_py())[1].tobytes() for x in batch.column(0).cast(pa.binary())]
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["v"])
+        for first in range(0, batch.num_rows, _SLICE):
+            hashes, found = [], []
+            part = batch.slice(first, _SLICE)
+            for h, x in zip(part.column("h").to_pylist(), part.column("text").cast(pa.binary()), strict=True):
+                n, v = word_vector(x.as_py())
+                if n:
+                    hashes.append(h)
+                    found.append(np.rint(v * _STEPS).astype("<i2").tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(found, pa.binary())], ["h", "v"])
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes and vectors (in steps), a bounded number at a time."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, _SLICE):
+            part = batch.slice(first, _SLICE)
+            x = np.frombuffer(b"".join(part.column("v").to_pylist()), "<i2").reshape(-1, BUCKETS).astype(float)
+            yield part.column("h").to_numpy(zero_copy_only=False), x
+
+
+def _farthest(centres: np.ndarray, seed: int):
+    """A task's candidate for the next start: a draw in which a text counts by its distance from all starts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: tuple[float, int, bytes] | None = None
+        for hashes, x in _slices(batches):
+            mixed = np.array([xxhash.xxh3_64_intdigest(h.tobytes(), seed) for h in hashes])
+            far = np.clip(1 - (x @ centres.T).max(1) / _STEPS, 1e-9, None) if len(centres) else np.ones(len(x))
+            place = -np.log((mixed + 1.0) / 2.0**64) / far
+            i = int(np.lexsort((hashes, place))[0])
+            now = (float(place[i]), int(hashes[i]), x[i].astype("<i2").tobytes())
+            best = now if best is None or now < best else best
+        rows = [best] if best else []
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.float64(), pa.int64(), pa.binary()))], ["place", "h", "v"])
+
+    return run
 
 
-def fit_topics(docs: DataFrame, topics: int = 8, sample: int = 2000, rounds: int = 15) -> np.ndarray:
-    """Topic centres by spherical k-means on a bounded sample: the ``sample`` whole texts of smallest hash.
+def _sums_per_centre(centres: np.ndarray):
+    """A task's vectors summed per nearest centre: as many rows as centres."""
 
-    At most ``sample`` vectors of 4 KB reach the driver (8 MB by default). Starts are spread over the sample
-    in a fixed order, so the centres depend on the rows alone.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(centres), BUCKETS), np.int64)
+        for _, x in _slices(batches):
+            own = (x @ centres.T).argmax(1)
+            total += np.rint(np.eye(len(centres))[own].T @ x).astype(np.int64)
+        held = np.flatnonzero(total.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array([total[k].tobytes() for k in held], pa.binary())], ["k", "v"])
+
+    return run
+
+
+def _combined(pdf: pd.DataFrame) -> pd.DataFrame:
+    total = sum(np.frombuffer(v, np.int64) for v in pdf["v"])
+    return pd.DataFrame({"k": [pdf["k"].iloc[0]], "v": [total.tobytes()]})
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-9)
+
+
+def fit_topics(docs: DataFrame, topics: int = 8, rounds: int = 15, seed: int = 17) -> np.ndarray:
+    """Topic centres by spherical k-means over all documents, each different text once.
+
+    Vectors are staged once. Starts are drawn one after another by distance from those before, with hashes of
+    the texts as the dice. Each round is one aggregation: sums per centre in every task, then combined. Sums
+    are exact, so the centres depend on the rows alone. Only ``topics`` vectors a round reach the driver.
     """
-    texts = docs.select(F.col("text").cast("string").alias("text"), row_hash("doc_id", "text").alias("h")).where("text <> ''")
-    rows = bounded_sample(texts, docs.count(), sample).select("text").mapInArrow(_vectors, "v binary").collect()
-    x = np.stack([np.frombuffer(r.v, np.float32) for r in rows]) if rows else np.zeros((1, BUCKETS), np.float32)
-    x = x[np.lexsort(x.T[:8])]
-    c = x[np.linspace(0, len(x) - 1, topics).astype(int)]
-    for _ in range(rounds):
-        own = (x @ c.T).argmax(1)
-        c = np.stack([x[own == k].mean(0) if (own == k).any() else c[k] for k in range(topics)])
-        c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
-    return c.astype(np.float32)
+    scratch = Scratch(docs.sparkSession, "topics")
+    texts = docs.select(F.col("text").cast("string").alias("text"), row_hash("text").alias("h")).where("text <> ''")
+    rows = scratch.stage(texts.mapInArrow(_vectors, "h long, v binary").dropDuplicates(["h"]))
+    c = np.zeros((0, BUCKETS))
+    for k in range(topics):
+        found = rows.mapInArrow(_farthest(c, seed + k), "place double, h long, v binary").orderBy("place", "h").limit(1).collect()
+        if not found:
+            break
+        c = np.concatenate([c, _unit(np.frombuffer(found[0].v, "<i2").astype(float))[None]])
+    for _ in range(rounds if len(c) else 0):
+        sums = rows.mapInArrow(_sums_per_centre(c), "k int, v binary").groupBy("k").applyInPandas(_combined, "k int, v binary").collect()
+        used, c = c, c.copy()
+        for r in sums:
+            c[r.k] = _unit(np.frombuffer(r.v, np.int64).astype(float))
+        if np.array_equal(used, c):
+            break
+    scratch.release(rows)
+    return c.astype(np.float32) if len(c) else np.zeros((1, BUCKETS), np.float32)
 
 
 def _topics(centres: np.ndarray):
@@ -132,13 +204,15 @@ def calibrated(docs: DataFrame, targets: dict[str, DataFrame] | None = None, pow
     topic, n_tokens, weight, probability, kept, row_hash.
 
     NULL sources and languages are values of their own. Empty and NULL texts have no topic and no tokens and
-    take their margins' ratio. Repeated rows are drawn alike. An empty table gives no rows.
+    take their margins' ratio. Repeated rows are drawn alike. An empty table gives no rows. ``sample`` is kept for
+    callers and has no effect: topics are fitted on all documents.
     """
+    del sample
     scratch = Scratch(docs.sparkSession, "mixing")
     text = F.col("text").cast("string").alias("text")
     marked = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(_NONE)).alias(c)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash("doc_id", "text", "source", "lang").alias("row_hash"), marked("source"), marked("lang"), text)
-    rows = narrow.mapInArrow(_topics(fit_topics(docs, topics, sample)), "doc_id long, row_hash long, source string, lang string, topic string, n_tokens long")
+    rows = narrow.mapInArrow(_topics(fit_topics(docs, topics, seed=seed)), "doc_id long, row_hash long, source string, lang string, topic string, n_tokens long")
     rows = scratch.stage(rows)
     cells = scratch.stage(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("n_tokens")))
     targets = targets or {m: _damped(cells, m, power) for m in MARGINS}

@@ -144,6 +144,19 @@ def test_raked_margins_hold_their_targets(spark):
         assert r.ratio * r.n_tokens == pytest.approx(w[r.source, r.lang, r.topic], rel=1e-3)
 
 
+def test_topics_are_fitted_on_all_documents_and_copies_count_once(spark):
+    rng = np.random.default_rng(3)
+    names = [[f"{t}word{i}" for i in range(30)] for t in "abc"]
+    common = [" ".join(rng.choice(names[0], 40)) for _ in range(2500)]
+    rare = [" ".join(rng.choice(names[t], 40)) for t in (1, 2) for _ in range(3)]
+    texts = [*common, *[common[0]] * 1500, *rare, "", None]
+    rows = [(i, t, "en", "s", "x", "y") for i, t in enumerate(texts)]
+    found = [mixing.fit_topics(spark.createDataFrame(r, SCHEMA).repartition(n), topics=3) for r, n in ((rows, 3), (rows[:2500] + rows[4000:][::-1], 7))]
+    assert (found[0] == found[1]).all()
+    own = [int((found[0] @ mixing.word_vector((t or "").encode())[1]).argmax()) for t in (common[0], rare[0], rare[3])]
+    assert len(set(own)) == 3
+
+
 def test_draws_follow_probabilities_and_keep_columns(spark):
     docs = frame(spark, TEXTS * 10)
     rows = mixing.calibrated(docs, topics=3, sample=100).collect()
