@@ -89,14 +89,17 @@ def statistics(docs: DataFrame) -> DataFrame:
 
 
 def _groups(rows: DataFrame, min_rows: int) -> DataFrame:
-    """The estimate each (language, source) takes: its own, or its language's small sources pooled, or all small ones."""
-    n = rows.groupBy("lang", "source").count()
+    """The estimate each (language, source) takes: its own, or its language's small sources pooled, or all small ones, or the whole table's."""
+    n = rows.groupBy("lang", "source").agg(F.sum((~F.col("base_failed")).cast("long")).alias("count"))
     star = F.lit("*")
     small = F.col("count") < min_rows
     n = n.withColumn("g1", F.when(small, F.struct(F.lit(1).alias("level"), F.coalesce("lang", star).alias("l"), star.alias("s"))).otherwise(F.struct(F.lit(0).alias("level"), F.coalesce("lang", star).alias("l"), F.coalesce("source", star).alias("s"))))
     pooled = n.groupBy("g1").agg(F.sum("count").alias("pooled"))
     wide = F.struct(F.lit(2).alias("level"), star.alias("l"), star.alias("s"))
-    n = n.join(pooled, "g1").withColumn("g", F.when(F.col("pooled") < min_rows, wide).otherwise(F.col("g1")))
+    n = n.join(pooled, "g1").withColumn("g2", F.when(F.col("pooled") < min_rows, wide).otherwise(F.col("g1")))
+    last = n.groupBy("g2").agg(F.sum("count").alias("last"))
+    whole = F.struct(F.lit(3).alias("level"), star.alias("l"), star.alias("s"))
+    n = n.join(last, "g2").withColumn("g", F.when(F.col("last") < min_rows, whole).otherwise(F.col("g2")))
     return n.select("lang", "source", F.concat_ws("\x1f", "g.level", "g.l", "g.s").alias("g"))
 
 
@@ -116,6 +119,8 @@ def _moments(total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mean, cov
 
 
+#: The estimate over all documents, for those whose pool stays too small.
+WHOLE = "3\x1f*\x1f*"
 ESTIMATE = "g string, start int, mean array<double>, white array<double>, logdet double, scale double, n long"
 
 
@@ -224,19 +229,22 @@ def quality_verdicts(docs: DataFrame, cutoff: float = CHI_9999, min_rows: int =
     Documents that pass the base rules are fitted; ``kept`` is false for base failures and where the squared
     robust distance of the five transformed statistics exceeds ``cutoff``. Sources with fewer than
     ``min_rows`` documents share their language's estimate of small sources, and those too few share one
-    over all; with fewer than ``min_rows`` rows even there, only the base rules speak.
+    over all small ones. Where that too has fewer than ``min_rows`` rows, the estimate is fitted on all passing
+    documents of the table, however few, so every document has a distance if any passes the base rules.
 
     NULL or empty texts have zero statistics and fail the base rules. NULL languages and sources are groups
     of their own. Repeated rows are judged like any other. An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession, "quality")
     rows = scratch.stage(statistics(docs))
-    good = rows.where(~F.col("base_failed"))
-    groups = scratch.stage(_groups(good, min_rows))
+    groups = scratch.stage(_groups(rows, min_rows))
     keyed = rows.join(groups.select(F.col("lang").alias("__l"), F.col("source").alias("__s"), "g"), F.col("lang").eqNullSafe(F.col("__l")) & F.col("source").eqNullSafe(F.col("__s")), "left").drop("__l", "__s")
-    found = estimate(keyed.where(~F.col("base_failed")), scratch, share, steps)
-    judged = keyed.join(found.select("g", "mean", "white", "scale", "n"), "g", "left")
-    distance = F.when(F.col("n") >= min_rows, _squared_distance() / F.col("scale"))
+    good = keyed.where(~F.col("base_failed"))
+    if not groups.where(F.col("g") == WHOLE).isEmpty():
+        good = good.where(F.col("g") != WHOLE).unionByName(good.withColumn("g", F.lit(WHOLE)))
+    found = estimate(good, scratch, share, steps)
+    judged = keyed.join(found.select("g", "mean", "white", "scale"), "g", "left")
+    distance = _squared_distance() / F.col("scale")
     kept = ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cutoff)
     return judged.withColumn("distance", distance).select(
         "doc_id", "lang", "source", "row_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance",

@@ -75,6 +75,18 @@ def test_outliers_go_and_every_odd_row_has_a_verdict(spark):
     assert quality.quality_verdicts(docs.limit(0)).count() == 0
 
 
+def test_documents_of_small_pools_are_judged_by_the_whole_table(spark):
+    rng = np.random.default_rng(6)
+    good = [(i, " ".join(rng.choice(WORDS, int(rng.integers(60, 300)))), "en", "s0") for i in range(300)]
+    rare = [(500 + i, " ".join(rng.choice(WORDS, 100)), "fi", "s1") for i in range(5)]
+    bad = [(600, " ".join(w + "$$$" for w in rng.choice(WORDS, 100)), "fi", "s1"), (601, "too short", "xx", None)]
+    for rows in ([*good, *rare, *bad], [*good[:60], *rare, *bad]):
+        got = {r.doc_id: r for r in quality.quality_verdicts(frame(spark, rows)).collect()}
+        assert all(r.distance is not None for r in got.values())
+        assert not got[600].kept and not got[601].kept and got[600].distance > quality.CHI_9999
+        assert all(got[r[0]].kept for r in rows if r[0] < 600)
+
+
 def brute_components(texts, k, percent):
     def shingles(t):
         w = (t or "").encode().translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))).split()
