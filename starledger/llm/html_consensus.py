@@ -55,6 +55,7 @@ class Page:
 
     parent: list[int] = field(default_factory=list)
     path: list[str] = field(default_factory=list)
+    step: list[tuple[str, list[str]]] = field(default_factory=list)  # tag and classes
     boost: list[float] = field(default_factory=list)
     blocks: list[tuple[str, int, int]] = field(default_factory=list)  # text, container, characters in links
 
@@ -113,6 +114,7 @@ def parse(text: str) -> Page:
             names = set(re.split(r"[^a-z]+", f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()))
             page.parent.append(index)
             page.path.append(path)
+            page.step.append((tag, classes))
             page.boost.append(1.5 if tag in ("article", "main") else 1.25 if names & _GOOD else 1.0)
             index = len(page.path) - 1
         top = (tag, index, dropped, path, top[4] or tag == "a")
@@ -164,6 +166,20 @@ def parse(text: str) -> Page:
     return page
 
 
+def without_rare(page: Page, rare: set[str]) -> Page:
+    """The page with the classes ``rare`` left out of its paths, but where that would make two of its paths one."""
+    if not rare:
+        return page
+    short: list[str] = []
+    for (tag, classes), parent in zip(page.step, page.parent, strict=True):
+        short.append(f"{short[parent] if parent >= 0 else ''}>{'.'.join([tag, *[c for c in classes if c not in rare]])}")
+    full: dict[str, set[str]] = {}
+    for s, p in zip(short, page.path, strict=True):
+        full.setdefault(s, set()).add(p)
+    page.path = [s if len(full[s]) == 1 else p for s, p in zip(short, page.path, strict=True)]
+    return page
+
+
 def scores(page: Page) -> list[float]:
     """A container's characters outside links: all of its own blocks, half of its children's, and so on up."""
     out = [0.0] * len(page.path)
@@ -194,26 +210,49 @@ def main_text(page: Page, winners: list[str]) -> tuple[str, str]:
     return "\n\n".join(b for b, c, _ in page.blocks if inside[c]), path
 
 
+def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at, tokens = [], []
+        for row, text in enumerate(batch.column("html")):
+            found = {c for _, classes in parse(text.as_py()).step for c in classes}
+            at += [row] * len(found)
+            tokens += sorted(found)
+        keys = [batch.column(c).take(pa.array(at, pa.int64())) for c in ("k1", "k2", "host")]
+        yield pa.RecordBatch.from_arrays([*keys, pa.array(tokens, pa.string())], ["k1", "k2", "host", "token"])
+
+
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every path that can be a page's place, with its vote; 0 where it may only be chosen."""
     for batch in batches:
-        hosts, paths, shares = [], [], []
-        for host, text in zip(batch.column("host"), batch.column("html"), strict=True):
-            page = parse(text.as_py())
+        at, paths, shares = [], [], []
+        for row, (text, rare) in enumerate(zip(batch.column("html"), batch.column("rare"), strict=True)):
+            page = without_rare(parse(text.as_py()), set(rare.as_py() or ()))
+            marks = scores(page)
             by_path: dict[str, float] = {}
-            for p, s in zip(page.path, scores(page), strict=True):
+            for p, s in zip(page.path, marks, strict=True):
                 by_path[p] = by_path.get(p, 0.0) + s
-            total = max(by_path.values(), default=0.0)
+            total, least = max(by_path.values(), default=0.0), max(marks, default=0.0)
+            # What only surrounds the best place has no vote, else it would collect those of all layouts.
+            best, outer = max(by_path, key=by_path.__getitem__, default=None), set()
+            for i, p in enumerate(page.path):
+                while p == best and (i := page.parent[i]) >= 0 and i not in outer:
+                    outer.add(i)
+            around = {page.path[i] for i in outer} - {best}
             for p, s in by_path.items():
-                if total and 2 * s >= total:
-                    hosts.append(host.as_py())
+                if total and 2 * s >= least:
+                    at.append(row)
                     paths.append(p)
-                    shares.append(round(1024 * s / total))
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(shares, pa.int64())], ["host", "path", "share"])
+                    shares.append(round(1024 * s / total) if 2 * s >= total and p not in around else 0)
+        keys = [batch.column(c).take(pa.array(at, pa.int64())) for c in ("k1", "k2", "host")]
+        yield pa.RecordBatch.from_arrays([*keys, pa.array(paths, pa.string()), pa.array(shares, pa.int64())], ["k1", "k2", "host", "path", "share"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [main_text(parse(t.as_py()), w.as_py() or []) for t, w in zip(batch.column("html"), batch.column("winners"), strict=True)]
+        found = [
+            main_text(without_rare(parse(t.as_py()), set(r.as_py() or ())), w.as_py() or [])
+            for t, r, w in zip(batch.column("html"), batch.column("rare"), batch.column("winners"), strict=True)
+        ]
         columns = [batch.column("page_id"), batch.column("url"), *[pa.array([f[i] for f in found], pa.string()) for i in (0, 1)]]
         yield pa.RecordBatch.from_arrays([*columns, pa.array([len(f[0]) for f in found], pa.int64())], ["page_id", "url", "text", "path", "n_chars"])
 
@@ -222,21 +261,34 @@ def main_texts(pages: DataFrame, places: int = 5) -> DataFrame:
     """The article text of every page: rows (page_id, url, text, n_chars, path).
 
     Each page scores its containers and votes, with the share of its best score, for the generalised paths
-    (tags with classes, digits as ``#``) that reach half of it. Votes are summed per host and path. Pages are
+    (tags with classes, digits as ``#``) that reach half of it and do not just surround the best. Votes are summed per host and path. Pages are
     then extracted anew from the host's best path that holds at least half of the page's own best, else from
     its own best. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments
     are left out by element and by words of class, id or role.
 
     Blocks keep page order, joined by two newlines; white space in a block is one space, and a line break
     element is white space. NULL or empty html gives an empty text; a NULL url is a host of its own; pages
-    without a container of text give all their text. Repeated rows are extracted alike. Only the ``places``
-    best paths of a host are joined back; a host with very many pages is split like any skewed join key.
+    without a container of text give all their text. Repeated rows are extracted alike. Votes are joined
+    back on host and path for every path a page can take, so a host may have any number of layouts. On hosts of
+    ten different pages or more, classes of one page only, or of fewer than one page in a hundred, are left out
+    of paths unless two paths of a page would become one. ``places`` is kept for callers and has no effect.
     """
+    del places
     scratch = Scratch(pages.sparkSession, "html")
     host = F.coalesce(F.lower(F.regexp_extract(F.col("url").cast("string"), r"^\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), host.alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    votes = rows.select("host", "html").mapInArrow(_candidates, "host string, path string, share long").groupBy("host", "path").agg(F.sum("share").alias("votes"))
+    key = ["k1", "k2"]
+    rows = rows.select("*", F.xxhash64("host", "html").alias("k1"), F.xxhash64(F.lit(1), "html", "host").alias("k2"))
+    sizes = rows.select(*key, "host").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where("pages >= 10")
+    tokens = scratch.stage(rows.select(*key, "host", "html").mapInArrow(_classes, "k1 long, k2 long, host string, token string").distinct())
+    seen = tokens.groupBy("host", "token").agg(F.count(F.lit(1)).alias("used")).join(sizes, "host")
+    seen = scratch.stage(seen.where((F.col("used") == 1) | (100 * F.col("used") < F.col("pages"))).select("host", "token"))
+    rare = scratch.stage(tokens.join(seen, ["host", "token"]).groupBy(*key).agg(F.collect_set("token").alias("rare")))
+    rows = rows.join(rare, key, "left")
+    paths = scratch.stage(rows.select(*key, "host", "html", "rare").mapInArrow(_candidates, "k1 long, k2 long, host string, path string, share long"))
+    votes = scratch.stage(paths.groupBy("host", "path").agg(F.sum("share").alias("votes")).where("votes > 0"))
     order = F.sort_array(F.collect_list(F.struct("votes", F.col("path"))), asc=False)
-    # A host's paths are as many as it has layouts; classes that count up share one path.
-    winners = scratch.stage(votes.groupBy("host").agg(F.slice(order, 1, places)["path"].alias("winners")))
-    return rows.join(winners, "host", "left").select("page_id", "url", "html", "winners").mapInArrow(_extract, "page_id long, url string, text string, path string, n_chars long").select("page_id", "url", "text", "n_chars", "path")
+    own = paths.select(*key, "host", "path").distinct().join(votes, ["host", "path"])
+    winners = scratch.stage(own.groupBy(*key).agg(order["path"].alias("winners")))
+    placed = rows.join(winners, key, "left").select("page_id", "url", "html", "rare", "winners")
+    return placed.mapInArrow(_extract, "page_id long, url string, text string, path string, n_chars long").select("page_id", "url", "text", "n_chars", "path")

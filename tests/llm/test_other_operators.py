@@ -271,6 +271,18 @@ def test_the_host_outvotes_a_page_with_more_text_elsewhere(spark):
     assert got[9] == ("story " * 20).strip()
 
 
+def test_every_layout_of_a_host_votes_and_classes_of_one_page_do_not_part_them(spark):
+    page = "<body class='%s'><div class='main%s'><p>%s</p></div><div class='box%s'><p>%s</p></div></body>"
+    letters, story = "abcdefghijkl", ("story " * 20).strip()
+    rows = [(100 * k + i, "http://a.org/", page % ("", f"-{x}", story, f"-{x}", "short")) for k, x in enumerate(letters) for i in range(6)]
+    rows += [(100 * k + 9, "http://a.org/", page % ("", f"-{x}", story, f"-{x}", "extra " * 25)) for k, x in enumerate(letters)]
+    slug = [(5000 + i, "http://b.org/", page % (f"slug-{letters[i]}", "", story + letters[i], "", "short")) for i in range(11)]
+    slug.append((5099, "http://b.org/", page % ("slug-z", "", story, "", "extra " * 25)))
+    got = {r.page_id: r.text for r in html_consensus.main_texts(spark.createDataFrame(rows + slug, "page_id long, url string, html string")).collect()}
+    assert all(got[100 * k + 9] == story for k in range(12))
+    assert got[5099] == story
+
+
 def test_unclosed_markup_takes_no_quadratic_time():
     import time
 
