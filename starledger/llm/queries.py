@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starledger.llm import decontaminate, html_consensus, language, log_templates, mixing, neardup, quality, sharding, tokens
+from starledger.llm import (
+    decontaminate, exact_dedup, hard_negatives, html_consensus, infill, language, log_templates, mixing, neardup, quality, sharding, tokens,
+)
 from starledger.llm.common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +81,61 @@ def op10_log_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_dropped", F.length(text).cast("long").alias("n_chars"), F.crc32(text.cast("binary")).alias("text_crc32"))
 
 
+@query
+def op11_residue_gemm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.select("vec_id", label.alias("label"), "embedding"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op12_progressive_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), every_digest=True)
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+@query
+def op13_wavelet_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.fill_in_middle(table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(infill.restored()).alias("restored_sha256"),
+    )
+
+
+ORACLES["op11_residue_gemm"] = """WITH e AS (SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  a AS (SELECT * FROM e WHERE vec_id % 50 = 0),
+  s AS (SELECT a.vec_id AS anchor_id, e.vec_id, a.label = e.label AS same, CAST(list_inner_product(a.v, e.v) AS BIGINT) AS score
+    FROM a JOIN e ON a.vec_id <> e.vec_id),
+  p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+  n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score FROM p JOIN s USING (anchor_id)
+    WHERE NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+  SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n
+  WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id)
+  QUALIFY row_number() OVER w <= 3"""
+
+ORACLES["op12_progressive_dedup"] = r"""WITH d AS (SELECT doc_id,
+    sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+  SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+  row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id) = 1 AS kept, text_sha256 FROM d
+  WINDOW g AS (PARTITION BY text_sha256)"""
+
+ORACLES["op13_wavelet_infill"] = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+  u AS (SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS units,
+    CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+    CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+  k AS (SELECT *, len(units) AS n, t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') AS plain FROM u),
+  c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM k),
+  s AS (SELECT doc_id, t, n, plain, CASE WHEN plain THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(units[1:a], '') AS p, array_to_string(units[a + 1:b], '') AS m, array_to_string(units[b + 1:n], '') AS s FROM c)
+  SELECT doc_id, n, form, CASE WHEN NOT plain THEN length(p) END AS prefix_chars, CASE WHEN NOT plain THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM s"""
+
 # CRC-32 over the bytes of a text, by the table of the reflected polynomial 0xEDB88320.
 ORACLES["op4_interleaved_shards"] = """WITH cells AS (SELECT i, list_reduce(list_prepend(i, range(8)),
     lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i)),
