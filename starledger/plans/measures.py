@@ -20,36 +20,38 @@ def _sum(column: str):
     return lambda: F.sum(column)
 
 
-def _distinct(column: str):
-    return lambda: distinct_with_null(F.col(column))
+def _distinct(table: str, column: str, where=None, replaces: str | None = None) -> Part:
+    """The number of distinct values of a column, of the rows that ``where`` selects."""
+    return Part(table, lambda: distinct_with_null(F.col(column), where() if where else None), replaces=replaces, distinct=column, where=where)
 
 
 PARTS = {
     "sales_amount": Part("fact_sales", _sum("total_amount"), merge="sum"),
+    "sales_day_before": Part("fact_sales", _sum("total_amount"), merge="sum", back="day"),
+    "sales_month_before": Part("fact_sales", _sum("total_amount"), merge="sum", back="month"),
     "sales_quantity": Part("fact_sales", _sum("quantity"), merge="sum"),
-    "sales_products": Part("fact_sales", _distinct("product_key")),
-    "sales_days": Part("fact_sales", _distinct("date_key")),
-    "orders": Part("fact_order", _distinct("order_id")),
-    "buyers": Part("fact_order", _distinct("customer_key")),
+    "sales_products": _distinct("fact_sales", "product_key"),
+    "sales_days": _distinct("fact_sales", "date_key"),
+    "orders": _distinct("fact_order", "order_id"),
+    "buyers": _distinct("fact_order", "customer_key"),
     "returning": Part(
         "fact_order",
         lambda: F.count_if(F.col("inner_value") > 1),
         per="customer_key",
         inner=lambda: F.count_distinct("order_key"),
+        distinct="order_key",
     ),
-    "customers": Part("dim_customer", _distinct("customer_key")),
-    "payments": Part("fact_payment", _distinct("payment_key")),
+    "customers": _distinct("dim_customer", "customer_key"),
+    "payments": _distinct("fact_payment", "payment_key"),
     "payment_amount": Part("fact_payment", _sum("amount"), merge="sum"),
-    "payments_completed": Part(
-        "fact_payment",
-        lambda: distinct_with_null(F.col("payment_key"), F.col("payment_status") == COMPLETED),
-        replaces="fact_payment.payment_status",
+    "payments_completed": _distinct(
+        "fact_payment", "payment_key", lambda: F.col("payment_status") == COMPLETED, replaces="fact_payment.payment_status"
     ),
     "stock": Part("fact_inventory", _sum("quantity"), merge="sum"),
-    "stock_in": Part("fact_inventory", lambda: distinct_with_null(F.col("product_key"), F.col("quantity") > 0)),
-    "stock_out": Part("fact_inventory", lambda: distinct_with_null(F.col("product_key"), F.col("quantity") <= 0)),
+    "stock_in": _distinct("fact_inventory", "product_key", lambda: F.col("quantity") > 0),
+    "stock_out": _distinct("fact_inventory", "product_key", lambda: F.col("quantity") <= 0),
     "stock_mean": Part(
-        "fact_inventory", lambda: F.avg("inner_value"), per="product_key", inner=lambda: F.sum("quantity")
+        "fact_inventory", lambda: F.avg("inner_value"), per="product_key", inner=lambda: F.sum("quantity"), merge="sum"
     ),
     "stock_max": Part("fact_inventory", lambda: F.max("quantity"), merge="max"),
     "stock_min": Part("fact_inventory", lambda: F.min("quantity"), merge="min"),
@@ -64,6 +66,11 @@ def _same(column: Column) -> Column:
     return column
 
 
+def growth(value: Column, previous: Column) -> Column:
+    """Change against the previous value as a fraction; a missing value counts as zero."""
+    return ratio(F.coalesce(value, F.lit(0.0)) - previous, previous)
+
+
 def _sales_per(amount: Column, count: Column) -> Column:
     return ratio(major_units(amount), count)
 
@@ -95,6 +102,10 @@ MEASURES = {
     "sales_per_product": Measure(("sales_amount", "sales_products"), _sales_per),
     # An average per day with sales, despite its name.
     "daily_sales": Measure(("sales_amount", "sales_days"), _sales_per),
+    "previous_day_sales": Measure(("sales_day_before",), major_units),
+    "daily_sales_growth_pct": Measure(("sales_amount", "sales_day_before"), lambda a, b: growth(major_units(a), major_units(b))),
+    "previous_month_sales": Measure(("sales_month_before",), major_units),
+    "monthly_sales_growth_pct": Measure(("sales_amount", "sales_month_before"), lambda a, b: growth(major_units(a), major_units(b))),
     "repeat_customer_rate": Measure(("returning", "buyers"), lambda r, n: F.coalesce(ratio(_zero(r), n), F.lit(0.0)), never_blank=True),
 }
 
@@ -119,11 +130,6 @@ def daily_totals(tables: Tables, filters: Filters | None = None) -> DataFrame:
     return measure(tables, "total_sales", ["dim_date.date"], filters)
 
 
-def growth(value: Column, previous: Column) -> Column:
-    """Change against the previous value as a fraction; a missing value counts as zero."""
-    return ratio(F.coalesce(value, F.lit(0.0)) - previous, previous)
-
-
 def previous_period(daily: DataFrame, calendar: DataFrame, unit: str) -> DataFrame:
     """Per date: total sales, those one ``unit`` (day or month) earlier, and the growth.
 

@@ -186,18 +186,59 @@ def measures_by_date_and_item(c: Context) -> DataFrame:
     return measures.measure(c.star, ["total_sales", "total_orders"], ["dim_date.date", "dim_product.item_name"])
 
 
+_PAIRS = """pairs AS (SELECT l.location_name, p.item_name FROM f_sales f LEFT JOIN d_location l ON f.location_key = l.location_key
+    LEFT JOIN d_product p ON f.variation_id = p.variation_id
+    UNION SELECT l.location_name, p.item_name FROM f_inventory f LEFT JOIN d_location l ON f.location_key = l.location_key
+    LEFT JOIN d_product p ON f.product_key = p.product_key)"""
+_PAIR = ["dim_product.item_name", "dim_location.location_name"]
+
+
 @query(
     "average_order_value_by_item_and_location",
-    f"""WITH s AS (SELECT l.location_name, p.item_name, CAST(sum(f.total_amount) AS BIGINT) AS amount FROM f_sales f
+    f"""WITH {_PAIRS}, s AS (SELECT l.location_name, p.item_name, CAST(sum(f.total_amount) AS BIGINT) AS amount FROM f_sales f
       LEFT JOIN d_location l ON f.location_key = l.location_key LEFT JOIN d_product p ON f.variation_id = p.variation_id
       GROUP BY ALL),
     o AS (SELECT l.location_name, {_distinct('order_id')} AS orders FROM f_order f
       LEFT JOIN d_location l ON f.location_key = l.location_key GROUP BY ALL)
-    SELECT s.item_name, s.location_name, coalesce(CAST(amount AS DOUBLE) / 100 / nullif(orders, 0), 0) AS average_order_value
-    FROM s LEFT JOIN o ON s.location_name IS NOT DISTINCT FROM o.location_name""",
+    SELECT k.item_name, k.location_name, coalesce(CAST(amount AS DOUBLE) / 100 / nullif(orders, 0), 0) AS average_order_value
+    FROM pairs k LEFT JOIN s ON s.location_name IS NOT DISTINCT FROM k.location_name AND s.item_name IS NOT DISTINCT FROM k.item_name
+    LEFT JOIN o ON k.location_name IS NOT DISTINCT FROM o.location_name""",
 )
 def average_order_value_by_item_and_location(c: Context) -> DataFrame:
-    return measures.measure(c.star, "average_order_value", ["dim_product.item_name", "dim_location.location_name"])
+    """Pairs that only have stock show 0; orders, which reach locations alone, are repeated under the items."""
+    return measures.measure(c.star, "average_order_value", _PAIR)
+
+
+@query(
+    "out_of_stock_by_item_and_location",
+    f"""WITH {_PAIRS}, i AS (SELECT l.location_name, p.item_name, {_distinct_where('f.product_key', 'quantity <= 0')} AS n FROM f_inventory f
+      LEFT JOIN d_location l ON f.location_key = l.location_key LEFT JOIN d_product p ON f.product_key = p.product_key GROUP BY ALL)
+    SELECT k.item_name, k.location_name, coalesce(n, 0) AS out_of_stock_products FROM pairs k
+    LEFT JOIN i ON i.location_name IS NOT DISTINCT FROM k.location_name AND i.item_name IS NOT DISTINCT FROM k.item_name""",
+)
+def out_of_stock_by_item_and_location(c: Context) -> DataFrame:
+    """Pairs that only have sales show 0."""
+    return measures.measure(c.star, "out_of_stock_products", _PAIR)
+
+
+@query(
+    "repeat_customers_by_customer_and_location",
+    """WITH pairs AS (SELECT customer_name, location_name FROM f_order f LEFT JOIN d_customer USING (customer_key)
+      LEFT JOIN d_location USING (location_key) UNION SELECT customer_name, location_name FROM f_sales
+      LEFT JOIN d_customer USING (customer_key) LEFT JOIN d_location USING (location_key)
+      UNION SELECT customer_name, location_name FROM f_payment
+      LEFT JOIN d_customer USING (customer_key) LEFT JOIN d_location USING (location_key)),
+    n AS (SELECT customer_name, location_name, count(*) FILTER (v > 1) AS r, count(*) AS b FROM
+      (SELECT customer_name, location_name, customer_key, count(DISTINCT order_key) AS v FROM f_order
+      LEFT JOIN d_customer USING (customer_key) LEFT JOIN d_location USING (location_key) GROUP BY ALL) GROUP BY ALL)
+    SELECT k.customer_name, k.location_name, coalesce(r, 0) AS repeat_customers,
+    coalesce(CAST(coalesce(r, 0) AS DOUBLE) / nullif(b, 0), 0) AS repeat_customer_rate FROM pairs k
+    LEFT JOIN n ON n.customer_name IS NOT DISTINCT FROM k.customer_name AND n.location_name IS NOT DISTINCT FROM k.location_name""",
+)
+def repeat_customers_by_customer_and_location(c: Context) -> DataFrame:
+    return measures.measure(
+        c.star, ["repeat_customers", "repeat_customer_rate"], ["dim_customer.customer_name", "dim_location.location_name"]
+    )
 
 
 @query(
@@ -303,6 +344,71 @@ def previous_month_sales_over_years(c: Context) -> DataFrame:
     return measures.previous_period(daily, date_spine(c.table("orders").select(F.to_date("o_orderdate"))), "month")
 
 
+# -- the same under any grouping and filter --------------------------------------------------------
+
+_SALES_KEY = {"d_product": "variation_id", "d_location": "location_key", "d_customer": "customer_key"}
+
+
+def _earlier(measure: str, unit: str, groups: dict[str, str], where: str = "", more: str = "") -> str:
+    """A period measure per group: ``groups`` gives ``{column: table}``, ``where`` selects dates, ``more`` other facts."""
+    dates = "".join(f", {c}" for c, t in groups.items() if t == "d_date")
+    names = ", ".join(groups)
+    now_names, then_names = (", ".join(f"{day if t == 'd_date' else f'g_{c}'}.{c}" for c, t in groups.items()) for day in ("n", "moved"))
+    others = " ".join(
+        f"LEFT JOIN (SELECT {_SALES_KEY[t]}, {c} FROM {t}) g_{c} ON f.{_SALES_KEY[t]} = g_{c}.{_SALES_KEY[t]}" for c, t in groups.items() if t != "d_date"
+    )
+    ends = f"""UNION SELECT d.date AS at{dates.replace(', ', ', e.')} FROM (SELECT last_day(date) AS z{dates} FROM days
+      WHERE date >= last_day(date) - 1 GROUP BY ALL HAVING count(*) = 2) e JOIN d_date d
+      ON d.date > CAST(e.z - INTERVAL 1 MONTH AS DATE) AND d.date <= last_day(CAST(e.z - INTERVAL 1 MONTH AS DATE))"""
+    day_groups = [c for c, t in groups.items() if t == "d_date"]
+    now = "JOIN days n ON f.date_key = n.date_key" if where else "LEFT JOIN days n ON f.date_key = n.date_key" if day_groups else ""
+    value = {"DAY": "previous_day_sales", "MONTH": "previous_month_sales"}[unit] == measure
+    shown = f"previous_sales AS {measure}" if value else f"{_GROWTH} AS {measure}"
+    by, comma = "GROUP BY ALL" if groups else "", "," if groups else ""
+    return f"""WITH days AS (SELECT date_key, date{''.join(f', {c}' for c in day_groups if c != 'date')} FROM d_date {where}),
+    moved AS (SELECT DISTINCT CAST(date - INTERVAL 1 {unit} AS DATE) AS at{dates} FROM days {ends if unit == 'MONTH' else ''}),
+    stacked AS (
+      SELECT {now_names}{comma} CAST(CAST(sum(f.total_amount) AS BIGINT) AS DOUBLE) / 100 AS total_sales, CAST(NULL AS DOUBLE) AS previous_sales
+      FROM f_sales f {now} {others} {more} {by}
+      UNION ALL SELECT {then_names}{comma} NULL, CAST(CAST(sum(f.total_amount) AS BIGINT) AS DOUBLE) / 100
+      FROM f_sales f JOIN (SELECT date_key AS k, date AS a FROM d_date) t ON f.date_key = t.k JOIN moved ON moved.at = t.a {others} {more} {by}),
+    folded AS (SELECT {names}{comma} max(total_sales) AS total_sales, max(previous_sales) AS previous_sales FROM stacked {by})
+    SELECT * FROM (SELECT {names}{comma} {shown} FROM folded) {f'WHERE {measure} IS NOT NULL' if groups else ''}"""
+
+
+_PERIODS = {
+    "previous_day_sales": "DAY",
+    "daily_sales_growth_pct": "DAY",
+    "previous_month_sales": "MONTH",
+    "monthly_sales_growth_pct": "MONTH",
+}
+_TABLE_OF = {"d_product": "dim_product", "d_location": "dim_location", "d_date": "dim_date", "d_customer": "dim_customer"}
+
+
+def _period_query(name: str, measure: str, groups: dict[str, str], where: str = "", filters=None, more: str = "") -> None:
+    by = [f"{_TABLE_OF[t]}.{c}" for c, t in groups.items()]
+    query(name, _earlier(measure, _PERIODS[measure], groups, where, more))(lambda c: measures.measure(c.star, measure, by, filters and filters()))
+
+
+for _name in _PERIODS:
+    _period_query(f"{_name}_by_item", _name, {"item_name": "d_product"})
+    _period_query(f"{_name}_by_location", _name, {"location_name": "d_location"})
+    _period_query(f"{_name}_by_date_and_location", _name, {"date": "d_date", "location_name": "d_location"})
+_period_query("previous_month_sales_by_customer", "previous_month_sales", {"customer_name": "d_customer"})
+_period_query("previous_month_sales_by_month_and_item", "previous_month_sales", {"year_month_number": "d_date", "item_name": "d_product"})
+_period_query("monthly_sales_growth_pct_by_month_and_location", "monthly_sales_growth_pct", {"year_month": "d_date", "location_name": "d_location"})
+_period_query("daily_sales_growth_pct_by_weekday", "daily_sales_growth_pct", {"day_name": "d_date"})
+_AUGUST = "WHERE date >= DATE '2026-08-01' AND date < DATE '2026-08-10' + 1"
+_period_query(
+    "previous_month_sales_by_item_in_slice", "previous_month_sales", {"item_name": "d_product"}, _AUGUST,
+    lambda: report.between_dates("2026-08-01", "2026-08-10"),
+)
+_period_query(
+    "previous_day_sales_by_locality_in_state", "previous_day_sales", {"address_locality": "d_customer"}, "",
+    lambda: {"dim_location": F.col("state") == "R1"}, "JOIN d_location w ON f.location_key = w.location_key AND w.state = 'R1'",
+)
+
+
 # -- filters over the star -------------------------------------------------------------------------
 
 _SLICE = ("2026-07-10", "2026-07-25")
