@@ -15,42 +15,45 @@ from starledger.functions.scalars import full_name
 from starledger.operators.calendar import date_spine, dim_date, order_date_mapping
 from starledger.operators.keys import surrogate_key
 from starledger.operators.reshape import drop_all_null_columns
+from starledger.plans.star import MONTH
 from starledger.session import releasing
 
 # Columns of the dimensions and facts, in order, after their surrogate key.
 CUSTOMER_COLUMNS = (
-    "customer_id reference_id customer_name given_name family_name email_address phone_number created_at updated_at "
-    "address_district address_locality address_postal_code address_country"
-).split()
+    "customer_id", "reference_id", "customer_name", "given_name", "family_name", "email_address", "phone_number",
+    "created_at", "updated_at", "address_district", "address_locality", "address_postal_code", "address_country",
+)
 PRODUCT_COLUMNS = (
-    "variation_id item_id item_name description product_type variation_name sku ordinal price_amount currency "
-    "pricing_type sellable stockable is_archived is_taxable is_variation_deleted is_item_deleted "
-    "present_at_all_locations created_at updated_at version"
-).split()
+    "variation_id", "item_id", "item_name", "description", "product_type", "variation_name", "sku", "ordinal",
+    "price_amount", "currency", "pricing_type", "sellable", "stockable", "is_archived", "is_taxable",
+    "is_variation_deleted", "is_item_deleted", "present_at_all_locations", "created_at", "updated_at", "version",
+)
 ORDER_MEASURES = (
-    "total_amount total_tax_amount total_discount_amount total_tip_amount total_service_charge_amount "
-    "total_card_surcharge_amount net_total_amount net_tax_amount net_discount_amount net_tip_amount "
-    "net_service_charge_amount net_card_surcharge_amount net_amount_due"
-).split()
+    "total_amount", "total_tax_amount", "total_discount_amount", "total_tip_amount", "total_service_charge_amount",
+    "total_card_surcharge_amount", "net_total_amount", "net_tax_amount", "net_discount_amount", "net_tip_amount",
+    "net_service_charge_amount", "net_card_surcharge_amount", "net_amount_due",
+)
 ORDER_COLUMNS = (
-    "order_id business_order_id date_key customer_key location_key order_state order_version currency created_at "
-    "updated_at closed_at"
-).split() + ORDER_MEASURES
+    "order_id", "business_order_id", "date_key", "customer_key", "location_key", "order_state", "order_version",
+    "currency", "created_at", "updated_at", "closed_at", *ORDER_MEASURES,
+)
 SALES_COLUMNS = (
-    "order_key date_key customer_key product_key location_key order_id business_order_id order_line_id variation_id "
-    "item_name variation_name item_type quantity unit_price gross_sales_amount discount_amount tax_amount "
-    "service_charge_amount card_surcharge_amount total_amount variation_total_price_amount currency"
-).split()
+    "order_key", "date_key", "customer_key", "product_key", "location_key", "order_id", "business_order_id",
+    "order_line_id", "variation_id", "item_name", "variation_name", "item_type", "quantity", "unit_price",
+    "gross_sales_amount", "discount_amount", "tax_amount", "service_charge_amount", "card_surcharge_amount",
+    "total_amount", "variation_total_price_amount", "currency",
+)
 PAYMENT_COLUMNS = (
-    "order_key date_key customer_key location_key payment_id order_id customer_id amount currency total_amount "
-    "total_currency payment_status payment_source_type created_at updated_at receipt_number external_source "
-    "external_type card_brand card_type card_last_4 card_entry_method card_status avs_status cvv_status "
-    "cash_buyer_supplied_amount cash_change_back_amount risk_level application_id application_product version_token"
-).split()
+    "order_key", "date_key", "customer_key", "location_key", "payment_id", "order_id", "customer_id", "amount",
+    "currency", "total_amount", "total_currency", "payment_status", "payment_source_type", "created_at", "updated_at",
+    "receipt_number", "external_source", "external_type", "card_brand", "card_type", "card_last_4",
+    "card_entry_method", "card_status", "avs_status", "cvv_status", "cash_buyer_supplied_amount",
+    "cash_change_back_amount", "risk_level", "application_id", "application_product", "version_token",
+)
 INVENTORY_COLUMNS = (
-    "date_key product_key location_key variation_id location_id catalog_object_type inventory_state quantity "
-    "inventory_date calculated_at"
-).split()
+    "date_key", "product_key", "location_key", "variation_id", "location_id", "catalog_object_type",
+    "inventory_state", "quantity", "inventory_date", "calculated_at",
+)
 
 
 def build_date_mapping(mapping: DataFrame) -> DataFrame:
@@ -108,10 +111,18 @@ def join_order(
     )
 
 
+def by_month(fact: DataFrame) -> DataFrame:
+    """A fact with the month of its date key, the column that facts are stored by.
+
+    Days are packed into months so that files stay few and large; inside a month rows are sorted by day.
+    """
+    return fact.withColumn(MONTH, (F.col("date_key") / 100).cast("int"))
+
+
 def build_fact_order(
     header: DataFrame, mapping: DataFrame, customer: DataFrame, location: DataFrame, date: DataFrame
 ) -> DataFrame:
-    return surrogate_key(join_order(header, mapping, customer, location, date), ["order_id"], "order_key")
+    return by_month(surrogate_key(join_order(header, mapping, customer, location, date), ["order_id"], "order_key"))
 
 
 def _order_keys(fact_order: DataFrame) -> DataFrame:
@@ -128,7 +139,7 @@ def join_sales(line: DataFrame, fact_order: DataFrame, product: DataFrame) -> Da
 
 
 def build_fact_sales(line: DataFrame, fact_order: DataFrame, product: DataFrame) -> DataFrame:
-    return surrogate_key(join_sales(line, fact_order, product), ["order_id", "order_line_id"], "sales_key")
+    return by_month(surrogate_key(join_sales(line, fact_order, product), ["order_id", "order_line_id"], "sales_key"))
 
 
 def join_payment(payment: DataFrame, fact_order: DataFrame) -> DataFrame:
@@ -137,7 +148,7 @@ def join_payment(payment: DataFrame, fact_order: DataFrame) -> DataFrame:
 
 
 def build_fact_payment(payment: DataFrame, fact_order: DataFrame) -> DataFrame:
-    return surrogate_key(join_payment(payment, fact_order), ["payment_id"], "payment_key")
+    return by_month(surrogate_key(join_payment(payment, fact_order), ["payment_id"], "payment_key"))
 
 
 def join_inventory(inventory: DataFrame, product: DataFrame, location: DataFrame, date: DataFrame) -> DataFrame:
@@ -156,7 +167,7 @@ def build_fact_inventory(
 ) -> DataFrame:
     """Stock counts keyed by variation, location and day. Counts of one day follow in order of their columns."""
     order = ["variation_id", "location_id", "inventory_date", "inventory_state", "quantity", "calculated_at"]
-    return surrogate_key(join_inventory(inventory, product, location, date), order, "inventory_key")
+    return by_month(surrogate_key(join_inventory(inventory, product, location, date), order, "inventory_key"))
 
 
 # Every gold table: how it is built and the tables it is built from, in build order.
@@ -176,6 +187,12 @@ STAR: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
 }
 
 
+# How the facts are stored: see :func:`starledger.sources.tables.write_table`.
+LAYOUT = {
+    name: {"partition_by": (MONTH,), "sort_by": ("date_key",)} for name in ("fact_order", "fact_sales", "fact_payment", "fact_inventory")
+}
+
+
 def build_star(silver: dict[str, DataFrame], save: Callable[[str, DataFrame], DataFrame]) -> dict[str, DataFrame]:
     """All gold tables from the silver ones. ``save`` stores a table and returns it as read back.
 

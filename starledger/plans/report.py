@@ -37,26 +37,44 @@ CARDS = {
 
 # How the model summarises a column when no measure is chosen.
 DEFAULT_SUMS = {
-    "dim_date": "year quarter_number month_number week_of_year day_of_month day_of_week_number year_month_number",
-    "dim_product": "ordinal price_amount version",
-    "fact_inventory": "quantity",
+    "dim_date": (
+        "year", "quarter_number", "month_number", "week_of_year", "day_of_month", "day_of_week_number",
+        "year_month_number",
+    ),
+    "dim_product": (
+        "ordinal", "price_amount", "version",
+    ),
+    "fact_inventory": (
+        "quantity",
+    ),
     "fact_order": (
-        "order_version total_amount total_tax_amount total_discount_amount total_tip_amount "
-        "total_service_charge_amount total_card_surcharge_amount net_total_amount net_tax_amount "
-        "net_discount_amount net_tip_amount net_service_charge_amount net_card_surcharge_amount net_amount_due"
+        "order_version", "total_amount", "total_tax_amount", "total_discount_amount", "total_tip_amount",
+        "total_service_charge_amount", "total_card_surcharge_amount", "net_total_amount", "net_tax_amount",
+        "net_discount_amount", "net_tip_amount", "net_service_charge_amount", "net_card_surcharge_amount",
+        "net_amount_due",
+    ),
+    "fact_payment": (
+        "amount", "total_amount", "cash_buyer_supplied_amount", "cash_change_back_amount",
     ),
-    "fact_payment": "amount total_amount cash_buyer_supplied_amount cash_change_back_amount",
     "fact_sales": (
-        "quantity unit_price gross_sales_amount discount_amount tax_amount service_charge_amount "
-        "card_surcharge_amount total_amount variation_total_price_amount"
+        "quantity", "unit_price", "gross_sales_amount", "discount_amount", "tax_amount", "service_charge_amount",
+        "card_surcharge_amount", "total_amount", "variation_total_price_amount",
     ),
-}
+}
 DEFAULT_COUNTS = {
-    "fact_inventory": "inventory_key",
-    "fact_order": "order_key",
-    "fact_payment": "payment_key order_key",
-    "fact_sales": "sales_key order_key product_key",
-}
+    "fact_inventory": (
+        "inventory_key",
+    ),
+    "fact_order": (
+        "order_key",
+    ),
+    "fact_payment": (
+        "payment_key", "order_key",
+    ),
+    "fact_sales": (
+        "sales_key", "order_key", "product_key",
+    ),
+}
 
 
 def between_dates(first: dt.date | str, last: dt.date | str) -> Filters:
@@ -129,8 +147,8 @@ def product_table(tables: Tables, filters: Filters | None = None) -> DataFrame:
 
 def default_summary(tables: Tables, table: str) -> DataFrame:
     """One row: every column of a table that has a default summary, under it."""
-    sums: list[Column] = [F.sum(c).alias(f"sum_{c}") for c in DEFAULT_SUMS.get(table, "").split()]
-    counts: list[Column] = [F.count(c).alias(f"count_{c}") for c in DEFAULT_COUNTS.get(table, "").split()]
+    sums: list[Column] = [F.sum(c).alias(f"sum_{c}") for c in DEFAULT_SUMS.get(table, ())]
+    counts: list[Column] = [F.count(c).alias(f"count_{c}") for c in DEFAULT_COUNTS.get(table, ())]
     return tables[table].agg(*sums, *counts)
 
 

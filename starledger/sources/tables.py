@@ -16,11 +16,13 @@ def _files(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
-def _save(df: DataFrame, name: str, partition_by: Sequence[str]) -> None:
+def _save(df: DataFrame, name: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> None:
     """A path is written beside the old table and takes its place when it is complete."""
     if partition_by:
         # One writer per value, and more where adaptive execution splits a hot one.
         df = df.hint("rebalance", *partition_by)
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
     writer = df.write.mode("overwrite").partitionBy(*partition_by)
     if "/" not in name:
         writer.format("parquet").saveAsTable(name)
@@ -45,12 +47,13 @@ def _exists(spark: SparkSession, name: str) -> bool:
 
 
 def write_table(
-    df: DataFrame, name: str, evolve_schema: bool = True, skip_empty: bool = False, partition_by: Sequence[str] = ()
-) -> bool:
+    df: DataFrame, name: str, evolve_schema: bool = True, skip_empty: bool = False, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
+) -> bool:
     """Replace a table (a catalog name, or a path where ``name`` holds a slash). True when it was written.
 
     A table at a path is written beside the old one, which stays whole until the new one is complete.
-    ``partition_by`` makes a folder per value of the columns, with few files each.
+    ``partition_by`` makes a folder per value of the columns, with few files each; ``sort_by`` sorts the rows of
+    each file, so that readers skip row groups by the least and greatest values in it.
 
     With ``evolve_schema`` the new rows bring their own schema; without it they must have that of the table.
     ``skip_empty`` leaves the table as it is when there are no rows.
@@ -62,7 +65,7 @@ def write_table(
         new = [(f.name, f.dataType) for f in df.schema.fields]
         if old != new:
             raise ValueError(f"{name} has another schema: {old} is not {new}")
-    _save(df, name, partition_by)
+    _save(df, name, partition_by, sort_by)
     return True
 
 

@@ -473,8 +473,8 @@ _FACT_LAYERS = {name: layer for name, (_, layer) in {**_DIM_KEYS, **_FACT_KEYS}.
 
 def _default_summary_sql(table: str) -> str:
     whole = table == "fact_inventory"
-    sums = [f"{_sum(x).replace('DECIMAL(28,3)', 'BIGINT') if whole else _sum(x)} AS sum_{x}" for x in report.DEFAULT_SUMS.get(table, "").split()]
-    counts = [f"count({x}) AS count_{x}" for x in report.DEFAULT_COUNTS.get(table, "").split()]
+    sums = [f"{_sum(x).replace('DECIMAL(28,3)', 'BIGINT') if whole else _sum(x)} AS sum_{x}" for x in report.DEFAULT_SUMS.get(table, ())]
+    counts = [f"count({x}) AS count_{x}" for x in report.DEFAULT_COUNTS.get(table, ())]
     return f"SELECT {', '.join(sums + counts)} FROM {_FACT_LAYERS[table]}"
 
 
@@ -483,8 +483,8 @@ for _table in report.DEFAULT_SUMS:
 
 
 def _summaries_sql(table: str) -> str:
-    rows = [("sum", _sum(x), x) for x in report.DEFAULT_SUMS.get(table, "").split()]
-    rows += [("count", f"count({x})", x) for x in report.DEFAULT_COUNTS.get(table, "").split()]
+    rows = [("sum", _sum(x), x) for x in report.DEFAULT_SUMS.get(table, ())]
+    rows += [("count", f"count({x})", x) for x in report.DEFAULT_COUNTS.get(table, ())]
     return " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, '{kind}_{column}' AS summary, CAST({sql} AS DECIMAL(38,3)) AS value "
         f"FROM {_FACT_LAYERS[table]}"

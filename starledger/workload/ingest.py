@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from starledger.operators.reshape import explode_records, project
 from starledger.plans.silver import CUSTOMER, flatten_location
@@ -129,6 +129,55 @@ def merge_pages_report(c: Context) -> DataFrame:
     return pages.page_report(_pages(c), "records", _PAGE_RECORD, ["chain"])
 
 
+def _cursor_pages(c: Context) -> DataFrame:
+    """The pages of :func:`_pages` without numbers: each knows the cursor it was asked for with.
+
+    Every fifth chain lacks page 500, every fifth has page 700 point back to page 100; every fiftieth page comes twice.
+    """
+    pages, kind = _pages(c), F.col("chain") % 5
+    before = F.lag("page_no").over(Window.partitionBy("chain").orderBy("page_no"))
+    asked = pages.withColumn("asked", F.concat(F.lit("after-"), before.cast("string")))
+    asked = asked.filter(~((kind == 3) & (F.col("page_no") % 1000 == 500)))
+    back = F.regexp_replace("body", "after-[0-9]+", F.concat(F.lit("after-"), (F.col("page_no") - 601).cast("string")))
+    turned = asked.withColumn("body", F.when((kind == 4) & (F.col("page_no") % 1000 == 700), back).otherwise(F.col("body")))
+    again = turned.filter(every("page_no", 50))
+    return turned.unionAll(again).select("chain", "asked", "body")
+
+
+_CURSOR_CHAIN = f"""WITH placed AS (SELECT *, o_orderkey // 1000 AS c, o_orderkey % 1000 AS k, {AMOUNT} AS amount FROM orders),
+  chain AS (SELECT * FROM placed WHERE k <= 989 AND NOT (c % 5 = 3 AND k >= 500) AND NOT (c % 5 = 4 AND k > 700))"""
+
+
+@query(
+    "merge_pages_by_cursor",
+    f"""{_CURSOR_CHAIN}
+    SELECT dense_rank() OVER (PARTITION BY c ORDER BY o_orderkey) AS page_no, position, id, r.amount AS amount FROM chain LEFT JOIN LATERAL (
+      SELECT 0 AS position, CAST(o_orderkey AS VARCHAR) AS id, amount WHERE o_orderkey % 7 <> 0
+      UNION ALL SELECT 1, o_orderkey || 'b', 7 WHERE o_orderkey % 7 <> 0 AND o_orderkey % 3 = 0) r ON true
+    QUALIFY id IS NOT NULL""",
+)
+def merge_pages_by_cursor(c: Context) -> DataFrame:
+    """Records of pages that only their cursors put in order."""
+    linked = pages.link_pages(_cursor_pages(c), ["chain"])
+    return pages.merge_linked_pages(linked, "records", _PAGE_RECORD, ["chain"]).select("page_no", "position", "record.*")
+
+
+@query(
+    "cursor_report",
+    f"""{_CURSOR_CHAIN}, given AS (SELECT * FROM placed WHERE NOT (c % 5 = 3 AND k = 500)),
+    ends AS (SELECT c, max(k) AS k, count(*) AS pages, CAST(sum(CASE WHEN o_orderkey % 7 = 0 THEN 0 WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END)
+      AS BIGINT) AS records FROM chain GROUP BY c),
+    totals AS (SELECT c, count(*) AS n, CAST(count(*) FILTER (o_orderkey % 50 = 0) AS BIGINT) AS again FROM given GROUP BY c)
+    SELECT c AS chain, pages, records, n - pages AS unreached, again AS repeated,
+    CASE WHEN k = 989 THEN 'complete' WHEN c % 5 = 4 AND k = 700 THEN 'loop' ELSE 'gap' END AS ends,
+    CASE WHEN k <> 989 AND NOT (c % 5 = 4 AND k = 700) THEN 'after-' || (c * 1000 + k) END AS missing
+    FROM ends JOIN totals USING (c)""",
+)
+def cursor_report(c: Context) -> DataFrame:
+    """Gaps, loops and repeated deliveries found in chains of pages."""
+    return pages.link_report(pages.link_pages(_cursor_pages(c), ["chain"]), "records", _PAGE_RECORD, ["chain"])
+
+
 _SNAPSHOTS = ("20260820_000000", "20260821_000000")
 
 

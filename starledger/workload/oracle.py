@@ -268,7 +268,7 @@ LAYERS = {
   FROM o_variation v LEFT JOIN o_item i ON v.item_id = i.item_id""",
     "d_location": "SELECT row_number() OVER (ORDER BY location_id NULLS FIRST) AS location_key, * FROM o_location",
     "f_order": """SELECT row_number() OVER (ORDER BY o.order_id NULLS FIRST) AS order_key, o.order_id, o.business_order_id,
-  d.date_key, c.customer_key, l.location_key, o.order_state, o.order_version, o.currency, o.created_at, o.updated_at,
+  d.date_key, CAST(d.date_key // 100 AS INTEGER) AS date_month, c.customer_key, l.location_key, o.order_state, o.order_version, o.currency, o.created_at, o.updated_at,
   o.closed_at, o.total_amount, o.total_tax_amount, o.total_discount_amount, o.total_tip_amount,
   o.total_service_charge_amount, o.total_card_surcharge_amount, o.net_total_amount, o.net_tax_amount,
   o.net_discount_amount, o.net_tip_amount, o.net_service_charge_amount, o.net_card_surcharge_amount, o.net_amount_due
@@ -276,13 +276,13 @@ LAYERS = {
   LEFT JOIN d_customer c ON o.customer_id = c.customer_id LEFT JOIN d_location l ON o.location_id = l.location_id
   LEFT JOIN d_date d ON m.reporting_date = d.date""",
     "f_sales": """SELECT row_number() OVER (ORDER BY ol.order_id NULLS FIRST, ol.order_line_id NULLS FIRST) AS sales_key,
-  fo.order_key, fo.date_key, fo.customer_key, p.product_key, fo.location_key, ol.order_id, ol.business_order_id,
+  fo.order_key, fo.date_key, fo.date_month, fo.customer_key, p.product_key, fo.location_key, ol.order_id, ol.business_order_id,
   ol.order_line_id, ol.variation_id, ol.item_name, ol.variation_name, ol.item_type, ol.quantity, ol.unit_price,
   ol.gross_sales_amount, ol.discount_amount, ol.tax_amount, ol.service_charge_amount, ol.card_surcharge_amount,
   ol.total_amount, ol.variation_total_price_amount, ol.currency
   FROM o_line ol LEFT JOIN f_order fo ON ol.order_id = fo.order_id
   LEFT JOIN d_product p ON ol.variation_id = p.variation_id""",
-    "f_payment": """SELECT row_number() OVER (ORDER BY p.payment_id NULLS FIRST) AS payment_key, fo.order_key, fo.date_key,
+    "f_payment": """SELECT row_number() OVER (ORDER BY p.payment_id NULLS FIRST) AS payment_key, fo.order_key, fo.date_key, fo.date_month,
   fo.customer_key, fo.location_key, p.payment_id, p.order_id, p.customer_id, p.amount, p.currency, p.total_amount,
   p.total_currency, p.payment_status, p.payment_source_type, p.created_at, p.updated_at, p.receipt_number,
   p.external_source, p.external_type, p.card_brand, p.card_type, p.card_last_4, p.card_entry_method, p.card_status,
@@ -292,7 +292,7 @@ LAYERS = {
     "f_inventory": """SELECT row_number() OVER (ORDER BY i.variation_id NULLS FIRST, i.location_id NULLS FIRST,
     CAST(i.calculated_at AS DATE) NULLS FIRST, i.inventory_state NULLS FIRST, i.quantity NULLS FIRST,
     i.calculated_at NULLS FIRST) AS inventory_key,
-  d.date_key, p.product_key, l.location_key, i.variation_id, i.location_id, i.catalog_object_type, i.inventory_state,
+  d.date_key, CAST(d.date_key // 100 AS INTEGER) AS date_month, p.product_key, l.location_key, i.variation_id, i.location_id, i.catalog_object_type, i.inventory_state,
   i.quantity, CAST(i.calculated_at AS DATE) AS inventory_date, i.calculated_at
   FROM o_inventory i LEFT JOIN d_product p ON i.variation_id = p.variation_id
   LEFT JOIN d_location l ON i.location_id = l.location_id LEFT JOIN d_date d ON CAST(i.calculated_at AS DATE) = d.date""",

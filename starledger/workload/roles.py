@@ -15,7 +15,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from starledger.plans import silver
-from starledger.plans.gold import STAR
+from starledger.plans.gold import LAYOUT, STAR
 from starledger.session import releasing, scratch_path
 from starledger.sources.schemas import envelope, narrowed
 from starledger.sources.tables import write_table
@@ -652,7 +652,7 @@ class Layers(Mapping):
             path = f"{self._folder}/{name}"
             with releasing(self._spark):
                 df = self.compute(name)
-                write_table(df, path)
+                write_table(df, path, **LAYOUT.get(name, {}))
             self._stored[name] = self._spark.read.schema(df.schema).parquet(path)
         return self._stored[name]
 

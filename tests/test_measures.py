@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starledger.plans import measures
+from starledger.plans.report import between_dates
 from starledger.plans.star import limited_by_stock, related
 from starledger.workload.roles import layers
 
@@ -233,3 +234,20 @@ def test_never_blank_pairs_come_from_any_fact(star):
     rows = measures.measure(star, ["out_of_stock_products", "average_order_value"], ["dim_product.item_name", "dim_location.location_name"]).collect()
     got = {(r[0], r[1]): (r[2], r[3]) for r in rows}
     assert got == {("Soup", "L1"): (1, 2.0), ("Tea", "L2"): (1, 2.5), (None, "L2"): (0, 0.0)}
+
+
+# --- facts stored by month ----------------------------------------------------------------------------------------
+
+
+def test_a_date_slicer_prunes_the_folders_of_both_facts(spark):
+    star = layers(spark, "/root/testdata/sf0.001")
+    filters = between_dates("2026-07-10", "2026-07-25")
+    for names in (["total_sales", "total_orders"], ["previous_day_sales", "total_orders"]):
+        df = measures.measure(star, names, ["dim_date.date"], filters)
+        rows = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        scans = [line for line in plan.splitlines() if "FileScan" in line and "date_month" in line]
+        assert rows and len(scans) == 2 and all("dynamicprun" in line for line in scans), plan
+    stored = star["fact_inventory"]
+    files = stored.select("date_month", F.col("_metadata.file_path").alias("f")).distinct()
+    assert files.count() <= 2 * files.select("date_month").distinct().count()
