@@ -3,77 +3,89 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from starledger.operators.reshape import key_first, quoted
 from starledger.session import stage
 
-_TIE, _COPY, _PLACE, _RANGE, _BEFORE = "__tie", "__copy", "__place", "__range", "__before"
+_TIE, _ROW, _PLACE, _RANGE, _BEFORE = "__tie", "__row", "__place", "__range", "__before"
 # monotonically_increasing_id keeps the partition number above bit 33 and the row number below it.
 _ROW_BITS = 33
+_FIXED = ("boolean", "tinyint", "smallint", "int", "bigint", "date", "timestamp", "float", "double")
 
 
 def surrogate_key(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
     """Add dense keys 1..n in the order of ``order_by`` (NULL first), as the first column.
 
-    No task sees all rows: rows are range-partitioned and numbered inside their range, and each range adds
-    the row count of the ranges before it. Rows that tie on ``order_by`` are told apart by a hash of the
-    whole row, and exact copies by a number given inside their input partition, so a hot key or a large
-    group of copies is spread over many ranges. That number follows a sort, so a retried task repeats it.
+    No task sees all rows, and no row is sorted with its payload. Rows are staged once with an address. Only the
+    order columns, a hash of the row and the address are range-partitioned, sorted and numbered inside their range;
+    each range adds the row count of the ranges before it. The numbers are then joined back by address through a
+    hash join, which shuffles rows but does not sort them. A frame of order columns alone has no payload: it is
+    numbered as it is. Rows that tie on ``order_by`` are told apart by the hash, and exact copies by their address,
+    so a hot key or a large group of copies is spread over many ranges.
 
-    The numbered ranges are staged in the shared folder. Range bounds come from sampling, so counting the
-    ranges and adding the offsets must read the same written rows.
+    Numbered ranges are staged in the shared folder: range bounds come from sampling, so counting the ranges and
+    adding the offsets must read the same written rows.
     """
     columns = [quoted(c) for c in df.columns]
     order = [quoted(c) for c in order_by]
-    told_apart = (
-        df.withColumn(_TIE, F.xxhash64(*columns))
-        .sortWithinPartitions(*order, _TIE)
-        .withColumn(_COPY, F.monotonically_increasing_id())
-    )
-    placed = (
-        told_apart.repartitionByRange(*order, _TIE, _COPY)
-        .sortWithinPartitions(*order, _TIE, _COPY)
-        .select(*columns, F.monotonically_increasing_id().alias(_PLACE))
-    )
-    rows = stage(placed, name)
+    told_apart = df.select(*columns, F.xxhash64(*columns).alias(_TIE))
+    by = [*order, _TIE, _ROW]
+    if set(df.columns) <= set(order_by):
+        # The address follows a sort, so a retried task repeats it.
+        payload, rows = columns, told_apart.sortWithinPartitions(*order, _TIE).withColumn(_ROW, F.monotonically_increasing_id())
+    else:
+        payload, rows = [_ROW], stage(told_apart.withColumn(_ROW, F.monotonically_increasing_id()), name)
+    ranged = rows.select(*dict.fromkeys([*by, *payload])).repartitionByRange(*by).sortWithinPartitions(*by)
+    placed = stage(ranged.select(*payload, F.monotonically_increasing_id().alias(_PLACE)), name)
     row_range = F.shiftright(_PLACE, _ROW_BITS)
     # One row per range: never more than the session's shuffle partitions, whatever the data holds.
     running = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     before = (
-        rows.groupBy(row_range.alias(_RANGE))
+        placed.groupBy(row_range.alias(_RANGE))
         .count()
         .select(_RANGE, F.coalesce(F.sum("count").over(running), F.lit(0)).alias(_BEFORE))
     )
     in_range = F.col(_PLACE) - F.shiftleft(F.col(_RANGE), _ROW_BITS)
-    keyed = (
-        rows.withColumn(_RANGE, row_range)
-        .join(F.broadcast(before), _RANGE)
-        .select((F.col(_BEFORE) + in_range + 1).alias(name), *columns)
-    )
-    return key_first(keyed, name)
+    numbers = placed.withColumn(_RANGE, row_range).join(F.broadcast(before), _RANGE).select((F.col(_BEFORE) + in_range + 1).alias(name), *payload)
+    if payload is columns:
+        return key_first(numbers, name)
+    return key_first(rows.join(numbers.hint("shuffle_hash"), _ROW).select(name, *columns), name)
 
 
-def _pick(df: DataFrame, keys: Sequence[str], rank: Sequence[Column], pick) -> DataFrame:
-    ranked = F.struct(*[c.alias(f"r{i}") for i, c in enumerate(rank)], F.struct("*").alias("row"))
-    grouped = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], ranked.alias("ranked"))
-    return (
-        grouped.groupBy(*[f"k{i}" for i in range(len(keys))])
-        .agg(pick("ranked").alias("picked"))
-        .select("picked.row.*")
-    )
+def _pick(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], pick) -> DataFrame:
+    """The row of the picked ``order_by`` values per key; of ties, the picked one by its columns in order.
+
+    The picked values come from rows of keys and order columns alone; whole rows are then compared only where they
+    tie on them. Frames that have no other columns are compared at once.
+    """
+    key, order = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], [F.col(c).alias(f"r{i}") for i, c in enumerate(order_by)]
+    names, kinds = [f"k{i}" for i in range(len(keys))], dict(df.dtypes)
+    if not set(df.columns) <= {*keys, *order_by}:
+        narrow = df.select(*key, *order)
+        if pick is F.max and len(order) == 1 and kinds.get(order_by[0]) in _FIXED:
+            # A maximum of one fixed-size value is kept in a hash table; NULL is the smallest either way.
+            best = narrow.groupBy(*names).agg(F.max("r0").alias("r0"))
+        else:
+            best = narrow.groupBy(*names).agg(pick(F.struct(*[f"r{i}" for i in range(len(order))])).alias("p")).select(*names, "p.*")
+        best = best.toDF(*[f"__{n}" for n in best.columns])
+        pairs = [(k, f"__k{i}") for i, k in enumerate(keys)] + [(c, f"__r{i}") for i, c in enumerate(order_by)]
+        df = df.join(best, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in pairs]), "left_semi")
+    ranked = df.select(*key, F.struct(*order, F.struct("*").alias("row")).alias("ranked"))
+    return ranked.groupBy(*names).agg(pick("ranked").alias("picked")).select("picked.row.*")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order_by`` values per key; NULL is the smallest.
 
-    A maximum rather than a row number: each task keeps one row per key before the shuffle, so a key with
+    A maximum rather than a row number: each task keeps one narrow row per key before the shuffle, so a key with
     very many rows costs no more than others. Ties go to the greatest row by its columns in order.
     """
-    return _pick(df, keys, [F.col(c) for c in order_by], F.max)
+    return _pick(df, keys, order_by, F.max)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """The row with the smallest ``order_by`` values per key; NULL is the smallest. See :func:`latest_per_key`."""
-    return _pick(df, keys, [F.col(c) for c in order_by], F.min)
+    return _pick(df, keys, order_by, F.min)

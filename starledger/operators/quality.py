@@ -99,35 +99,42 @@ def validate_relationships(
     """:func:`validate_relationship` for many pairs ``(fact, dimension, fact key, dimension key)`` at once.
 
     Every table is scanned once, whatever the number of its relationships: a row is spread into one small row
-    per key, and those are counted per relationship and key before the one shuffle.
+    per key, and those are counted per relationship and key before the one shuffle. A relationship is a number on
+    the way; names come with the results. Keys are compared as 64-bit numbers where all are whole numbers, else as
+    text; the two kinds are counted apart.
     """
-
-    def spread(name: str, at: int, left: int, right: int) -> DataFrame:
-        keys = [
-            F.struct(
-                F.lit(pair[0]).alias("fact_name"),
-                F.lit(pair[1]).alias("dim_name"),
-                F.lit(pair[2]).alias("fact_key"),
-                F.col(pair[2 + at]).cast("string").alias("key"),
+    kinds = {name: dict(tables[name].dtypes) for name in {n for p in pairs for n in p[:2]}}
+    whole = [all(kinds[name][key] in ("tinyint", "smallint", "int", "bigint") for name, key in ((p[0], p[2]), (p[1], p[3]))) for p in pairs]
+
+    def spread(name: str, at: int, kind: str, mine: Sequence[int]) -> DataFrame:
+        keys = [F.struct(F.lit(i).alias("pair"), F.col(pairs[i][2 + at]).cast(kind).alias("key")) for i in mine]
+        rows = tables[name].select(F.explode(F.array(*keys)).alias("k")).select("k.*") if len(keys) > 1 else tables[name].select(keys[0].alias("k")).select("k.*")
+        return rows.withColumns({"l": F.lit(1 - at), "r": F.lit(at)})
+
+    tallies = []
+    for kind, wanted in (("bigint", True), ("string", False)):
+        sides = []
+        for at in (0, 1):
+            for name in dict.fromkeys(p[at] for p in pairs):
+                mine = [i for i, p in enumerate(pairs) if p[at] == name and whole[i] == wanted]
+                if mine:
+                    sides.append(spread(name, at, kind, mine))
+        if sides:
+            tallied = reduce(DataFrame.unionAll, sides).groupBy("pair", "key").agg(F.sum("l").alias("n_left"), F.sum("r").alias("n_right"))
+            null = F.col("key").isNull()
+            tallies.append(
+                tallied.groupBy("pair").agg(
+                    _total(F.col("n_left")).alias("fact_rows"),
+                    _total(F.col("n_left"), null).alias("null_foreign_keys"),
+                    _total(F.col("n_left"), null | (F.col("n_right") == 0)).alias("orphan_records"),
+                )
             )
-            for pair in pairs
-            if pair[at] == name
-        ]
-        rows = tables[name].select(F.explode(F.array(*keys)).alias("k")).select("k.*")
-        return rows.withColumns({"l": F.lit(left), "r": F.lit(right)})
-
-    facts = [spread(name, 0, 1, 0) for name in dict.fromkeys(p[0] for p in pairs)]
-    dims = [spread(name, 1, 0, 1) for name in dict.fromkeys(p[1] for p in pairs)]
-    tallied = (
-        reduce(DataFrame.unionAll, facts + dims)
-        .groupBy("fact_name", "dim_name", "fact_key", "key")
-        .agg(F.sum("l").alias("n_left"), F.sum("r").alias("n_right"))
-    )
-    null = F.col("key").isNull()
-    return tallied.groupBy("fact_name", "dim_name", "fact_key").agg(
-        _total(F.col("n_left")).alias("fact_rows"),
-        _total(F.col("n_left"), null).alias("null_foreign_keys"),
-        _total(F.col("n_left"), null | (F.col("n_right") == 0)).alias("orphan_records"),
+
+    def named(at: int) -> Column:
+        return F.element_at(F.array(*[F.lit(p[at]) for p in pairs]), F.col("pair") + 1)
+
+    return reduce(DataFrame.unionAll, tallies).select(
+        named(0).alias("fact_name"), named(1).alias("dim_name"), named(2).alias("fact_key"), "fact_rows", "null_foreign_keys", "orphan_records"
     )
 
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
+from starledger.sources.tables import swap_folder
+
 
 def write_bronze(
     df: DataFrame, path: str, source: str, ingested_at: str, location_id: str | None = None
@@ -38,8 +42,10 @@ def read_bronze(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 
 
 def write_fixed(df: DataFrame, path: str) -> None:
-    """Replace the one snapshot kept in a folder."""
-    df.write.mode("overwrite").json(path)
+    """Replace the one snapshot kept in a folder. The old one stays whole until the new one is complete."""
+    beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}.new"
+    df.write.json(beside)
+    swap_folder(df.sparkSession, beside, path)
 
 
 def inventory_request_keys(catalog: DataFrame) -> DataFrame:

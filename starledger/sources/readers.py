@@ -1,8 +1,11 @@
-"""Readers. Each returns a lazy frame, and all but one read under a given schema."""
+"""Readers. Each returns a lazy frame under a given schema, or under one found in a pass over the files."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import re
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
 def _with_bad(schema: T.StructType | str, bad: str | None) -> tuple[T.StructType, dict]:
@@ -57,17 +60,12 @@ def scan_table(spark: SparkSession, name: str) -> DataFrame:
 def source_files(spark: SparkSession, path: str, df: DataFrame | None = None) -> DataFrame:
     """All files of a folder, also those without rows, from their metadata: file_path, length, modified.
 
-    The names are listed by the driver, as Spark does before any scan. Hidden files are left out. With ``df``,
-    the frame that reads the folder, ``row_count`` holds the rows of each file.
+    Spark's index lists the folders, in tasks where there are many, and the rows are made in tasks from it; no file
+    is opened, and the driver's Python sees none. Hidden files and files of no bytes are left out. With ``df``, the frame that reads the
+    folder, ``row_count`` holds the rows of each file.
     """
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    listed, found = at.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(at, True), []
-    while listed.hasNext():
-        f = listed.next()
-        if f.getPath().getName()[0] not in "._":
-            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
-    files = spark.createDataFrame(found, "file_path string, length bigint, modified bigint")
-    files = files.withColumn("modified", F.timestamp_millis("modified"))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = listed.select(F.col("path").alias("file_path"), "length", F.col("modificationTime").alias("modified"))
     if df is None:
         return files
     rows = df.groupBy(F.col("_metadata.file_path").alias("__path")).agg(F.count("*").alias("row_count"))
@@ -75,9 +73,99 @@ def source_files(spark: SparkSession, path: str, df: DataFrame | None = None) ->
     return files.join(rows, same, "left").select("file_path", "length", "modified", F.coalesce("row_count", F.lit(0)).alias("row_count"))
 
 
-def typed_rows(df: DataFrame, column: str, schema: T.StructType | str) -> DataFrame:
-    """JSON text, one record per row, to columns of a given schema."""
-    return df.select(F.from_json(column, schema).alias("record")).select("record.*")
+def typed_rows(df: DataFrame, column: str, schema: T.StructType | str, bad: str | None = None) -> DataFrame:
+    """JSON text, one record per row, to columns of a given schema.
+
+    Text that cannot be read under it gives a row of NULLs; the column ``bad``, where one is named, then holds the text.
+    """
+    schema, options = _with_bad(schema, bad)
+    return df.select(F.from_json(column, schema, options).alias("record")).select("record.*")
+
+
+# -- schemas found in files ------------------------------------------------------------------------
+
+_TEXT, _FILE = "value", "__file"
+
+
+def _documents(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """The JSON texts of a folder, one row per line, or per file where a document has many lines."""
+    read = spark.read.option("wholetext", multi_line).option("recursiveFileLookup", True).text(path)
+    texts = read.select(F.col(_TEXT), F.col("_metadata.file_path").alias(_FILE)).filter(F.trim(_TEXT) != "")
+    return texts.withColumn("parsed", F.try_parse_json(_TEXT))
+
+
+def widened(found: str | None) -> T.StructType:
+    """The schema to read under, of one that ``schema_of_variant_agg`` found in all records together.
+
+    Rules: whole numbers are long; whole numbers and fractions together are double; a field that is always NULL, is an
+    object without fields, or has values of kinds that do not widen into each other (a number here, text or an object there)
+    is string, which keeps the text of each value. A field that some files lack is NULL there. Arrays widen their
+    elements, objects their fields, by the same rules.
+    """
+    if found is None:
+        return T.StructType()
+    ddl = re.sub(r"(?<=[:<] )(VARIANT|VOID|OBJECT<>)|(?<=<)(VARIANT|VOID|OBJECT<>)(?=>)", "STRING", found)
+    ddl = re.sub(r"(?<=[:<] )(DECIMAL\(\d+,\d+\)|FLOAT)|(?<=<)(DECIMAL\(\d+,\d+\)|FLOAT)(?=>)", "DOUBLE", ddl)
+    kind = T.DataType.fromDDL(re.sub(r"\bOBJECT<", "STRUCT<", ddl))
+    kind = kind.elementType if isinstance(kind, T.ArrayType) else kind
+    if not isinstance(kind, T.StructType):
+        raise ValueError(f"the files do not hold objects: {found}")
+    return kind
+
+
+def merged_schema(spark: SparkSession, path: str, multi_line: bool = False) -> T.StructType:
+    """One schema for all JSON files of a folder, whatever fields and kinds each of them has.
+
+    One aggregation over the parsed records: every task merges the kinds it sees, and only the merged type
+    reaches the driver. See :func:`widened` for the rules. Text that is not JSON does not count.
+    """
+    found = _documents(spark, path, multi_line).agg(F.schema_of_variant_agg("parsed").alias("s")).first()["s"]
+    return widened(None if found == "VOID" else found)
+
+
+def file_schemas(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """What each file holds by itself: file_path, found (its merged type), records and bad_records."""
+    return _documents(spark, path, multi_line).groupBy(F.col(_FILE).alias("file_path")).agg(
+        F.schema_of_variant_agg("parsed").alias("found"), F.count("*").alias("records"), F.count_if(F.col("parsed").isNull()).alias("bad_records")
+    )
+
+
+def scan_json_merged(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """A folder of JSON under the schema merged over its files; the frame keeps that schema whatever is added later."""
+    scan = scan_json if multi_line else scan_json_lines
+    return scan(spark, path, merged_schema(spark, path, multi_line))
+
+
+# -- answers from file footers ----------------------------------------------------------------------
+
+_READERS, _PUSHED = "spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown"
+
+
+def scan_footers(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet folder through the reader that answers counts, minima and maxima from file footers.
+
+    ``count``, and ``min`` and ``max`` of whole columns of numbers, booleans and dates, without filters on other than folder
+    columns, then read no row groups. Anything else works as in :func:`scan_table`, but plans no dynamic
+    pruning. The setting that lets aggregates reach this reader stays on in the session; other readers ignore it.
+    """
+    before = spark.conf.get(_READERS)
+    spark.conf.set(_PUSHED, "true")
+    spark.conf.set(_READERS, ",".join(f for f in before.split(",") if f.strip() != "parquet"))
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(_READERS, before)
+
+
+def stored_bounds(spark: SparkSession, path: str, columns: Sequence[str] = (), where: Column | None = None) -> DataFrame:
+    """One row from the footers of a stored table: row_count, and min and max of each of ``columns`` (NULLs do not count).
+
+    ``where`` is a condition on folder columns alone. A row group in which a column is always NULL has no bounds in its
+    footer, and the reader refuses it: leave folders without values out by ``where``.
+    """
+    stored = scan_footers(spark, path)
+    bounds = [f(c).alias(f"{kind}_{c}") for c in columns for kind, f in (("min", F.min), ("max", F.max))]
+    return (stored if where is None else stored.filter(where)).agg(F.count("*").alias("row_count"), *bounds)
 
 
 def empty_rows(spark: SparkSession, schema: T.StructType | str) -> DataFrame:

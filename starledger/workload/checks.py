@@ -11,7 +11,7 @@ from starledger.operators.reshape import explode_records
 from starledger.plans import gold, report
 from starledger.workload.oracle import AMOUNT, LAYERS, padded
 from starledger.workload.registry import Context, query
-from starledger.workload.roles import cents, customer_id
+from starledger.workload.roles import cents, customer_id, spread
 
 # -- filters ---------------------------------------------------------------------------------------
 
@@ -531,7 +531,22 @@ def hierarchy_rollup(c: Context) -> DataFrame:
 )
 def surrogate_key(c: Context) -> DataFrame:
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    return keys.surrogate_key(c.table("lineitem").select(*order), order, "line_key")
+    return keys.surrogate_key(spread(c.table("lineitem").select(*order)), order, "line_key")
+
+
+@query(
+    "surrogate_key_wide",
+    """SELECT row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS line_key,
+    l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, n AS copies
+    FROM (SELECT l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+    count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM lineitem)""",
+)
+def surrogate_key_wide(c: Context) -> DataFrame:
+    """The same with a payload, which is not sorted."""
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    line = c.table("lineitem").select(*order)
+    copies = line.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("copies"))
+    return keys.surrogate_key(spread(line.join(copies, ["l_orderkey", "l_linenumber"])), order, "line_key")
 
 
 @query(

@@ -40,9 +40,17 @@ def explode_inner_children(c: Context) -> DataFrame:
     return _line_ids(c, outer=False)
 
 
+_ITEM = [f"item_data.{f}" for f in ("name", "description", "product_type", "is_taxable", "categories", "variations")]
+
+
+def _nested_items(c: Context) -> DataFrame:
+    """Items with their nested variations, under a schema of only what is read of them."""
+    return c.narrow("nested_items", "objects", ["type", "id", *_ITEM])
+
+
 @query("item_variation_outer", "SELECT * FROM o_nested")
 def item_variation_outer(c: Context) -> DataFrame:
-    return silver.flatten_item_variations(c.raw("nested_items"))
+    return silver.flatten_item_variations(_nested_items(c))
 
 
 @query(
@@ -51,7 +59,7 @@ def item_variation_outer(c: Context) -> DataFrame:
     AS is_taxable) FROM o_nested WHERE variation_id IS NOT NULL""",
 )
 def item_variation_inner(c: Context) -> DataFrame:
-    return silver.flatten_item_variations(c.raw("nested_items"), outer=False)
+    return silver.flatten_item_variations(_nested_items(c), outer=False)
 
 
 for _name, _layer in {
@@ -152,7 +160,7 @@ def first_element(c: Context) -> DataFrame:
 
 @query("first_or_default", "SELECT DISTINCT item_id, category_id FROM o_nested")
 def first_or_default(c: Context) -> DataFrame:
-    items = reshape.explode_records(c.raw("nested_items"), "objects")
+    items = reshape.explode_records(c.narrow("nested_items", "objects", ["id", "item_data.categories"]), "objects")
     category = scalars.first_or_default(F.col("record.item_data.categories"), "id")
     return items.select(F.col("record.id").alias("item_id"), category.alias("category_id"))
 
@@ -329,7 +337,7 @@ _JOINED = f"""{_MAPPING}, joined AS (SELECT * FROM o_nested n LEFT JOIN mapping
 
 
 def _joined_menu(c: Context) -> DataFrame:
-    variations = silver.flatten_item_variations(c.raw("nested_items"))
+    variations = silver.flatten_item_variations(_nested_items(c))
     return menu.join_menu_mapping(variations, menu.trim_mapping(mapping_file(c)))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from starledger.operators.reshape import explode_records, project
@@ -258,11 +260,14 @@ def bronze_fixed_write(c: Context) -> DataFrame:
     return read.select(F.col("record.id").alias("customer_id"), F.col("record.email_address").alias("email_address"))
 
 
+_REQUEST = ["type", "id", "item_variation_data.item_id", "item_variation_data.sku"]
+
+
 @query(
     "inventory_request_keys", "SELECT variation_id AS catalog_object_id, item_id, sku FROM o_variation"
 )
 def inventory_request_keys(c: Context) -> DataFrame:
-    return bronze.inventory_request_keys(explode_records(c.raw("catalog"), "objects"))
+    return bronze.inventory_request_keys(explode_records(c.narrow("catalog", "objects", _REQUEST), "objects"))
 
 
 @query(
@@ -270,7 +275,7 @@ def inventory_request_keys(c: Context) -> DataFrame:
     """SELECT count(*) AS total_variations, count(DISTINCT variation_id) AS unique_variations FROM o_variation""",
 )
 def inventory_request_key_counts(c: Context) -> DataFrame:
-    return bronze.request_key_counts(bronze.inventory_request_keys(explode_records(c.raw("catalog"), "objects")))
+    return bronze.request_key_counts(bronze.inventory_request_keys(explode_records(c.narrow("catalog", "objects", _REQUEST), "objects")))
 
 
 @query("table_overwrite", "SELECT s_suppkey, s_name FROM supplier")
@@ -305,6 +310,92 @@ def skip_write_if_empty(c: Context) -> DataFrame:
     return readers.scan_table(c.spark, path)
 
 
+@query(
+    "rows_to_df_bad",
+    """SELECT count(*) AS records, CAST(count(*) FILTER (o_orderkey % 40 = 0) AS BIGINT) AS bad_records,
+    CAST(sum(o_orderkey) FILTER (o_orderkey % 40 <> 0) AS BIGINT) AS id_sum FROM orders""",
+)
+def rows_to_df_bad(c: Context) -> DataFrame:
+    """Order records as text, some of them cut off, typed with the text that cannot be read kept beside."""
+    body = F.to_json(F.struct(F.col("o_orderkey").alias("id"), "o_orderstatus"))
+    text = c.table("orders").select(F.when(every("o_orderkey", 40), F.substring(body, 1, 9)).otherwise(body).alias("body"))
+    typed = readers.typed_rows(text, "body", "id bigint, o_orderstatus string", bad="unread")
+    return typed.agg(
+        F.count("*").alias("records"), F.count("unread").alias("bad_records"), F.sum(F.when(F.col("unread").isNull(), F.col("id"))).alias("id_sum")
+    )
+
+
+@query(
+    "scan_json_merged",
+    """SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 3 THEN NULL ELSE CAST(o_totalprice AS DOUBLE) END AS amount,
+    CASE o_orderkey % 4 WHEN 0 THEN CAST(o_custkey AS VARCHAR) WHEN 1 THEN o_orderstatus END AS code,
+    CASE WHEN o_orderkey % 4 = 2 THEN o_custkey > 50 END AS flag,
+    CASE o_orderkey % 4 WHEN 1 THEN o_custkey END AS customer_id, CASE o_orderkey % 4 WHEN 2 THEN o_orderpriority END AS customer_note,
+    CAST(CASE o_orderkey % 4 WHEN 0 THEN 1.0 WHEN 3 THEN 0.5 END AS DOUBLE) AS first_weight FROM
+    (SELECT * REPLACE (CASE WHEN o_orderkey % 4 = 0 THEN CAST(trunc(o_totalprice) AS BIGINT) ELSE trunc(o_totalprice) + 0.25 END AS o_totalprice) FROM orders)""",
+)
+def scan_json_merged(c: Context) -> DataFrame:
+    """Files whose fields and kinds drift, read under the one schema that holds all of them."""
+    path, orders, part = c.scratch("drift"), c.table("orders"), F.col("o_orderkey") % 4
+    whole = F.floor("o_totalprice")
+    exact = F.col("o_totalprice").cast("bigint") + F.lit(0.25).cast("decimal(3,2)")
+    versions = {
+        0: [whole.cast("bigint").alias("amount"), F.col("o_custkey").alias("code"), F.array(F.lit(1)).alias("weights")],
+        1: [exact.alias("amount"), F.col("o_orderstatus").alias("code"), F.struct(F.col("o_custkey").alias("id")).alias("customer")],
+        2: [exact.alias("amount"), (F.col("o_custkey") > 50).alias("flag"), F.struct(F.col("o_orderpriority").alias("note")).alias("customer")],
+        3: [F.lit(None).cast("string").alias("amount"), F.array(F.lit(0.5)).alias("weights")],
+    }
+    for n, columns in versions.items():
+        body = F.to_json(F.struct(F.col("o_orderkey").alias("id"), *columns), {"ignoreNullFields": "false"})
+        orders.filter(part == n).select(body.alias("value")).write.text(f"{path}/{n}")
+    read = readers.scan_json_merged(c.spark, path)
+    return read.select("id", "amount", "code", "flag", F.col("customer.id").alias("customer_id"), F.col("customer.note").alias("customer_note"), F.get("weights", F.lit(0)).alias("first_weight"))
+
+
+@query(
+    "file_schemas",
+    """SELECT o_orderkey % 3 AS version, count(*) AS records, CAST(count(*) FILTER (o_orderkey % 30 = 0) AS BIGINT) AS bad_records,
+    CASE o_orderkey % 3 WHEN 0 THEN 'OBJECT<id: BIGINT>' WHEN 1 THEN 'OBJECT<id: BIGINT, note: STRING>' ELSE 'OBJECT<id: STRING>' END AS found
+    FROM orders GROUP BY 1, 4""",
+)
+def file_schemas(c: Context) -> DataFrame:
+    """What each of several files holds by itself."""
+    path, orders = c.scratch("kinds"), c.table("orders")
+    versions = (F.struct(F.col("o_orderkey").alias("id")), F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("note")), F.struct(F.col("o_orderkey").cast("string").alias("id")))
+    for n, record in enumerate(versions):
+        body = F.to_json(record)
+        text = F.when(every("o_orderkey", 30), F.substring(body, 1, 4)).otherwise(body)
+        orders.filter(F.col("o_orderkey") % 3 == n).select(text.alias("value")).coalesce(1).write.text(f"{path}/version-{n}")
+    version = F.regexp_extract("file_path", "version-([0-9])", 1).cast("bigint").alias("version")
+    return readers.file_schemas(c.spark, path).select(version, "records", "bad_records", "found")
+
+
+@query(
+    "stored_bounds",
+    """SELECT count(*) AS row_count, min(date_key) AS min_date_key, max(date_key) AS max_date_key,
+    min(inventory_date) AS min_inventory_date, max(inventory_date) AS max_inventory_date FROM f_inventory WHERE date_month IS NOT NULL""",
+)
+def stored_bounds(c: Context) -> DataFrame:
+    """Dated rows and bounds of a stored fact, answered by the footers of its files."""
+    dated = F.col("date_month").isNotNull()
+    return readers.stored_bounds(c.spark, c.star.path("fact_inventory"), ["date_key", "inventory_date"], dated)
+
+
+@query("catalog_table_overwrite", "SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal > 0")
+def catalog_table_overwrite(c: Context) -> DataFrame:
+    """A table of the catalog replaced; a write that fails between leaves it as it is."""
+    name = f"supplier_{uuid.uuid4().hex}"
+    supplier = c.table("supplier")
+    tables.write_table(supplier, name)
+    tables.write_table(supplier.filter(F.col("s_acctbal") > 0).select("s_suppkey", "s_name"), name)
+    try:
+        tables.write_table(supplier.select(F.raise_error(F.lit("no")).cast("string").alias("s_name")), name)
+    except Exception as e:  # the error that the rows raise on purpose
+        if "USER_RAISED_EXCEPTION" not in str(e):
+            raise
+    return readers.scan_table(c.spark, name)
+
+
 @query("verify_write", "SELECT count(*) AS row_count FROM lineitem")
 def verify_write(c: Context) -> DataFrame:
     path = c.scratch("lineitem-table")

@@ -643,6 +643,11 @@ class Layers(Mapping):
         """A raw table, stored first where it is not, under a schema of the given record paths only."""
         return self._read(name, narrowed(entity, paths))
 
+    def path(self, name: str) -> str:
+        """Where a table is stored; it is stored first where it is not."""
+        self[name]
+        return f"{self._folder}/{name}"
+
     def _read(self, name: str, schema: T.StructType) -> DataFrame:
         self[name]
         return self._spark.read.schema(schema).parquet(f"{self._folder}/{name}")

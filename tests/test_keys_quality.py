@@ -92,3 +92,38 @@ def test_top_n_keeps_ties_and_nulls_last(spark):
     assert picked(2) == ["a", "b", "c"]
     assert picked(4) == ["a", "b", "c", "d"]
     assert picked(5) == ["a", "b", "c", "d", "e"]
+
+
+def test_keys_sort_no_payload_and_agree_with_numbering_in_order(spark):
+    rows = [(i % 7 or None, "same" if i % 3 else f"r{i}", f"payload {i % 11}") for i in range(400)]
+    df = spark.createDataFrame(rows, "a int, b string, payload string").repartition(5)
+    got = keys.surrogate_key(df, ["a"], "k")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and all("__range" in line for line in plan.splitlines() if "Sort [" in line)
+    out = got.collect()
+    assert [r.k for r in sorted(out, key=lambda r: r.k)] == list(range(1, 401)) and got.columns[0] == "k"
+    assert [r.a for r in sorted(out, key=lambda r: r.k)] == sorted((r[0] for r in rows), key=lambda a: (a is not None, a))
+    assert sorted(map(str, (tuple(r)[1:] for r in out))) == sorted(map(str, rows))
+
+
+@pytest.mark.parametrize("order", [["n"], ["n", "s"]])
+def test_latest_and_first_rows_agree_with_comparing_whole_rows(spark, order):
+    rows = [(i % 5 or None, i * 7 % 4 if i % 6 else None, f"s{i % 3}", i % 9) for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, n int, s string, x int").repartition(4)
+    low = lambda v: (v is not None, v if v is not None else 0)
+    at = {"n": 1, "s": 2}
+    rank = lambda r: ([low(r[at[c]]) if c == "n" else r[at[c]] for c in order], [low(r[0]), low(r[1]), r[2], r[3]])
+    for pick, best in ((keys.latest_per_key, max), (keys.first_per_key, min)):
+        want = {best((r for r in rows if r[0] == k), key=rank) for k in {r[0] for r in rows}}
+        assert {tuple(r) for r in pick(df, ["k"], order).collect()} == want
+
+
+def test_relationships_of_numbers_and_of_text_count_alike(spark):
+    tables = {
+        "f": spark.createDataFrame([(1, "a", 1), (2, "b", None), (None, None, 3), (9, "z", 3)], "n int, t string, m bigint"),
+        "d": spark.createDataFrame([(1, "a"), (2, "c")], "id bigint, t string"),
+        "e": spark.createDataFrame([("3",)], "id string"),
+    }
+    pairs = [("f", "d", "n", "id"), ("f", "d", "t", "t"), ("f", "e", "m", "id")]
+    got = {(r.fact_key, r.dim_name): (r.fact_rows, r.null_foreign_keys, r.orphan_records) for r in quality.validate_relationships(tables, pairs).collect()}
+    assert got == {("n", "d"): (4, 1, 2), ("t", "d"): (4, 1, 3), ("m", "e"): (4, 1, 2)}
