@@ -131,9 +131,12 @@ def file_schemas(spark: SparkSession, path: str, multi_line: bool = False) -> Da
 
 
 def scan_json_merged(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """A folder of JSON under the schema merged over its files; the frame keeps that schema whatever is added later."""
-    scan = scan_json if multi_line else scan_json_lines
-    return scan(spark, path, merged_schema(spark, path, multi_line))
+    """A folder of JSON, with the folders in it, under the schema merged over its files.
+
+    The frame keeps that schema whatever is added later.
+    """
+    schema = merged_schema(spark, path, multi_line)
+    return spark.read.schema(schema).options(multiLine=multi_line, recursiveFileLookup=True).json(path)
 
 
 # -- answers from file footers ----------------------------------------------------------------------
