@@ -64,23 +64,23 @@ def dim_product_join(c: Context) -> DataFrame:
     return gold.join_product(c.silver("catalog_variation"), c.silver("catalog_item"))
 
 
-@query("fact_order_joins", "SELECT * EXCLUDE (order_key) FROM f_order")
+@query("fact_order_joins", "SELECT * EXCLUDE (order_key, date_month) FROM f_order")
 def fact_order_joins(c: Context) -> DataFrame:
     dims = [c.star[n] for n in ("order_date_mapping", "dim_customer", "dim_location", "dim_date")]
     return gold.join_order(c.star["order_header"], *dims)
 
 
-@query("fact_sales_joins", "SELECT * EXCLUDE (sales_key) FROM f_sales")
+@query("fact_sales_joins", "SELECT * EXCLUDE (sales_key, date_month) FROM f_sales")
 def fact_sales_joins(c: Context) -> DataFrame:
     return gold.join_sales(c.star["order_line"], c.star["fact_order"], c.star["dim_product"])
 
 
-@query("fact_payment_join", "SELECT * EXCLUDE (payment_key) FROM f_payment")
+@query("fact_payment_join", "SELECT * EXCLUDE (payment_key, date_month) FROM f_payment")
 def fact_payment_join(c: Context) -> DataFrame:
     return gold.join_payment(c.star["payment"], c.star["fact_order"])
 
 
-@query("fact_inventory_joins", "SELECT * EXCLUDE (inventory_key) FROM f_inventory")
+@query("fact_inventory_joins", "SELECT * EXCLUDE (inventory_key, date_month) FROM f_inventory")
 def fact_inventory_joins(c: Context) -> DataFrame:
     dims = [c.star[n] for n in ("dim_product", "dim_location", "dim_date")]
     return gold.join_inventory(c.star["inventory"], *dims)

@@ -111,8 +111,10 @@ def flatten_category(c: Context) -> DataFrame:
 
 @query(
     "flatten_customer_detail",
-    """SELECT *, CAST(NULL AS VARCHAR) AS company_name, CAST(NULL AS VARCHAR) AS note,
-    CAST(NULL AS VARCHAR) AS address_line_1, CAST(NULL AS VARCHAR) AS address_line_2 FROM o_customer""",
+    f"""SELECT o.*, CASE WHEN c_custkey % 4 = 0 THEN {padded('Company ', '(c_custkey % 50)', 2)} END AS company_name,
+    CASE WHEN c_custkey % 10 = 0 THEN 'calls from ' || c_mktsegment END AS note, {padded('Road ', 'c_custkey', 5)} AS address_line_1,
+    CASE WHEN c_custkey % 3 = 0 THEN {padded('Flat ', '(c_custkey % 9)', 1)} END AS address_line_2
+    FROM o_customer o JOIN customer ON customer_id = {padded('C', 'c_custkey')}""",
 )
 def flatten_customer_detail(c: Context) -> DataFrame:
     return silver.flatten_customer(c.raw("customers"), detail=True)

@@ -71,11 +71,11 @@ LAYERS = {
   {AMOUNT} AS total_amount, 'USD' AS currency,
   {AMOUNT} * 8 // 100 AS total_tax_amount, {AMOUNT} * 5 // 100 AS total_discount_amount,
   CASE WHEN o_orderpriority = '1-URGENT' THEN {AMOUNT} * 10 // 100 END AS total_tip_amount,
-  CAST(0 AS BIGINT) AS total_service_charge_amount, CAST(NULL AS BIGINT) AS total_card_surcharge_amount,
+  CAST(0 AS BIGINT) AS total_service_charge_amount, CASE WHEN o_orderkey % 5 = 0 THEN {AMOUNT} * 2 // 100 END AS total_card_surcharge_amount,
   {AMOUNT} - {AMOUNT} * 5 // 100 AS net_total_amount,
   {AMOUNT} * 8 // 100 AS net_tax_amount, {AMOUNT} * 5 // 100 AS net_discount_amount,
   CASE WHEN o_orderpriority = '1-URGENT' THEN {AMOUNT} * 10 // 100 END AS net_tip_amount,
-  CAST(0 AS BIGINT) AS net_service_charge_amount, CAST(NULL AS BIGINT) AS net_card_surcharge_amount,
+  CAST(0 AS BIGINT) AS net_service_charge_amount, CASE WHEN o_orderkey % 10 = 0 THEN {AMOUNT} * 2 // 100 END AS net_card_surcharge_amount,
   CASE WHEN o_orderstatus = 'O' THEN {AMOUNT} ELSE CAST(0 AS BIGINT) END AS net_amount_due,
   o_orderpriority AS source_name
   FROM orders""",
@@ -84,7 +84,7 @@ LAYERS = {
   'ITEM' AS item_type, CAST(CAST(l_quantity AS INTEGER) + 0.25 AS DECIMAL(18,3)) AS quantity,
   CAST(floor({GROSS} / l_quantity) AS BIGINT) AS unit_price, 'USD' AS currency,
   {GROSS} AS gross_sales_amount, {DISCOUNT} AS discount_amount, {TAX} AS tax_amount,
-  CAST(0 AS BIGINT) AS service_charge_amount, CAST(NULL AS BIGINT) AS card_surcharge_amount,
+  CAST(0 AS BIGINT) AS service_charge_amount, CASE WHEN l_partkey % 4 = 0 THEN {GROSS} // 100 END AS card_surcharge_amount,
   {GROSS} - {DISCOUNT} + {TAX} AS total_amount, {GROSS} AS variation_total_price_amount
   FROM lineitem
   UNION ALL
@@ -145,7 +145,7 @@ LAYERS = {
   CASE WHEN o_orderstatus = 'O' THEN CAST(500 AS BIGINT) END AS cash_change_back_amount,
   CASE WHEN o_totalprice > 300000 THEN 'MODERATE' ELSE 'NORMAL' END AS risk_level,
   'app-1' AS application_id, 'REGISTER' AS application_product, {padded('tok', 'o_custkey', 6)} AS version_token,
-  CAST(NULL AS VARCHAR) AS receipt_url, 'CANCEL' AS delay_action, 'PT168H' AS delay_duration,
+  CASE WHEN o_orderkey % 3 = 0 THEN {padded('https://receipts.example/', 'o_orderkey')} END AS receipt_url, 'CANCEL' AS delay_action, 'PT168H' AS delay_duration,
   o_orderdate + INTERVAL 7 DAY AS delayed_until,
   CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN {AMOUNT} END AS approved_amount,
   CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN 'USD' END AS approved_currency,
@@ -176,7 +176,7 @@ LAYERS = {
   CASE WHEN c_custkey % 9 <> 0 THEN c_mktsegment END AS segment_id, c_custkey % 4 AS version
   FROM customer""",
     "o_item": """SELECT DISTINCT 'I-' || p_brand AS item_id, 'Item ' || right(p_brand, 1) AS item_name,
-  CAST(NULL AS VARCHAR) AS description, 'REGULAR' AS product_type, FALSE AS is_archived,
+  CASE WHEN p_brand <> 'Brand#4' THEN 'About ' || p_brand END AS description, 'REGULAR' AS product_type, FALSE AS is_archived,
   p_brand <> 'Brand#5' AS is_taxable, p_brand = 'Brand#3' AS is_deleted,
   TIMESTAMP '2022-01-01' AS created_at, TIMESTAMP '2022-06-01' AS updated_at,
   CAST(length(p_brand) AS BIGINT) AS version
@@ -217,7 +217,7 @@ LAYERS = {
   FROM lineitem""",
     "o_employee": f"""SELECT {padded('E', 's_suppkey')} AS employee_id, s_name AS first_name,
   CASE WHEN s_suppkey % 4 <> 0 THEN 'Last' || (s_suppkey % 9) END AS last_name,
-  s_name || '@example.com' AS email, CAST(NULL AS VARCHAR) AS phone_number,
+  s_name || '@example.com' AS email, CASE WHEN s_suppkey % 2 = 0 THEN {padded('+2', 's_suppkey')} END AS phone_number,
   CASE WHEN s_acctbal > 0 THEN 'ACTIVE' ELSE 'INACTIVE' END AS employee_status,
   TIMESTAMP '2020-05-06 07:08:09' AS created_at, TIMESTAMP '2020-05-07 07:08:09' AS updated_at,
   CASE WHEN s_suppkey % 8 <> 0 THEN {padded('L', '(s_nationkey % 27)', 4)} END AS location_id
@@ -230,10 +230,12 @@ LAYERS = {
   'UTC' AS timezone, 'USD' AS currency, 'en-US' AS language_code, TIMESTAMP '2019-01-01' AS created_at,
   CAST(NULL AS TIMESTAMP) AS updated_at,
   CASE WHEN v = 1 THEN TIMESTAMP '2026-08-20' WHEN n_nationkey % 4 <> 0 THEN TIMESTAMP '2026-08-21' END AS ingested_at,
-  CAST(NULL AS VARCHAR) AS merchant_id, CAST(NULL AS VARCHAR) AS phone_number, CAST(NULL AS VARCHAR) AS website_url,
-  CAST(NULL AS VARCHAR) AS description, CAST(NULL AS VARCHAR) AS business_country,
+  {padded('M', 'n_regionkey', 3)} AS merchant_id, CASE WHEN n_nationkey % 2 = 0 THEN {padded('+3', 'n_nationkey')} END AS phone_number,
+  CASE WHEN n_nationkey % 3 = 0 THEN 'https://' || lower(n_name) || '.example' END AS website_url,
+  CASE WHEN n_nationkey % 4 = 0 THEN 'In ' || n_name END AS description,
+  CASE WHEN n_nationkey % 5 <> 0 THEN 'US' END AS business_country,
   CAST(n_nationkey + 0.5 AS DOUBLE) AS latitude, CAST(n_regionkey - 0.25 AS DOUBLE) AS longitude,
-  CAST(NULL AS VARCHAR) AS mcc,
+  {padded('58', 'n_regionkey', 2)} AS mcc,
   CASE WHEN n_nationkey % 2 = 0 THEN {padded('T', 'n_nationkey', 3)}
     WHEN n_nationkey % 3 = 0 THEN {padded('VAT', 'n_nationkey', 3)} END AS tax_id
   FROM nation, (VALUES (1), (2)) AS versions(v)""",

@@ -244,12 +244,14 @@ def order_struct() -> dict:
         total_discount_money=money(discount),
         total_tip_money=when((urgent, money(F.col("tenth")))),
         total_service_charge_money=money(F.lit(0)),
+        total_card_surcharge_money=when((every("o_orderkey", 5), money(F.col("fee")))),
         net_amounts=dict(
             total_money=money(amount - discount),
             tax_money=money(tax),
             discount_money=money(discount),
             tip_money=when((urgent, money(F.col("tenth")))),
             service_charge_money=money(F.lit(0)),
+            card_surcharge_money=when((every("o_orderkey", 10), money(F.col("fee")))),
         ),
         net_amount_due_money=money(F.when(is_open, amount).otherwise(F.lit(0))),
         source=dict(name=F.col("o_orderpriority")),
@@ -290,6 +292,7 @@ def line_struct() -> dict:
         total_discount_money=money(discount),
         total_tax_money=money(tax),
         total_service_charge_money=money(F.lit(0)),
+        total_card_surcharge_money=when((every("l_partkey", 4), money(share(gross, 1)))),
         total_money=money(gross - discount + tax),
         variation_total_price_money=money(gross),
     )
@@ -348,6 +351,7 @@ def payment_struct() -> dict:
         created_at=F.col("day_0"),
         updated_at=F.col("day_1"),
         receipt_number=F.substring("padded_key", 7, 4),
+        receipt_url=F.when(every("o_orderkey", 3), keyed("https://receipts.example/")),
         version_token=padded("tok", "o_custkey", 6),
         delay_action=F.lit("CANCEL"),
         delay_duration=F.lit("PT168H"),
@@ -401,10 +405,14 @@ def customer_struct() -> dict:
         family_name=F.when(~(nameless | every("c_custkey", 15)), padded("Family", F.col("c_custkey") % 17, 2)),
         email_address=F.concat(F.col("c_mktsegment"), F.lit("@example.com")),
         phone_number=padded("+1", "c_custkey"),
+        company_name=F.when(every("c_custkey", 4), padded("Company ", F.col("c_custkey") % 50, 2)),
+        note=F.when(every("c_custkey", 10), F.concat(F.lit("calls from "), F.col("c_mktsegment"))),
         created_at=F.lit("2020-01-02T03:04:05Z"),
         updated_at=F.when(every("c_custkey", 6), "soon").otherwise("2021-02-03T04:05:06.789Z"),
         creation_source=F.lit("DIRECTORY"),
         address=dict(
+            address_line_1=padded("Road ", "c_custkey", 5),
+            address_line_2=F.when(every("c_custkey", 3), padded("Flat ", F.col("c_custkey") % 9, 1)),
             administrative_district_level_1=padded("D", F.col("c_nationkey") % 5, 1),
             locality=F.when(F.col("c_nationkey") < 24, padded("City ", "c_nationkey", 2)),
             postal_code=padded("", "c_nationkey", 5),
@@ -459,6 +467,7 @@ def raw_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         is_deleted=F.col("p_brand") == "Brand#3",
         item_data=dict(
             name=F.concat(F.lit("Item "), F.regexp_replace("p_brand", "Brand#[0-9]*([0-9])$", "$1")),
+            description=F.when(F.col("p_brand") != "Brand#4", F.concat(F.lit("About "), "p_brand")),
             product_type=F.lit("REGULAR"),
             is_archived=F.lit(False),
             is_taxable=F.col("p_brand") != "Brand#5",
@@ -535,6 +544,7 @@ def raw_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
         first_name=F.col("s_name"),
         last_name=F.when(~every("s_suppkey", 4), padded("Last", F.col("s_suppkey") % 9, 1)),
         email=F.concat(F.col("s_name"), F.lit("@example.com")),
+        phone_number=F.when(every("s_suppkey", 2), padded("+2", "s_suppkey")),
         status=F.when(F.col("s_acctbal") > 0, "ACTIVE").otherwise("INACTIVE"),
         created_at=F.lit("2020-05-06T07:08:09Z"),
         updated_at=F.lit("2020-05-07T07:08:09Z"),
@@ -553,6 +563,12 @@ def location_struct(version: int) -> dict:
         timezone=F.lit("UTC"),
         currency=F.lit(CURRENCY),
         language_code=F.lit("en-US"),
+        country=F.when(~every("n_nationkey", 5), F.lit("US")),
+        merchant_id=padded("M", "n_regionkey", 3),
+        phone_number=F.when(every("n_nationkey", 2), padded("+3", "n_nationkey")),
+        website_url=F.when(every("n_nationkey", 3), F.concat(F.lit("https://"), F.lower("n_name"), F.lit(".example"))),
+        description=F.when(every("n_nationkey", 4), F.concat(F.lit("In "), "n_name")),
+        mcc=padded("58", "n_regionkey", 2),
         created_at=F.lit("2019-01-01T00:00:00Z"),
         address=dict(
             address_line_1=padded("Street ", "n_nationkey", 2),
