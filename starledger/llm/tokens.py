@@ -34,36 +34,31 @@ def _load(path: str):
     return t
 
 
-class _Memo(dict):
+class _Memo:
     """What the tokenizer gives for a piece of text, asked once per piece.
 
     When it is full, it becomes the old half, of which only what is still asked for is taken over.
     """
 
     def __init__(self, encode: Callable[[list], list]):
-        super().__init__()
-        self.encode, self.old = encode, {}
-
-    def missing(self, pieces: set) -> list:
-        """What of ``pieces`` is not known; all that is known stays so until the next call."""
-        if len(self) > MEMO_PIECES // 2:
-            self.old = dict(self)
-            self.clear()
-        new = []
-        for p in [p for p in pieces if p not in self]:
-            if p in self.old:
-                self[p] = self.old[p]
-            else:
-                new.append(p)
-        return new
+        self.encode, self.now, self.old = encode, {}, {}
+
+    def missing(self, pieces: set) -> set:
+        """What of ``pieces`` is not known; all that is known is in ``now`` until the next call."""
+        if len(self.now) > MEMO_PIECES // 2:
+            self.old, self.now = self.now, {}
+        new = pieces.difference(self.now)
+        kept = new.intersection(self.old)
+        self.now.update((p, self.old[p]) for p in kept)
+        return new - kept
 
     def ask(self, new: list) -> None:
         for i in range(0, len(new), 20_000):
             part = new[i : i + 20_000]
-            self.update(zip(part, self.encode(part), strict=True))
+            self.now.update(zip(part, self.encode(part), strict=True))
 
     def learn(self, pieces: set) -> None:
-        self.ask(self.missing(pieces))
+        self.ask(list(self.missing(pieces)))
 
 
 class _Words(_Memo):
@@ -107,6 +102,8 @@ class _Ids:
             return out
 
         self.plain, self.spaced = _Memo(lambda ps: each(ps, "")), _Memo(lambda ps: each(ps, " "))
+        # Pieces with irregular white space are kept apart: the memos above must not know any.
+        self.odd = _Memo(lambda ps: [ids(p).tobytes() for p in ps])
         self.newline, self.comma, self.stop = newline.tobytes(), ids(",").tobytes(), ids(".").tobytes()
 
     @staticmethod
@@ -117,23 +114,25 @@ class _Ids:
         new = self._regular(memo.missing(pieces))
         # A stop or comma after a letter or digit is a unit of its own.
         ended = {p for p in new if len(p) > 1 and p[-1] in ".," and p[-2].isalnum()}
-        memo.ask(list((new - ended).union(p[:-1] for p in ended if p[:-1] not in memo)))
+        memo.ask(list((new - ended).union(p[:-1] for p in ended if p[:-1] not in memo.now)))
         for p in ended:
-            memo[p] = memo[p[:-1]] + (self.comma if p[-1] == "," else self.stop)
+            memo.now[p] = memo.now[p[:-1]] + (self.comma if p[-1] == "," else self.stop)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [[line.split(" ") for line in x.split("\n")] for x in texts]
+        """Ids of each text; they depend on the text alone, not on what was encoded before."""
+        distinct = list(dict.fromkeys(texts))
+        cut = [[line.split(" ") for line in x.split("\n")] for x in distinct]
         self._learn(self.plain, {line[0] for x in cut for line in x})
         self._learn(self.spaced, set().union(*[line[1:] for x in cut for line in x]))
-        plain, spaced, out = self.plain.__getitem__, self.spaced.__getitem__, []
-        for text, lines in zip(texts, cut, strict=True):
+        plain, spaced, out = self.plain.now.__getitem__, self.spaced.now.__getitem__, {}
+        for text, lines in zip(distinct, cut, strict=True):
             try:
-                out.append(self.newline.join([plain(line[0]) + b"".join(map(spaced, line[1:])) for line in lines]))
+                out[text] = self.newline.join([plain(line[0]) + b"".join(map(spaced, line[1:])) for line in lines])
             except KeyError:  # empty, or with irregular white space
                 parts = pieces(text)
-                self.plain.learn(set(parts))
-                out.append(b"".join(map(plain, parts)))
-        return out
+                self.odd.learn(set(parts))
+                out[text] = b"".join(map(self.odd.now.__getitem__, parts))
+        return [out[t] for t in texts]
 
 
 #: A Python worker runs many tasks; what it has learned stays.
@@ -171,7 +170,7 @@ def _count_misses(path: str):
                 # The tokenizer drops white space and never joins over it, so counts add up over words.
                 words = [x.split() for x in texts]
                 memo.learn(set().union(*words))
-                counts += [sum(map(memo.__getitem__, w)) for w in words]
+                counts += [sum(map(memo.now.__getitem__, w)) for w in words]
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(counts, pa.int64())], ["digest", "n_tokens"])
 
     return run

@@ -47,6 +47,19 @@ def test_counts_come_from_the_tokenizer_and_the_cache_grows_by_misses_only(spark
     assert tokens.count_tokens(docs.limit(0), path).count() == 0
 
 
+def test_ids_do_not_depend_on_what_was_encoded_before():
+    """One encoder for all texts, odd white space of all kinds first: 20,000 random texts, then the odd ones again."""
+    encoder, t = tokens._Ids(public_tokenizers.path("byte_bpe_50k.json")), tokenizer("byte_bpe_50k.json")
+    rng = np.random.default_rng(7)
+    parts = ["word", "a", "1", ".", ",", "\n", " ", "  ", "\t", "\u00a0", "\u2028", "\x1c", "\r\n", "é", "<|endoftext|>", "<|", "字", "'s", "\u00ad", "\u3000"]
+    texts = [x for x in ODD if x] + parts + ["word\n\u00a0", "\u00a0", "x \u00a0", "\u00a0\n", ".\n,"]
+    texts += ["".join(rng.choice(parts, int(n))) for n in rng.integers(1, 9, 20_000)]
+    for at in range(0, len(texts), 500):
+        some = texts[at : at + 500] + texts[:40]
+        want = [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch(some, add_special_tokens=False)]
+        assert encoder.encode(some) == want
+
+
 @pytest.mark.parametrize("plane", ["byte", "bit"])
 def test_planes_round_trip(plane):
     rng = np.random.default_rng(2)
