@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import zlib
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starledger.llm.common import Scratch, row_hash
 
 #: Pieces remembered per worker; the memo starts anew beyond it, so memory is bounded.
-MEMO_PIECES = 600_000
+MEMO_PIECES, MEMO_ID_PIECES = 600_000, 1_000_000
 
 
 def tokenizer_digest(path: str) -> str:
@@ -40,12 +41,12 @@ class _Memo:
     When it is full, it becomes the old half, of which only what is still asked for is taken over.
     """
 
-    def __init__(self, encode: Callable[[list], list]):
-        self.encode, self.now, self.old = encode, {}, {}
+    def __init__(self, encode: Callable[[list], list], size: int = MEMO_PIECES):
+        self.encode, self.half, self.now, self.old = encode, size // 2, {}, {}
 
     def missing(self, pieces: set) -> set:
         """What of ``pieces`` is not known; all that is known is in ``now`` until the next call."""
-        if len(self.now) > MEMO_PIECES // 2:
+        if len(self.now) > self.half:
             self.old, self.now = self.now, {}
         new = pieces.difference(self.now)
         kept = new.intersection(self.old)
@@ -101,7 +102,7 @@ class _Ids:
                     out[i] = ids(lead + ps[i]).tobytes()
             return out
 
-        self.plain, self.spaced = _Memo(lambda ps: each(ps, "")), _Memo(lambda ps: each(ps, " "))
+        self.plain, self.spaced = (_Memo(lambda ps, lead=lead: each(ps, lead), MEMO_ID_PIECES) for lead in ("", " "))
         # Pieces with irregular white space are kept apart: the memos above must not know any.
         self.odd = _Memo(lambda ps: [ids(p).tobytes() for p in ps])
         self.newline, self.comma, self.stop = newline.tobytes(), ids(",").tobytes(), ids(".").tobytes()
@@ -120,6 +121,14 @@ class _Ids:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; they depend on the text alone, not on what was encoded before."""
+        # Millions of short-lived lists without cycles: the collector would only walk them again and again.
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         distinct = list(dict.fromkeys(texts))
         cut = [[line.split(" ") for line in x.split("\n")] for x in distinct]
         self._learn(self.plain, {line[0] for x in cut for line in x})
