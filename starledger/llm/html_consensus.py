@@ -12,14 +12,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from starledger.llm.common import Scratch
 
-# A quoted value may hold "<" within 2,000 characters only, so that unclosed quotes cost no more than that.
-_QUOTED = r"""(?:"(?:[^"<]*+|[^"]{0,2000})"|'(?:[^'<]*+|[^']{0,2000})')"""
+# A quoted value ends at the next quote of its kind, whatever it holds. A scan for it stops at that quote, so no part of a
+# page is scanned for more than a few tags.
+_QUOTED = r"""(?:"[^"]*+"|'[^']*+')"""
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^<>]*>"
     rf"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>[^<>\"']*+(?:{_QUOTED}[^<>\"']*+)*+)>"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs2>[^<>]*)>",
     re.S,
 )
+_BODY = re.compile(r"<body[\s>]", re.I)
 _ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is text for programs, up to the end tag.
@@ -47,6 +49,8 @@ AROUND = frozenset(
 )
 _GOOD = frozenset("article content post entry story main body text page".split())
 _KEEP = frozenset("html body main article".split())
+_TEXTS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote figcaption".split())
+_CELLS = frozenset("td tr tbody".split())
 
 
 @dataclass
@@ -60,16 +64,29 @@ class Page:
     blocks: list[tuple[str, int, int]] = field(default_factory=list)  # text, container, characters in links
 
 
-def _around(attrs: dict[str, str]) -> bool:
+def _around(tag: str, attrs: dict[str, str]) -> bool:
     for value in (attrs.get("class", ""), attrs.get("id", ""), attrs.get("role", "")):
         for token in value.lower().split():
             parts = re.split(r"[-_:]+", token)
+            # The first word of a longer name speaks for boxes only: a paragraph of class header-text is a text.
+            if len(parts) > 1 and parts[0] in AROUND and tag in _TEXTS:
+                continue
             if parts[0] in AROUND or parts[-1] in AROUND and parts[0] not in ("has", "no", "with", "without"):
                 return True
     return "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower()
 
 
 def parse(text: str) -> Page:
+    """A page; where forms hold three quarters of its text or more, with what is in them besides their controls."""
+    page = _parse(text, DROPPED)
+    if "<form" not in text.lower():
+        return page
+    with_forms = _parse(text, DROPPED - {"form"})
+    plain, all_plain = (sum(len(b) - links for b, _, links in p.blocks) for p in (page, with_forms))
+    return with_forms if 4 * plain < all_plain else page
+
+
+def _parse(text: str, never: frozenset[str]) -> Page:
     """Containers and text blocks of a page as browsers would nest them, as far as an article needs it."""
     page, stack, buffer, at, links = Page(), [], [], 0, 0
     # stack: (tag, container index, dropped, generalised path, in a link)
@@ -104,7 +121,7 @@ def parse(text: str) -> Page:
 
     def open_tag(tag: str, attrs: dict[str, str]) -> None:
         nonlocal top
-        dropped = top[2] or tag in DROPPED or tag not in _KEEP and _around(attrs)
+        dropped = top[2] or tag in never or tag not in _KEEP and _around(tag, attrs)
         if tag in BLOCK or dropped and not top[2]:
             flush()
         path, index = top[3], top[1]
@@ -120,6 +137,8 @@ def parse(text: str) -> Page:
         top = (tag, index, dropped, path, top[4] or tag == "a")
         stack.append(top)
 
+    if not _BODY.search(text):
+        open_tag("body", {})  # its tag can be left out
     for m in iter(lambda: _TAG.search(text, at), None):
         take(text[at : m.start()])
         at = m.end()
@@ -145,7 +164,7 @@ def parse(text: str) -> Page:
         if tag in ("td", "th"):
             take(" ")
         shut = CLOSES.get(tag, ()) + (("p",) if tag in BLOCK else ())
-        for i in range(len(stack) - 1, -1, -1):
+        for i in range(len(stack) - 1, -1, -1) if shut else ():
             if stack[i][0] in shut:
                 pop_to(i)
                 if tag not in CLOSES:
@@ -204,10 +223,58 @@ def main_text(page: Page, winners: list[str]) -> tuple[str, str]:
             break
     else:
         path = page.path[best]
+    roots, own = _whole_article(page, [i for i, p in enumerate(page.path) if p == path])
     inside = [False] * len(page.path)
-    for i, p in enumerate(page.path):  # a parent comes before its children
-        inside[i] = p == path or page.parent[i] >= 0 and inside[page.parent[i]]
-    return "\n\n".join(b for b, c, _ in page.blocks if inside[c]), path
+    for i in range(len(page.path)):  # a parent comes before its children
+        inside[i] = i in roots or page.parent[i] >= 0 and inside[page.parent[i]]
+    return "\n\n".join(b for b, c, _ in page.blocks if inside[c] or c in own), path
+
+
+def _whole_article(page: Page, places: list[int]) -> tuple[set[int], set[int]]:
+    """The containers that hold the whole article around ``places``, and those of which only their own blocks do.
+
+    A place grows to its parent while what the parent adds is text rather than links (at most half of its characters in
+    links) and belongs to the article: the parent is an article by element or class, or has text of its own beside
+    the place, or the place is a cell with less than half of its table. It ends at an ``article`` or ``main``. Of
+    ``body`` and ``html`` only text of their own is taken, for what else they hold are boxes around the article.
+    """
+    n = len(page.path)
+    held, links, own, own_links = [0] * n, [0] * n, [0] * n, [0] * n
+    for block, container, linked in page.blocks:
+        own[container] += len(block)
+        own_links[container] += linked
+    for i in range(n - 1, -1, -1):
+        held[i] += own[i]
+        links[i] += own_links[i]
+        if page.parent[i] >= 0:
+            held[page.parent[i]] += held[i]
+            links[page.parent[i]] += links[i]
+    tags = [tag for tag, _ in page.step]
+    roots, alone = set(), set()
+    for i in places:
+        while tags[i] not in ("article", "main") and (p := page.parent[i]) >= 0:
+            more, more_links = held[p] - held[i], links[p] - links[i]
+            beside = own[p] > 0 and 2 * own_links[p] <= own[p]
+            if tags[p] in ("body", "html"):
+                if beside:
+                    alone.add(p)
+            elif more and 2 * more_links <= more and (page.boost[p] > 1 or beside or tags[i] in _CELLS and _small_cell(page, tags, held, i)):
+                i = p
+                continue
+            elif not more:
+                i = p
+                continue
+            break
+        roots.add(i)
+    return roots, alone
+
+
+def _small_cell(page: Page, tags: list[str], held: list[int], i: int) -> bool:
+    """Whether a part of a table holds less than half of it: a cell of data, not a column of a layout."""
+    t = i
+    while t >= 0 and tags[t] != "table":
+        t = page.parent[t]
+    return t >= 0 and 2 * held[i] < held[t]
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,29 +324,31 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*columns, pa.array([len(f[0]) for f in found], pa.int64())], ["page_id", "url", "text", "path", "n_chars"])
 
 
-def main_texts(pages: DataFrame, places: int = 5) -> DataFrame:
+def main_texts(pages: DataFrame) -> DataFrame:
     """The article text of every page: rows (page_id, url, text, n_chars, path).
 
     Each page scores its containers and votes, with the share of its best score, for the generalised paths
-    (tags with classes, digits as ``#``) that reach half of it and do not just surround the best. Votes are summed per host and path. Pages are
-    then extracted anew from the host's best path that holds at least half of the page's own best, else from
-    its own best. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments
-    are left out by element and by words of class, id or role.
+    (tags with classes, digits as ``#``) that reach half of it and do not just surround the best. Votes are
+    summed per host and path. Pages are then extracted anew from the host's best path that holds at least half
+    of the page's own best, else from its own best. The place found grows over the text around it that belongs to
+    the same article (:func:`_whole_article`). Menus, headers, footers, sidebars, notices, adverts, forms, scripts,
+    styles and comments are left out by element and by words of class, id or role; of a page most
+    of whose text lies in a form only the controls are.
 
     Blocks keep page order, joined by two newlines; white space in a block is one space, and a line break
     element is white space. NULL or empty html gives an empty text; a NULL url is a host of its own; pages
-    without a container of text give all their text. Repeated rows are extracted alike. Votes are joined
-    back on host and path for every path a page can take, so a host may have any number of layouts. On hosts of
-    ten different pages or more, classes of one page only, or of fewer than one page in a hundred, are left out
-    of paths unless two paths of a page would become one. ``places`` is kept for callers and has no effect.
+    without a container of text give all their text. Repeated rows are extracted alike; paths with equal votes
+    are tried in descending order of the path. Very long pages are parsed whole. An empty table gives no rows, and columns of
+    other names are not read. Votes are joined back on host and path for every path a page can take, so a host
+    may have any number of layouts. Classes of one page of a host only, or of fewer than one page in a hundred,
+    are left out of paths unless two paths of a page would become one, on hosts of every size.
     """
-    del places
     scratch = Scratch(pages.sparkSession, "html")
     host = F.coalesce(F.lower(F.regexp_extract(F.col("url").cast("string"), r"^\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), host.alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     key = ["k1", "k2"]
     rows = rows.select("*", F.xxhash64("host", "html").alias("k1"), F.xxhash64(F.lit(1), "html", "host").alias("k2"))
-    sizes = rows.select(*key, "host").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where("pages >= 10")
+    sizes = rows.select(*key, "host").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     tokens = scratch.stage(rows.select(*key, "host", "html").mapInArrow(_classes, "k1 long, k2 long, host string, token string").distinct())
     seen = tokens.groupBy("host", "token").agg(F.count(F.lit(1)).alias("used")).join(sizes, "host")
     seen = scratch.stage(seen.where((F.col("used") == 1) | (100 * F.col("used") < F.col("pages"))).select("host", "token"))

@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -401,3 +402,38 @@ def test_indexed_templates_agree_with_comparing_all(alike):
 def test_drain_joins_by_equal_tokens():
     forms = ["open file a of user", "open file b of user", "open file <*> of user", "close door x in house", "open x y z user"]
     assert log_templates.drain(forms, 0.7) == [0, 0, 0, 1, 2]
+
+
+WORDY = " ".join(f"word{i} of the long text," for i in range(60))
+PARTS = {
+    "lead and rest": "<article><div class=lead>Short lead.</div><div class=rest>" + WORDY + "</div></article>",
+    "paragraph before a box": "<div class=wrap><p>Short lead.</p><div class=body>" + WORDY + "</div></div>",
+    "paragraph in body": "<p>Short lead.</p><div class=text>" + WORDY + "</div>",
+    "paragraph before a table": "<div class=x1><p>Short lead.</p><table>" + "".join(f"<tr><td>name {i}</td><td>" + WORDY[:300] + "</td></tr>" for i in range(5)) + "</table></div>",
+    "sections": "<main><section class=a><p>Short lead.</p></section><section class=b>" + WORDY + "</section><section class=c><p>The end.</p></section></main>",
+    "class of a paragraph": "<article><p class='header-text'>Short lead.</p><p>" + WORDY + "</p></article>",
+    "form around all": "<form action=x><input name=q><div class=story><p>Short lead.</p><p>" + WORDY + "</p></div><select><option>no</select></form>",
+    "long attribute": "<article><p data-x='" + "<b>junk</b> " * 900 + "'>Short lead.</p><p>" + WORDY + "</p></article>",
+}
+OUTSIDE = "<header>junk</header><nav><a href=x>junk</a></nav>{}<div class='sidebar-left'>junk words here</div><div class=links><a href=y>junk link</a></div><footer>junk</footer>"
+
+
+@pytest.mark.parametrize("pages", [1, 12])
+@pytest.mark.parametrize("name", PARTS)
+def test_articles_keep_all_their_parts_and_nothing_else(spark, name, pages):
+    rows = [(i, "http://h.example/a", OUTSIDE.format(PARTS[name])) for i in range(pages)]
+    for r in html_consensus.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        assert "Short lead." in r.text and "word59 of the long text" in r.text or name == "paragraph before a table", r.text
+        assert r.text.startswith("Short lead.") and "junk" not in r.text
+        assert name != "sections" or r.text.endswith("The end.")
+        assert name != "paragraph before a table" or r.text.count("name ") == 5
+
+
+def test_pages_full_of_open_quotes_are_read_in_linear_time():
+    for unit in ('<a title="', "<a title='x> ", '<a "<b \' ', "<p class='a\">", "<a b=\"<\" c='"):
+        times = []
+        for n in (3_000, 12_000):
+            start = time.process_time()
+            html_consensus.parse(unit * n)
+            times.append(time.process_time() - start)
+        assert times[1] < 12 * times[0] + 0.5
