@@ -22,7 +22,7 @@ _BUCKET: dict[bytes, int] = {}
 def word_vector(raw: bytes | None) -> tuple[int, np.ndarray]:
     """Number of words of a whole text, and its damped hashed word counts at length 1."""
     words = raw.lower().split() if raw else []
-    if len(_BUCKET) > 500_000:
+    if len(_BUCKET) > 300_000:
         _BUCKET.clear()
     for w in set(words).difference(_BUCKET):
         _BUCKET[w] = xxhash.xxh3_64_intdigest(w) % BUCKETS
@@ -38,14 +38,21 @@ _SLICE = 2000
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first in range(0, batch.num_rows, _SLICE):
-            hashes, found = [], []
+            hashes, sizes, found = [], [], []
             part = batch.slice(first, _SLICE)
             for h, x in zip(part.column("h").to_pylist(), part.column("text").cast(pa.binary()), strict=True):
                 n, v = word_vector(x.as_py())
                 if n:
                     hashes.append(h)
+                    sizes.append(n)
                     found.append(np.rint(v * _STEPS).astype("<i2").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(found, pa.binary())], ["h", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(found, pa.binary())], ["h", "n", "v"])
+
+
+def vectors(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """Each different text with words, once and staged: hash, number of words and vector in steps."""
+    texts = docs.select(F.col("text").cast("string").alias("text"), row_hash("text").alias("h")).where("text <> ''")
+    return scratch.stage(texts.mapInArrow(_vectors, "h long, n long, v binary").dropDuplicates(["h"]))
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -98,16 +105,15 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-9)
 
 
-def fit_topics(docs: DataFrame, topics: int = 8, rounds: int = 15, seed: int = 17) -> np.ndarray:
+def fit_topics(docs: DataFrame, topics: int = 8, rounds: int = 15, seed: int = 17, staged: DataFrame | None = None) -> np.ndarray:
     """Topic centres by spherical k-means over all documents, each different text once.
 
-    Vectors are staged once. Starts are drawn one after another by distance from those before, with hashes of
+    ``staged`` gives their :func:`vectors` where the caller has them. Starts are drawn one after another by distance from those before, with hashes of
     the texts as the dice. Each round is one aggregation: sums per centre in every task, then combined. Sums
     are exact, so the centres depend on the rows alone. Only ``topics`` vectors a round reach the driver.
     """
     scratch = Scratch(docs.sparkSession, "topics")
-    texts = docs.select(F.col("text").cast("string").alias("text"), row_hash("text").alias("h")).where("text <> ''")
-    rows = scratch.stage(texts.mapInArrow(_vectors, "h long, v binary").dropDuplicates(["h"]))
+    rows = vectors(docs, scratch) if staged is None else staged
     c = np.zeros((0, BUCKETS))
     for k in range(topics):
         found = rows.mapInArrow(_farthest(c, seed + k), "place double, h long, v binary").orderBy("place", "h").limit(1).collect()
@@ -121,20 +127,21 @@ def fit_topics(docs: DataFrame, topics: int = 8, rounds: int = 15, seed: int = 1
             c[r.k] = _unit(np.frombuffer(r.v, np.int64).astype(float))
         if np.array_equal(used, c):
             break
-    scratch.release(rows)
+    if staged is None:
+        scratch.release(rows)
     return c.astype(np.float32) if len(c) else np.zeros((1, BUCKETS), np.float32)
 
 
 def _topics(centres: np.ndarray):
+    """The nearest centre of each vector, as text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, topics = [], []
-            for x in batch.column("text").cast(pa.binary()):
-                n, v = word_vector(x.as_py())
-                words.append(n)
-                topics.append(str(int((centres @ v).argmax())) if n else _NONE)
-            columns = [batch.column(c) for c in ("doc_id", "row_hash", "source", "lang")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(topics), pa.array(words, pa.int64())], ["doc_id", "row_hash", "source", "lang", "topic", "n_tokens"])
+            for first in range(0, batch.num_rows, _SLICE):
+                part = batch.slice(first, _SLICE)
+                for hashes, x in _slices(iter([part])):
+                    nearest = (x @ centres.T).argmax(1)
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array([str(k) for k in nearest.tolist()], pa.string()), part.column("n")], ["h", "topic", "n_tokens"])
 
     return run
 
@@ -193,7 +200,7 @@ def _scale(raked: DataFrame, budget: float) -> float:
     return float(high)
 
 
-def calibrated(docs: DataFrame, targets: dict[str, DataFrame] | None = None, power: float = 0.7, topics: int = 8, budget: float = 0.5, seed: int = 17, sample: int = 2000) -> DataFrame:
+def calibrated(docs: DataFrame, targets: dict[str, DataFrame] | None = None, power: float = 0.7, topics: int = 8, budget: float = 0.5, seed: int = 17) -> DataFrame:
     """Every document with its raked weight, sampling probability and whether it is drawn.
 
     Token weights (words) are raked to the source, language and topic margins; without ``targets`` these are
@@ -201,29 +208,37 @@ def calibrated(docs: DataFrame, targets: dict[str, DataFrame] | None = None, pow
     present tokens times one factor, at most 1, with the factor chosen so that about ``budget`` of all tokens
     are expected: the sample holds the three margins but for cells that are taken whole. The draw is a
     seeded hash of the row against it. Rows: doc_id, source, lang,
-    topic, n_tokens, weight, probability, kept, row_hash.
+    topic, n_tokens, weight, probability, kept, row_hash, margin_error (the largest relative error of a raked
+    margin, over 0.01 where cells contradict their targets).
+
+    Each different text is made a vector once; its topic comes back to its copies by hash, in a join of narrow staged
+    rows, so a hot text's rows can be split.
 
     NULL sources and languages are values of their own. Empty and NULL texts have no topic and no tokens and
-    take their margins' ratio. Repeated rows are drawn alike. An empty table gives no rows. ``sample`` is kept for
-    callers and has no effect: topics are fitted on all documents.
+    take their margins' ratio. Repeated rows are drawn alike; a text as near to two centres has the first. Very long texts
+    are counted whole. Other columns, whatever their names, are not read. An empty table gives no rows.
     """
-    del sample
     scratch = Scratch(docs.sparkSession, "mixing")
-    text = F.col("text").cast("string").alias("text")
     marked = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(_NONE)).alias(c)
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash("doc_id", "text", "source", "lang").alias("row_hash"), marked("source"), marked("lang"), text)
-    rows = narrow.mapInArrow(_topics(fit_topics(docs, topics, seed=seed)), "doc_id long, row_hash long, source string, lang string, topic string, n_tokens long")
-    rows = scratch.stage(rows)
+    found = vectors(docs, scratch)
+    topic_of = scratch.stage(found.mapInArrow(_topics(fit_topics(docs, topics, seed=seed, staged=found)), "h long, topic string, n_tokens long"))
+    scratch.release(found)
+    # Hashes are of the columns as they are; NULL is marked only beside them.
+    hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash("doc_id", "text", "source", "lang").alias("row_hash"), row_hash("text").alias("h"), marked("source"), marked("lang"))
+    narrow = scratch.stage(hashed)
+    topic, n = F.coalesce("topic", F.lit(_NONE)).alias("topic"), F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens")
+    rows = scratch.stage(narrow.join(topic_of, "h", "left").select("doc_id", "row_hash", "source", "lang", topic, n))
+    scratch.release(narrow, topic_of)
     cells = scratch.stage(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("n_tokens")))
     targets = targets or {m: _damped(cells, m, power) for m in MARGINS}
-    raked, _ = rake(cells, targets, scratch)
+    raked, error = rake(cells, targets, scratch)
     raked = scratch.stage(raked)
     scale = _scale(raked, budget)
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "row_hash"), 11) / F.lit(2.0**53)
     probability = F.least(F.lit(1.0), F.col("ratio") * scale)
     plain = [F.when(F.col(m) != _NONE, F.col(m)).alias(m) for m in MARGINS]
     out = rows.join(raked.drop("n_tokens"), list(MARGINS))
-    return out.select("doc_id", *plain, "n_tokens", F.col("ratio").alias("weight"), probability.alias("probability"), (draw < probability).alias("kept"), "row_hash")
+    return out.select("doc_id", *plain, "n_tokens", F.col("ratio").alias("weight"), probability.alias("probability"), (draw < probability).alias("kept"), "row_hash", F.lit(error).alias("margin_error"))
 
 
 def sample_mixture(docs: DataFrame, **options) -> DataFrame:
