@@ -154,6 +154,19 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*columns, pa.array(lines, pa.int64()), pa.array(gone, pa.int64())], [*batch.schema.names[:-1], "n_lines", "n_dropped"])
 
 
+def _given(columns: list[str]) -> dict[str, str]:
+    """New names for columns whose names the operator uses itself."""
+    names, out = set(columns), {}
+    for c in columns:
+        if c in ("n_lines", "n_dropped", "__drop", "__id", "__hash"):
+            new = f"{c}_given"
+            while new in names:
+                new += "_given"
+            names.add(new)
+            out[c] = new
+    return out
+
+
 def drop_templates(docs: DataFrame, min_texts: int = 10, depth: int = 3, alike: float = 0.7, most_forms: int = 1000, long_tokens: int = 50, long_texts: int = 2) -> DataFrame:
     """``docs`` without the lines of templates that recur in at least ``min_texts`` different texts.
 
@@ -164,12 +177,11 @@ def drop_templates(docs: DataFrame, min_texts: int = 10, depth: int = 3, alike:
     leaf: its forms are streamed in slices of at most ``most_forms``, which never change the result. Exact
     copies of a text count once.
 
-    All columns stay; ``text`` is replaced and ``n_lines``, ``n_dropped`` are added (columns of these names
-    must not exist). NULL texts stay NULL with 0 lines; empty texts and lines without tokens stay. Documents
+    All columns stay; ``text`` is replaced and ``n_lines``, ``n_dropped`` are added. Columns that have these names
+    already, or one of the operator's own, keep their values under the name with ``_given`` after it. NULL texts stay NULL with 0 lines; empty texts and lines without tokens stay. Documents
     whose every line goes keep an empty text. Repeated rows are cut alike. An empty table gives no rows.
     """
-    if {"n_lines", "n_dropped", "__drop", "__id", "__hash"} & set(docs.columns):
-        raise ValueError("docs has a column n_lines or n_dropped already")
+    docs = docs.withColumnsRenamed(_given(docs.columns))
     scratch = Scratch(docs.sparkSession, "templates")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash("text").alias("text_hash"), F.col("text").cast("string").alias("text")).where("text <> ''")
     keys = scratch.stage(_lines(rows, depth, False).select("doc_id", "text_hash", "line_no", "h1", "h2", "n", "leaf"))
@@ -177,14 +189,18 @@ def drop_templates(docs: DataFrame, min_texts: int = 10, depth: int = 3, alike:
     frequent = keys.select("leaf", "n", "text_hash").distinct().groupBy("leaf", "n").agg(F.count(F.lit(1)).alias("texts")).where(enough)
     frequent = scratch.stage(frequent.select("leaf"))
     alive = scratch.stage(keys.join(frequent, "leaf", "left_semi"))
+    scratch.release(keys)
     texts = alive.select("leaf", "h1", "h2", "text_hash").distinct().groupBy("leaf", "h1", "h2").agg(F.count(F.lit(1)).alias("texts"))
     shown = _lines(rows, depth, True).select("leaf", "h1", "h2", "n", "form").join(frequent, "leaf", "left_semi")
     forms = shown.groupBy("h1", "h2").agg(F.min("form").alias("form"), F.min("n").alias("n")).join(texts, ["h1", "h2"])
     forms = scratch.stage(forms)
+    scratch.release(frequent)
     # A leaf's forms pass through one task in order; it holds the leaf's templates, never its forms.
     ordered = forms.select("leaf", "texts", "h1", "h2", "form").repartition("leaf").sortWithinPartitions("leaf", F.col("texts").desc(), "form", "h1", "h2")
     named = scratch.stage(ordered.mapInArrow(_templates(alike, most_forms), "h1 long, h2 long, t1 long, t2 long"))
+    scratch.release(forms)
     marked = scratch.stage(alive.join(named, ["h1", "h2"]).select("doc_id", "text_hash", "line_no", "n", "t1", "t2"))
+    scratch.release(alive, named)
     often = marked.select("t1", "t2", "n", "text_hash").distinct().groupBy("t1", "t2", "n").agg(F.count(F.lit(1)).alias("texts")).where(enough)
     often = scratch.stage(often.select("t1", "t2"))  # a plain table on this side lets a hot template be split
     gone = marked.join(often, ["t1", "t2"], "left_semi").groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).agg(F.collect_set("line_no").alias("__drop"))

@@ -437,3 +437,10 @@ def test_pages_full_of_open_quotes_are_read_in_linear_time():
             html_consensus.parse(unit * n)
             times.append(time.process_time() - start)
         assert times[1] < 12 * times[0] + 0.5
+
+
+def test_templates_leave_columns_of_their_own_names_alone(spark):
+    rows = [(i, f"Written by our reporter name{i} for the daily\nown line {'x' * i}", i, "a", "b") for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_lines int, __drop string, n_lines_given string")
+    got = log_templates.drop_templates(df).collect()
+    assert {(r.n_lines_given_given, r.n_lines_given, r["__drop_given"], r.n_lines, r.n_dropped) for r in got} == {(i, "b", "a", 2, 1) for i in range(12)}
