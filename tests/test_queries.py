@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry_point
@@ -41,3 +45,13 @@ def test_plans_hold_no_cross_join_python_or_global_window(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "Window"):
         assert node not in plan
+
+
+@pytest.mark.parametrize("hidden", ["public_tokenizers", "starledger.llm", "corpus_pipeline", "zstandard"])
+def test_the_star_queries_stay_when_a_training_data_dependency_is_missing(hidden):
+    code = (
+        f"import sys; sys.path.insert(0, {str(Path(entry_point.__file__).parent)!r}); sys.modules[{hidden!r}] = None\n"
+        "import __spark_entry__ as e; from starledger.workload.registry import QUERIES\n"
+        "assert set(e.queries()) == set(QUERIES) and len(QUERIES) > 200 and set(e.oracle_sql()) == set(QUERIES)"
+    )
+    subprocess.run([sys.executable, "-W", "ignore", "-c", code], check=True, timeout=120)
