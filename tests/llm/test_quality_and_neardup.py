@@ -121,7 +121,7 @@ def near_texts(n_groups=12, copies=9, seed=2):
     return dict(enumerate(out + ["", None, "One", "one", "ONE two", "one two", "Ä b c", "ä b c"]))
 
 
-@pytest.mark.parametrize("k, percent, options", [(3, 85, {}), (5, 80, {}), (3, 85, {"limit": 4, "depth": 4}), (3, 85, {"most_sets": 5, "block": 3, "limit": 3})])
+@pytest.mark.parametrize("k, percent, options", [(3, 85, {}), (5, 80, {}), (3, 85, {"limit": 4, "depth": 4}), (3, 85, {"most_sets": 5, "block": 3, "limit": 3}), (3, 85, {"most_sets": 5, "most_members": 150, "limit": 3})])
 def test_components_agree_with_brute_force(spark, k, percent, options):
     texts = near_texts()
     got = neardup.near_duplicates(frame(spark, list(texts.items())), words=k, percent=percent, **options).collect()
