@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 from starledger.operators.quality import duplicate_keys, null_counts
@@ -30,9 +32,11 @@ MENU_COLUMNS = (
 )
 
 
-def trim_mapping(mapping: DataFrame) -> DataFrame:
-    """The mapping file's key columns, trimmed and renamed."""
-    return mapping.select(*[F.trim(F.col(old)).alias(new) for old, new in MAPPING_COLUMNS.items()])
+def trim_mapping(mapping: DataFrame, columns: Mapping[str, str] = MAPPING_COLUMNS) -> DataFrame:
+    """The mapping file's key columns, trimmed and renamed. ``columns`` gives the header's names and ours."""
+    if set(columns.values()) != set(MAPPING_COLUMNS.values()):
+        raise ValueError(f"columns must name {sorted(MAPPING_COLUMNS.values())}")
+    return mapping.select(*[F.trim(F.col(old)).alias(new) for old, new in columns.items()])
 
 
 def join_menu_mapping(variations: DataFrame, mapping: DataFrame) -> DataFrame:

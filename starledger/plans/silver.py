@@ -6,6 +6,8 @@ A path the schema lacks gives a NULL column.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 from starledger.functions.scalars import bool_text, first_element, first_or_default, first_truthy
@@ -297,9 +299,17 @@ def flatten_order_tender(raw: DataFrame) -> DataFrame:
     return project(tenders, "child", ORDER_TENDER, keep=["order_id", "business_order_id", "order_location_id"])
 
 
-def flatten_payment(raw: DataFrame, detail: bool = False) -> DataFrame:
-    """One row per payment."""
-    return project(explode_records(raw, "payments"), "record", PAYMENT_DETAIL if detail else PAYMENT)
+def at_paths(fields: Fields, paths: Mapping[str, str] | None) -> Fields:
+    """A field table with other paths for some of its columns, for feeds that name their fields differently."""
+    unknown = set(paths or {}) - {name for name, _, _ in fields}
+    if unknown:
+        raise ValueError(f"not columns of the table: {sorted(unknown)}")
+    return [(name, (paths or {}).get(name, path), to) for name, path, to in fields]
+
+
+def flatten_payment(raw: DataFrame, detail: bool = False, paths: Mapping[str, str] | None = None) -> DataFrame:
+    """One row per payment. ``paths`` gives other paths in the record for named columns."""
+    return project(explode_records(raw, "payments"), "record", at_paths(PAYMENT_DETAIL if detail else PAYMENT, paths))
 
 
 def flatten_processing_fee(raw: DataFrame) -> DataFrame:

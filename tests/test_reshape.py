@@ -134,3 +134,18 @@ def test_latest_location_prefers_the_stamped_snapshot(spark):
     got = silver.latest_location(silver.flatten_location(raw))
     assert [r["location_name"] for r in got.collect()] == ["new"]
     assert "address_line_2" not in got.columns
+
+
+def test_feeds_with_other_names_are_read_by_given_paths_and_headers(spark):
+    from starledger.plans import menu, silver
+
+    raw = spark.createDataFrame([([("P1", ("own product",))],)], "payments array<struct<id:string,application_details:struct<vendor_product:string>>>")
+    assert silver.flatten_payment(raw).first().application_product is None
+    assert silver.flatten_payment(raw, paths={"application_product": "application_details.vendor_product"}).first().application_product == "own product"
+    with pytest.raises(ValueError):
+        silver.flatten_payment(raw, paths={"no_column": "id"})
+    header = dict(zip(["m", "c", "VendorItemID", "VendorVariationID"], menu.MAPPING_COLUMNS.values(), strict=True))
+    mapping = spark.createDataFrame([(" 1", "2 ", " i ", "v")], "m string, c string, VendorItemID string, VendorVariationID string")
+    assert tuple(menu.trim_mapping(mapping, header).first()) == ("1", "2", "i", "v")
+    with pytest.raises(ValueError):
+        menu.trim_mapping(mapping, {"m": "business_menu_id"})
