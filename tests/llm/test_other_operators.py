@@ -173,12 +173,12 @@ def test_topics_are_fitted_on_all_documents_and_copies_count_once(spark):
 
 def test_draws_follow_probabilities_and_keep_columns(spark):
     docs = frame(spark, TEXTS * 10)
-    rows = mixing.calibrated(docs, topics=3, sample=100).collect()
+    rows = mixing.calibrated(docs, topics=3).collect()
     assert len(rows) == len(TEXTS) * 10 and all(0 <= r.probability <= 1 for r in rows)
     tokens_all = sum(r.n_tokens for r in rows)
     assert sum(r.n_tokens * r.probability for r in rows) == pytest.approx(0.5 * tokens_all, rel=0.03)
     assert sum(r.n_tokens for r in rows if r.kept) == pytest.approx(0.5 * tokens_all, rel=0.3)
-    drawn = mixing.sample_mixture(docs, topics=3, sample=100)
+    drawn = mixing.sample_mixture(docs, topics=3)
     assert drawn.columns == docs.columns and drawn.count() == sum(r.kept for r in rows)
     assert mixing.calibrated(docs.limit(0)).count() == 0
     assert mixing.calibrated(frame(spark, ["", None])).count() == 2
