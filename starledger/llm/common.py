@@ -10,6 +10,8 @@ from starledger.session import scratch_path
 
 #: The byte class of the contracts: words are maximal runs of anything but these.
 BLANKS = b" \t\n\x0b\x0c\r"
+#: bitmap_construct_agg makes bitmaps of this many bits.
+_BITS = 32768
 
 
 class Scratch:
@@ -44,6 +46,43 @@ def row_hash(*columns: str) -> Column:
     return F.xxhash64(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))])
 
 
+def hash_filter(keys: DataFrame, buckets: int = 1024) -> DataFrame:
+    """A bitmap over the hashes ``h`` in ``keys``: at most ``buckets`` rows of 4 KB, whatever the input holds."""
+    place = keys.select(F.pmod("h", F.lit(buckets)).alias("bucket"), F.pmod(F.shiftrightunsigned("h", 20), F.lit(_BITS)).alias("bit"))
+    return place.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+
+
+def may_hold(df: DataFrame, seen: DataFrame, name: str, buckets: int = 1024) -> DataFrame:
+    """Add ``name``: whether the bitmap has the hash ``h``. True for every hash it was made of, false for most others."""
+    bit = F.pmod(F.shiftrightunsigned("h", 20), F.lit(_BITS))
+    byte = F.conv(F.hex(F.expr(f"substring(bitmap, cast(pmod(shiftrightunsigned(h, 20), {_BITS}) div 8 as int) + 1, 1)")), 16, 10).cast("long")
+    hit = F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+    joined = df.withColumn("bucket", F.pmod("h", F.lit(buckets))).join(F.broadcast(seen), "bucket", "left")
+    return joined.withColumn(name, hit).drop("bucket", "bitmap")
+
+
+def split_by(docs: DataFrame, found: DataFrame, hashed: Column, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``docs`` in two parts: rows surely without a row of ``found`` (__id, __hash), and rows that may have one.
+
+    A row belongs to the one of its doc_id and its hash ``hashed``. The first part has the columns of ``docs``; the
+    second has them in ``row``, beside ``__id`` and ``__hash``, so that only it need be joined: texts that a
+    bitmap of 4 MB clears never enter a shuffle. ``docs`` is read once per part.
+    """
+    seen = scratch.stage(hash_filter(found.select(F.xxhash64("__id", "__hash").alias("h"))))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("__id"), hashed.alias("__hash"))
+    rows = may_hold(rows.withColumn("h", F.xxhash64("__id", "__hash")), seen, "open").drop("h")
+    return rows.where("not open").select("row.*"), rows.where("open").drop("open")
+
+
+def without(docs: DataFrame, gone: DataFrame, hashed: Column, scratch: Scratch) -> DataFrame:
+    """``docs`` without the rows of ``gone`` (__id, __hash), whatever else their columns are called."""
+    gone = scratch.stage(gone.distinct())
+    clear, rest = split_by(docs, gone, hashed, scratch)
+    there = gone.select(F.col("__id").alias("id"), F.col("__hash").alias("hash"))
+    rest = rest.join(there, F.col("__id").eqNullSafe(F.col("id")) & (F.col("__hash") == F.col("hash")), "left_anti")
+    return clear.unionByName(rest.select("row.*"))
+
+
 def bounded_sample(rows: DataFrame, total: int, n: int) -> DataFrame:
     """The about ``n`` rows of smallest hash ``h`` of ``total``, at most ``n``.
 

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starledger.llm.common import Scratch
+from starledger.llm.common import Scratch, hash_filter, may_hold
 
 # Blank runs that are not already one space; everything else is left where it is.
 _UNEVEN = r"[\t-\r][\x20\t-\r]*|\x20[\x20\t-\r]+"
-#: bitmap_construct_agg makes bitmaps of this many bits.
-_BITS = 32768
 
 
 def normalised(text: str | Column) -> Column:
@@ -17,21 +15,6 @@ def normalised(text: str | Column) -> Column:
     return F.regexp_replace(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("string"), _UNEVEN, " ")
 
 
-def _filter(keys: DataFrame, buckets: int) -> DataFrame:
-    """A bitmap over the hashes ``h`` in ``keys``: at most ``buckets`` rows of 4 KB, whatever the input holds."""
-    place = keys.select(F.pmod("h", F.lit(buckets)).alias("bucket"), F.pmod(F.shiftrightunsigned("h", 20), F.lit(_BITS)).alias("bit"))
-    return place.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
-
-
-def _passes(df: DataFrame, seen: DataFrame, buckets: int, name: str) -> DataFrame:
-    """Add ``name``: whether the bitmap has the hash ``h``. True for every hash it was made of, false for most others."""
-    bit = F.pmod(F.shiftrightunsigned("h", 20), F.lit(_BITS))
-    byte = F.conv(F.hex(F.expr(f"substring(bitmap, cast(pmod(shiftrightunsigned(h, 20), {_BITS}) div 8 as int) + 1, 1)")), 16, 10).cast("long")
-    hit = F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
-    joined = df.withColumn("bucket", F.pmod("h", F.lit(buckets))).join(F.broadcast(seen), "bucket", "left")
-    return joined.withColumn(name, hit).drop("bucket", "bitmap")
-
-
 def exact_duplicates(docs: DataFrame, prefix: int = 64, buckets: int = 1024, every_digest: bool = False) -> DataFrame:
     """Which documents repeat another one's text, blanks evened; the one with the smallest doc_id stays.
 
@@ -57,10 +40,10 @@ def exact_duplicates(docs: DataFrame, prefix: int = 64, buckets: int = 1024, eve
     counts = scratch.stage(counts)
     lengths = counts.groupBy("n").agg(F.sum("c").alias("c")).where("c > 1").select(F.xxhash64("n").alias("h"))
     prefixes = counts.where("c > 1").select(F.xxhash64("n", "p").alias("h"))
-    by_length, by_prefix = scratch.stage(_filter(lengths, buckets)), scratch.stage(_filter(prefixes, buckets))
-    open1 = _passes(sized.withColumn("h", F.xxhash64("n")), by_length, buckets, "length_repeats")
+    by_length, by_prefix = scratch.stage(hash_filter(lengths, buckets)), scratch.stage(hash_filter(prefixes, buckets))
+    open1 = may_hold(sized.withColumn("h", F.xxhash64("n")), by_length, "length_repeats", buckets)
     open1 = open1.withColumn("h", F.when(F.col("length_repeats"), F.xxhash64("n", F.xxhash64(F.substring("t", 1, prefix)))))
-    open2 = _passes(open1, by_prefix, buckets, "prefix_repeats")
+    open2 = may_hold(open1, by_prefix, "prefix_repeats", buckets)
     level = F.when(~F.col("length_repeats"), 1).when(~F.col("prefix_repeats"), 2).otherwise(3)
     digest = F.sha2(F.col("t").cast("binary"), 256)
     read = open2.select(

@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from starledger.llm.common import Scratch, row_hash
+from starledger.llm.common import Scratch, hash_filter, may_hold, row_hash, split_by
 
 WILD = "<*>"
 #: Tokens with digits, addresses or paths are variable fields.
@@ -188,23 +188,30 @@ def drop_templates(docs: DataFrame, min_texts: int = 10, depth: int = 3, alike:
     enough = F.col("texts") >= F.when(F.col("n") >= long_tokens, F.least(F.lit(long_texts), F.lit(min_texts))).otherwise(F.lit(min_texts))
     frequent = keys.select("leaf", "n", "text_hash").distinct().groupBy("leaf", "n").agg(F.count(F.lit(1)).alias("texts")).where(enough)
     frequent = scratch.stage(frequent.select("leaf"))
-    alive = scratch.stage(keys.join(frequent, "leaf", "left_semi"))
+    # Lines of leaves that a bitmap clears go where they are read; only the others meet the exact list of leaves.
+    seen = scratch.stage(hash_filter(frequent.select(F.col("leaf").alias("h"))))
+    open_leaves = lambda lines: may_hold(lines.withColumn("h", F.col("leaf")), seen, "open").where("open").drop("h", "open")
+    alive = scratch.stage(open_leaves(keys).join(frequent, "leaf", "left_semi"))
     scratch.release(keys)
     texts = alive.select("leaf", "h1", "h2", "text_hash").distinct().groupBy("leaf", "h1", "h2").agg(F.count(F.lit(1)).alias("texts"))
-    shown = _lines(rows, depth, True).select("leaf", "h1", "h2", "n", "form").join(frequent, "leaf", "left_semi")
+    shown = open_leaves(_lines(rows, depth, True).select("leaf", "h1", "h2", "n", "form"))
     forms = shown.groupBy("h1", "h2").agg(F.min("form").alias("form"), F.min("n").alias("n")).join(texts, ["h1", "h2"])
     forms = scratch.stage(forms)
     scratch.release(frequent)
     # A leaf's forms pass through one task in order; it holds the leaf's templates, never its forms.
     ordered = forms.select("leaf", "texts", "h1", "h2", "form").repartition("leaf").sortWithinPartitions("leaf", F.col("texts").desc(), "form", "h1", "h2")
     named = scratch.stage(ordered.mapInArrow(_templates(alike, most_forms), "h1 long, h2 long, t1 long, t2 long"))
-    scratch.release(forms)
+    scratch.release(forms, seen)
     marked = scratch.stage(alive.join(named, ["h1", "h2"]).select("doc_id", "text_hash", "line_no", "n", "t1", "t2"))
     scratch.release(alive, named)
     often = marked.select("t1", "t2", "n", "text_hash").distinct().groupBy("t1", "t2", "n").agg(F.count(F.lit(1)).alias("texts")).where(enough)
     often = scratch.stage(often.select("t1", "t2"))  # a plain table on this side lets a hot template be split
     gone = marked.join(often, ["t1", "t2"], "left_semi").groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).agg(F.collect_set("line_no").alias("__drop"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (row_hash("text") == F.col("__hash"))
-    wide = docs.withColumn("text", F.col("text").cast("string")).join(gone, same, "left").select(*docs.columns, "__drop")
+    gone = scratch.stage(gone)
+    scratch.release(marked, often)
+    clear, rest = split_by(docs.withColumn("text", F.col("text").cast("string")), gone, row_hash("text"), scratch)
+    lines = gone.select(F.col("__id").alias("id"), F.col("__hash").alias("hash"), "__drop")
+    cut = rest.join(lines, F.col("__id").eqNullSafe(F.col("id")) & (F.col("__hash") == F.col("hash")), "left").select("row.*", "__drop")
+    wide = clear.withColumn("__drop", F.lit(None).cast("array<int>")).unionByName(cut)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wide.schema.fields[:-1])
     return wide.mapInArrow(_cut, f"{schema}, n_lines long, n_dropped long")
