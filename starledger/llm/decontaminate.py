@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starledger.llm.common import Scratch, row_hash
+from starledger.llm.common import Scratch, row_hash, without
 
 #: Fingerprint bits, blocks of the index, and the flips searched within a block: every fingerprint within
 #: BLOCKS * (FLIPS + 1) - 1 bits has a block with at most FLIPS differing bits.
@@ -129,6 +129,5 @@ def contaminated_windows(docs: DataFrame, benchmark: DataFrame, words: int = 5,
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents in which a window repeats an item of ``benchmark``; all columns stay."""
-    bad = contaminated_windows(docs, benchmark, **options).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (row_hash("text") == F.col("__hash"))
-    return docs.join(bad, same, "left_anti")
+    bad = contaminated_windows(docs, benchmark, **options).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    return without(docs, bad, row_hash("text"), Scratch(docs.sparkSession, "windows_kept"))

@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from starledger.llm.common import Scratch, row_hash
+from starledger.llm.common import Scratch, row_hash, without
 
 BUCKETS = 1024
 MARGINS = ("source", "lang", "topic")
@@ -243,6 +243,5 @@ def calibrated(docs: DataFrame, targets: dict[str, DataFrame] | None = None, pow
 
 def sample_mixture(docs: DataFrame, **options) -> DataFrame:
     """The drawn rows of ``docs``; all columns stay as they are."""
-    gone = calibrated(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("row_hash").alias("__hash")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (row_hash("doc_id", "text", "source", "lang") == F.col("__hash"))
-    return docs.join(gone, same, "left_anti")
+    gone = calibrated(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("row_hash").alias("__hash"))
+    return without(docs, gone, row_hash("doc_id", "text", "source", "lang"), Scratch(docs.sparkSession, "mixture_kept"))
