@@ -22,7 +22,7 @@ _BUCKET: dict[bytes, int] = {}
 def word_vector(raw: bytes | None) -> tuple[int, np.ndarray]:
     """Number of words of a whole text, and its damped hashed word counts at length 1."""
     words = raw.lower().split() if raw else []
-    if len(_BUCKET) > 300_000:
+    if len(_BUCKET) > 100_000:
         _BUCKET.clear()
     for w in set(words).difference(_BUCKET):
         _BUCKET[w] = xxhash.xxh3_64_intdigest(w) % BUCKETS
