@@ -70,6 +70,42 @@ class _Words(_Memo):
         super().__init__(lambda ps: [len(e) for e in t.encode_batch_fast([p.decode() for p in ps], add_special_tokens=False)])
 
 
+def _byte_letters() -> dict[int, str]:
+    """The character by which byte-level tokenizers write each byte: itself where it shows, else one from 256 up."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
+
+
+def _letters_are_a_unit(t) -> bool:
+    """Whether a tokenizer's own parts keep letters together, with a space before them, and only its model cuts them."""
+    from tokenizers import models, pre_tokenizers
+
+    pre = t.pre_tokenizer
+    whole = isinstance(pre, pre_tokenizers.ByteLevel) and pre.use_regex and not pre.add_prefix_space
+    return whole and t.normalizer is None and isinstance(t.model, models.BPE) and not any(a.content.strip().isalpha() for a in t.get_added_tokens_decoder().values())
+
+
+class _Table(dict):
+    """Ids of pieces, asked for where one is looked up first. See :class:`_Memo` for the halves.
+
+    A piece that ``ask`` does not take is a KeyError.
+    """
+
+    def __init__(self, ask: Callable[[str], bytes], size: int = MEMO_ID_PIECES):
+        self.ask, self.half, self.old = ask, size // 2, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        got = self.old.get(piece)
+        got = self[piece] = self.ask(piece) if got is None else got
+        return got
+
+    def turn(self) -> None:
+        """Start a new half where this one is full."""
+        if len(self) > self.half:
+            self.old = dict(self)
+            self.clear()
+
+
 class _Ids:
     """Ids of texts by a byte-level tokenizer, from the ids of pieces.
 
@@ -81,43 +117,35 @@ class _Ids:
     def __init__(self, path: str):
         t = _load(path)
 
-        def ids(p: str) -> np.ndarray:
-            return np.array(t.encode_batch_fast([p], add_special_tokens=False)[0].ids, "<u4")
-
-        newline = ids("\n")
-
-        def each(ps: list[str], lead: str) -> list[bytes]:
-            """One call for many pieces, as lines of one text: the newline's id parts their ids again."""
-            out = [b""] * len(ps)
-            plain = [i for i, p in enumerate(ps) if "\n" not in p and "<|" not in p and not p[0].isspace() and not p[-1].isspace()]
-            if plain and len(newline) == 1:
-                together = ids("\n".join([lead + ps[i] for i in plain]) + "\n")
-                ends = np.flatnonzero(together == newline[0])
-                if len(ends) == len(plain):
-                    raw, start = together.tobytes(), 0
-                    for i, end in zip(plain, (4 * ends).tolist(), strict=True):
-                        out[i], start = raw[start:end], end + 4
-            for i, got in enumerate(out):
-                if not got:
-                    out[i] = ids(lead + ps[i]).tobytes()
-            return out
-
-        self.plain, self.spaced = (_Memo(lambda ps, lead=lead: each(ps, lead), MEMO_ID_PIECES) for lead in ("", " "))
-        # Pieces with irregular white space are kept apart: the memos above must not know any.
-        self.odd = _Memo(lambda ps: [ids(p).tobytes() for p in ps])
-        self.newline, self.comma, self.stop = newline.tobytes(), ids(",").tobytes(), ids(".").tobytes()
-
-    @staticmethod
-    def _regular(pieces: list[str]) -> set[str]:
-        return {p for p in pieces if p and not p[0].isspace() and not p[-1].isspace()}
-
-    def _learn(self, memo: _Memo, pieces: set[str]) -> None:
-        new = self._regular(memo.missing(pieces))
-        # A stop or comma after a letter or digit is a unit of its own.
-        ended = {p for p in new if len(p) > 1 and p[-1] in ".," and p[-2].isalnum()}
-        memo.ask(list((new - ended).union(p[:-1] for p in ended if p[:-1] not in memo.now)))
-        for p in ended:
-            memo.now[p] = memo.now[p[:-1]] + (self.comma if p[-1] == "," else self.stop)
+        def ids(p: str) -> bytes:
+            return np.array(t.encode_batch_fast([p], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+        self.newline, comma, stop = ids("\n"), ids(","), ids(".")
+        direct, table, model = _letters_are_a_unit(t), _byte_letters(), t.model
+        as_bytes = [i.to_bytes(4, "little") for i in range(t.get_vocab_size())]
+
+        def asked(lead: str) -> _Table:
+            space = table[32] if lead else ""
+
+            def ask(p: str) -> bytes:
+                """Words of letters go to the tokenizer's model as they are: its other steps would not cut them."""
+                # Beyond these scripts it may depend on the version of Unicode what a letter is.
+                if direct and p.isalpha() and (p.isascii() or max(p) < "\u0500"):
+                    unit = p if p.isascii() else p.encode().decode("latin-1").translate(table)
+                    return b"".join([as_bytes[x.id] for x in model.tokenize(space + unit)])
+                if not p or p[0].isspace() or p[-1].isspace():
+                    raise KeyError(p)
+                # A stop or comma after a letter or digit is a unit of its own.
+                if len(p) > 1 and p[-1] in ".," and p[-2].isalnum():
+                    return known[p[:-1]] + (comma if p[-1] == "," else stop)
+                return ids(lead + p)
+
+            known = _Table(ask)
+            return known
+
+        self.plain, self.spaced = asked(""), asked(" ")
+        # Pieces with irregular white space are kept apart: the tables above must not know any.
+        self.odd = _Memo(lambda ps: [ids(p) for p in ps])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; they depend on the text alone, not on what was encoded before."""
@@ -129,12 +157,11 @@ class _Ids:
             gc.enable()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        distinct = list(dict.fromkeys(texts))
-        cut = [[line.split(" ") for line in x.split("\n")] for x in distinct]
-        self._learn(self.plain, {line[0] for x in cut for line in x})
-        self._learn(self.spaced, set().union(*[line[1:] for x in cut for line in x]))
-        plain, spaced, out = self.plain.now.__getitem__, self.spaced.now.__getitem__, {}
-        for text, lines in zip(distinct, cut, strict=True):
+        self.plain.turn()
+        self.spaced.turn()
+        plain, spaced, out = self.plain.__getitem__, self.spaced.__getitem__, {}
+        for text in dict.fromkeys(texts):
+            lines = [line.split(" ") for line in text.split("\n")]
             try:
                 out[text] = self.newline.join([plain(line[0]) + b"".join(map(spaced, line[1:])) for line in lines])
             except KeyError:  # empty, or with irregular white space
