@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from starledger.llm.common import Scratch, row_hash, without
+from starledger.llm.common import Scratch, kept_only, row_hash
 
 BUCKETS = 1024
 MARGINS = ("source", "lang", "topic")
@@ -157,7 +157,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], scratch: Scratch, swee
 
     ``targets`` has rows (value, share) per margin; shares count relative to each other over the values that
     hold tokens, and a value not named gets none. Each sweep scales every margin in turn: a sum per value,
-    combined before the shuffle, joined back and staged, so plans stay small. Returns the cells and the
+    combined before the shuffle and joined back; each sweep is staged, so plans stay small. Returns the cells and the
     largest relative error left; one number per third sweep reaches the driver.
     """
     total = float(cells.agg(F.sum("n_tokens")).first()[0] or 0)
@@ -170,10 +170,12 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], scratch: Scratch, swee
     now = scratch.stage(now)
     weight, error = F.sum(F.col("ratio") * F.col("n_tokens")).alias("have"), float("inf")
     for sweep in range(sweeps):
+        used = now
         for m in MARGINS:
             scaled = F.when(F.col("have") > 0, F.col("ratio") * F.coalesce(f"{m}_goal", F.lit(0.0)) / F.col("have")).otherwise(F.col("ratio"))
-            used, now = now, scratch.stage(now.join(now.groupBy(m).agg(weight), m).withColumn("ratio", scaled).drop("have"))
-            scratch.release(used)
+            now = now.join(now.groupBy(m).agg(weight), m).withColumn("ratio", scaled).drop("have")
+        now = scratch.stage(now)
+        scratch.release(used)
         if sweep % 3 != 2:  # looked at every third sweep; the last margin holds exactly
             continue
         off = [now.groupBy(m).agg(weight, F.max(f"{m}_goal").alias("goal")).where("goal > 0").select(F.abs(F.col("have") / F.col("goal") - 1).alias("e")) for m in MARGINS[:-1]]
@@ -243,5 +245,5 @@ def calibrated(docs: DataFrame, targets: dict[str, DataFrame] | None = None, pow
 
 def sample_mixture(docs: DataFrame, **options) -> DataFrame:
     """The drawn rows of ``docs``; all columns stay as they are."""
-    gone = calibrated(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("row_hash").alias("__hash"))
-    return without(docs, gone, row_hash("doc_id", "text", "source", "lang"), Scratch(docs.sparkSession, "mixture_kept"))
+    decided = calibrated(docs, **options).select(F.col("doc_id").alias("__id"), F.col("row_hash").alias("__hash"), "kept")
+    return kept_only(docs, decided, row_hash("doc_id", "text", "source", "lang"), Scratch(docs.sparkSession, "mixture_kept"))

@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starledger.llm.common import Scratch, row_hash, without
+from starledger.llm.common import Scratch, kept_only, row_hash
 
 FEATURES = ("log_words", "word_length", "symbols", "dup_lines", "repeats")
 D = len(FEATURES)
@@ -253,5 +253,5 @@ def quality_verdicts(docs: DataFrame, cutoff: float = CHI_9999, min_rows: int =
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that :func:`quality_verdicts` rejects; all columns stay as they are."""
-    bad = quality_verdicts(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("row_hash").alias("__hash"))
-    return without(docs, bad, row_hash("doc_id", "text", "lang", "source"), Scratch(docs.sparkSession, "quality_kept"))
+    decided = quality_verdicts(docs, **options).select(F.col("doc_id").alias("__id"), F.col("row_hash").alias("__hash"), "kept")
+    return kept_only(docs, decided, row_hash("doc_id", "text", "lang", "source"), Scratch(docs.sparkSession, "quality_kept"))
