@@ -29,10 +29,16 @@ def _shingles(words: Column, k: int) -> Column:
 
 
 def _fingerprint(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """SimHash over the ``shingle`` rows of each key; a repeated shingle weighs more."""
-    bits = [F.sum(F.shiftright(F.col("shingle"), i).bitwiseAND(F.lit(1)) * 2 - 1).alias(f"b{i}") for i in range(BITS)]
-    sums = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"), *bits)
-    value = reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft((F.col(f"b{i}") > 0).cast("long"), i) for i in range(BITS)])
+    """SimHash over the ``shingle`` rows of each key; a repeated shingle weighs more.
+
+    One sum counts two bits, one in each half of it: a key has far fewer than 2^31 shingles. Half the sums are half
+    the generated code, which the driver compiles and holds too.
+    """
+    half = BITS // 2
+    pairs = [F.sum(F.shiftright(F.col("shingle"), i).bitwiseAND(F.lit(1 | 1 << half))).alias(f"b{i}") for i in range(half)]
+    sums = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"), *pairs)
+    ones = [F.col(f"b{i}").bitwiseAND(F.lit((1 << half) - 1)) for i in range(half)] + [F.shiftrightunsigned(f"b{i}", half) for i in range(half)]
+    value = reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft((2 * n > F.col("total")).cast("long"), i) for i, n in enumerate(ones)])
     return sums.select(*keys, "total", value.alias("print"))
 
 
@@ -43,8 +49,8 @@ def _block(value: Column, i: int) -> Column:
 def _indexed(items: DataFrame) -> DataFrame:
     """A row per item, block and flipped value: 8 times 37 rows per item."""
     pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("block"), _block(F.col("iprint"), i).alias("v")) for i in range(BLOCKS)]))
-    blocks = items.select("item", "iprint", "isize", pairs.alias("e"))
-    return blocks.select("item", "iprint", "isize", F.col("e.block").alias("block"), F.explode(F.array(*[F.col("e.v").bitwiseXOR(F.lit(m)) for m in _MASKS])).alias("v"))
+    blocks = items.select("item", "iprint", "isize", "itotal", pairs.alias("e"))
+    return blocks.select("item", "iprint", "isize", "itotal", F.col("e.block").alias("block"), F.explode(F.array(*[F.col("e.v").bitwiseXOR(F.lit(m)) for m in _MASKS])).alias("v"))
 
 
 def contaminated_windows(docs: DataFrame, benchmark: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -114,14 +120,14 @@ def contaminated_windows(docs: DataFrame, benchmark: DataFrame, words: int = 5,
 
     blocks = F.explode(F.array(*[F.struct(F.lit(i).alias("block"), _block(F.col("print"), i).alias("v")) for i in range(BLOCKS)])).alias("e")
     seen = marked.select(*key, "total", "print", blocks).select(*key, "total", "print", "e.*")
-    near = seen.join(_indexed(prints.select("item", "isize", "iprint")), ["block", "v", "isize"])
-    near = near.where(F.bit_count(F.col("print").bitwiseXOR(F.col("iprint"))) <= RADIUS).select(*key, "item", "total").distinct()
+    near = seen.join(_indexed(prints), ["block", "v", "isize"])
+    near = near.where(F.bit_count(F.col("print").bitwiseXOR(F.col("iprint"))) <= RADIUS).select(*key, "item", "total", "itotal").distinct()
 
     counts = shingles.groupBy(*key, "k", "shingle").agg(F.count(F.lit(1)).alias("weight"))
     ids = F.expr("n.doc_id <=> c.doc_id and n.text_hash = c.text_hash and n.isize = c.isize and n.start = c.start")
     both = near.alias("n").join(counts.alias("c"), ids).select("n.*", "c.k", "c.shingle", "c.weight").join(weights.drop("isize"), ["item", "k", "shingle"])
-    smaller = both.groupBy(*key, "item", "total").agg(F.sum(F.least("weight", "iweight")).alias("smaller"))
-    judged = smaller.join(prints.select("item", "itotal"), "item").withColumn("larger", F.col("total") + F.col("itotal") - F.col("smaller")).where(100 * F.col("smaller") >= percent * F.col("larger"))
+    smaller = both.groupBy(*key, "item", "total", "itotal").agg(F.sum(F.least("weight", "iweight")).alias("smaller"))
+    judged = smaller.withColumn("larger", F.col("total") + F.col("itotal") - F.col("smaller")).where(100 * F.col("smaller") >= percent * F.col("larger"))
     best = judged.groupBy("doc_id", "text_hash", "item", "isize").agg(F.max_by(F.struct("start", "smaller", "larger"), F.struct(F.col("smaller") / F.col("larger"), -F.col("start"))).alias("best"))
     named = best.join(listed.select("item_id", "item"), "item")
     return named.select("doc_id", "item_id", F.col("best.start").cast("long").alias("start"), F.col("isize").cast("long").alias("n_words"), (F.col("best.smaller") / F.col("best.larger")).alias("similarity"), "text_hash")
