@@ -456,7 +456,7 @@ _STOCKED = "(SELECT product_key FROM f_inventory WHERE quantity < -20)"
 def bidirectional_filter(c: Context) -> DataFrame:
     """A condition on stock limits products, and through them sales."""
     tables, filters = limited_by_stock(c.star, F.col("quantity") < -20)
-    return measures.measure(tables, ["total_sales", "total_inventory_quantity"], filters=filters)
+    return measures.measure(tables, ["total_sales", "total_inventory_quantity"], filters=filters, reads={"fact_inventory": ["quantity"]})
 
 
 # -- report queries --------------------------------------------------------------------------------
