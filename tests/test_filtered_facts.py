@@ -36,6 +36,33 @@ def test_a_stock_filter_reads_a_narrow_fact(spark, folder, whole):  # noqa: F811
     assert counted(limited(layers)) == got and "fact_inventory" in layers._stored
 
 
+def _scans_of_facts(df):
+    """The scans of numbered rows that lie in months, as they were run."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "FileScan" in line and "date_key" in line and "__place" in line and "date_month" in line]
+
+
+def test_a_date_slicer_reads_narrow_facts_that_lie_in_months(spark, folder, whole):  # noqa: F811
+    layers, names = Layers(spark, folder), ["total_sales", "total_orders"]
+    days = [r.date for r in measures.measure(whole, "total_sales", ["dim_date.date"]).collect() if r.date]
+    filters = between_dates(min(days), max(days))
+    df = measures.measure(layers, names, ["dim_date.date"], filters)
+    got = counted(df)
+    assert not LARGE & set(layers._stored)
+    assert got == counted(measures.measure(whole, names, ["dim_date.date"], filters)) and len(got) >= len(days)
+    df.collect()
+    scans = _scans_of_facts(df)
+    assert {re.search(r"/(\w+_key)-", line)[1] for line in scans} == {"sales_key", "order_key"} and all("dynamicprun" in line for line in scans), scans
+
+
+def test_a_fact_is_built_again_to_lie_in_months(spark, folder):  # noqa: F811
+    layers = Layers(spark, folder)
+    plain = layers.fact("fact_sales", {"date_key", "total_amount"})
+    in_months = layers.fact("fact_sales", {"date_key"}, months=True)
+    assert in_months is not plain and counted(plain.select(*sorted(plain.columns))) == counted(in_months.select(*sorted(plain.columns)))
+    assert layers.fact("fact_sales", {"total_amount"}) is in_months
+
+
 def test_filters_name_the_keys_they_are_reached_by():
     read = columns_read({}, {"stock": measures.PARTS["stock"]}, ["dim_location", "fact_inventory"], {"fact_inventory": ["inventory_state"]})
     assert read["fact_inventory"] == {"quantity", "location_key", "inventory_state"}
