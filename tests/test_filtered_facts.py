@@ -55,6 +55,15 @@ def test_a_date_slicer_reads_narrow_facts_that_lie_in_months(spark, folder, whol
     assert {re.search(r"/(\w+_key)-", line)[1] for line in scans} == {"sales_key", "order_key"} and all("dynamicprun" in line for line in scans), scans
 
 
+def test_the_month_before_in_a_slice_reads_a_narrow_fact(spark, folder, whole):  # noqa: F811
+    layers = Layers(spark, folder)
+    days = [r.date for r in measures.measure(whole, "previous_month_sales", ["dim_date.date"]).collect() if r.date]
+    filters = between_dates(min(days), max(days))
+    got = counted(measures.measure(layers, "previous_month_sales", ["dim_product.item_name"], filters))
+    assert not LARGE & set(layers._stored)
+    assert got == counted(measures.measure(whole, "previous_month_sales", ["dim_product.item_name"], filters)) and got
+
+
 def test_a_fact_is_built_again_to_lie_in_months(spark, folder):  # noqa: F811
     layers = Layers(spark, folder)
     plain = layers.fact("fact_sales", {"date_key", "total_amount"})
