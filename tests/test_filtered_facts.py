@@ -36,6 +36,14 @@ def test_a_stock_filter_reads_a_narrow_fact(spark, folder, whole):  # noqa: F811
     assert counted(limited(layers)) == got and "fact_inventory" in layers._stored
 
 
+def test_a_location_filter_reads_narrow_facts(spark, folder, whole):  # noqa: F811
+    layers, filters = Layers(spark, folder), {"dim_location": F.col("state") == "R1"}
+    names = ["total_sales", "total_orders", "total_payments", "total_inventory_quantity", "total_customers"]
+    got = counted(measures.measure(layers, names, filters=filters))
+    assert not LARGE & set(layers._stored)
+    assert got == counted(measures.measure(whole, names, filters=filters)) and "None" not in got[0]
+
+
 def _scans_of_facts(df):
     """The scans of numbered rows that lie in months, as they were run."""
     plan = df._jdf.queryExecution().executedPlan().toString()
