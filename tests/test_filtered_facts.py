@@ -91,3 +91,24 @@ def test_filters_name_the_keys_they_are_reached_by():
     read = columns_read({}, {"stock": measures.PARTS["stock"]}, ["dim_location", "fact_inventory"], {"fact_inventory": ["inventory_state"]})
     assert read["fact_inventory"] == {"quantity", "location_key", "inventory_state"}
     assert columns_read({}, {"stock": measures.PARTS["stock"]}, ["fact_inventory"])["fact_inventory"] is None
+
+
+@pytest.fixture
+def fresh(spark, folder, monkeypatch):  # noqa: F811
+    """Layers of its own for each query."""
+    made = Layers(spark, folder)
+    monkeypatch.setattr(roles, "layers", lambda *_: made)
+    return Context(spark, folder), made
+
+
+@pytest.mark.parametrize("query", [checks.reconcile_layers_diff, checks.reconcile_layers, checks.cross_one_row])
+def test_layers_are_reconciled_by_the_columns_that_are_compared(fresh, whole, query):
+    context, layers = fresh
+    got = query(context).first().asDict()
+    assert not LARGE & set(layers._stored)
+    if query is checks.reconcile_layers:
+        assert got["silver_row_count"] == whole["order_line"].count() and got["gold_row_count"] == whole["fact_sales"].count()
+    elif query is checks.cross_one_row:
+        assert got["silver_row_count"] == whole["inventory"].count() and got["gold_row_count"] == whole["fact_inventory"].count()
+    else:
+        assert got["row_count_difference"] == whole["order_line"].count() - whole["fact_sales"].count() != 0
