@@ -101,6 +101,13 @@ def fresh(spark, folder, monkeypatch):  # noqa: F811
     return Context(spark, folder), made
 
 
+def test_fact_keys_are_checked_on_facts_of_keys(fresh, whole):
+    context, layers = fresh
+    got = {r.table_name: tuple(r)[1:] for r in checks.validate_fact_key(context).collect()}
+    assert not LARGE & set(layers._stored)
+    assert got == {t: (whole[t].count(), 0, 0) for t in FACT_COLUMNS}
+
+
 @pytest.mark.parametrize("query", [checks.reconcile_layers_diff, checks.reconcile_layers, checks.cross_one_row])
 def test_layers_are_reconciled_by_the_columns_that_are_compared(fresh, whole, query):
     context, layers = fresh
