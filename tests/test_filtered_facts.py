@@ -119,3 +119,13 @@ def test_layers_are_reconciled_by_the_columns_that_are_compared(fresh, whole, qu
         assert got["silver_row_count"] == whole["inventory"].count() and got["gold_row_count"] == whole["fact_inventory"].count()
     else:
         assert got["row_count_difference"] == whole["order_line"].count() - whole["fact_sales"].count() != 0
+
+
+def test_whole_sales_are_numbered_as_the_stored_ones_without_storing_what_is_below(fresh, whole):
+    context, layers = fresh
+    got, stored = layers.entire("fact_sales"), whole["fact_sales"]
+    assert not LARGE & set(layers._stored)
+    assert got.columns == stored.columns and counted(got) == counted(stored)
+    joined = checks.fact_sales_joins(context)
+    assert not LARGE & set(layers._stored)
+    assert counted(joined) == counted(stored.select(*FACT_COLUMNS["fact_sales"]))
